@@ -15,7 +15,7 @@ from spendlake.operators import amounts, cdc, classify, denormalise, merge, sear
 from spendlake.operators.publish import VersionedTable
 from spendlake.plans import calendar, prices, reports, snapshot, spend
 from spendlake.schemas import schema_from_mapping
-from spendlake.session import run_dir
+from spendlake.session import run_dir, stored
 from spendlake.sources import feed, payloads
 from spendlake.sources.tables import active_rows, lookup
 from spendlake.sources.views import Domain
@@ -64,7 +64,7 @@ def _keywords(d: Domain) -> DataFrame:
 
 
 def _names(d: Domain) -> DataFrame:
-    return d.spent_detail.select("spent_name").distinct()
+    return stored(d.spent_detail.select("spent_name").distinct(), "names")
 
 
 def _keyed(d: Domain) -> DataFrame:
@@ -424,7 +424,7 @@ def cdc_stream_apply(d: Domain) -> DataFrame:
     folder = run_dir(d.spark, "cdc_stream")
     stream.land_messages(feed.event_messages(d.cdc_event), f"{folder}/landed")
     messages = feed.read_feed_files(d.spark, f"{folder}/landed", files_per_batch=1000)
-    running = stream.start_feed(messages, d, f"{folder}/changes", f"{folder}/checkpoint", now=lambda: NOW)
+    running = stream.start_feed(messages, lambda: d, f"{folder}/changes", f"{folder}/checkpoint", now=lambda: NOW)
     running.awaitTermination()
     return stream.read_index(_index(d), stream.read_change_log(d.spark, f"{folder}/changes"))
 

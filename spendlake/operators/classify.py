@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from spendlake.fixed import DEFAULT_TYPE, DEFAULT_TYPE_ID, DEFAULT_WEIGHT
 from spendlake.operators.search import SCALE, SearchOptions, keyword_match
+from spendlake.operators.skew import spread_join
 
 
 def classify_names(
@@ -17,6 +18,8 @@ def classify_names(
 ) -> DataFrame:
     """One row per distinct ``spent_name`` with its keyword, category and combined score.
 
+    ``names`` should be a stored table, as for ``keyword_match``.
+
     Combined score = edit distance minus the whole part of score times weight; the
     lowest wins and among equals the worst-ranked hit. Edit distance is taken on the
     few best hits only. A name without hits gets the default category.
@@ -44,9 +47,21 @@ def classify_names(
     )
 
 
-def reclassify(spends: DataFrame, verdicts: DataFrame, with_type_name: bool = False) -> DataFrame:
-    """Spends with the category of their name. Verdicts are unique by name, so rows neither vanish nor multiply."""
-    names = ["consume_keyword_type_id", "consume_keyword_type"] if with_type_name else ["consume_keyword_type_id"]
-    new = verdicts.select("spent_name", F.struct(*names).alias("verdict"))
-    replaced = {name: F.coalesce(f"verdict.{name}", name) for name in names}
-    return spends.join(new, "spent_name", "left").withColumns(replaced).select(spends.columns)
+def reclassify(
+    spends: DataFrame, verdicts: DataFrame, names: DataFrame, with_type_name: bool = False
+) -> DataFrame:
+    """Spends with the category of their name; ``names`` counts the spends (``rows``) per name.
+
+    Verdicts are unique by name, so rows neither vanish nor multiply.
+    """
+    taken = ["consume_keyword_type_id", "consume_keyword_type"] if with_type_name else ["consume_keyword_type_id"]
+    kept = [name for name in spends.columns if name not in taken]
+    replaced = spread_join(
+        spends.select(kept),
+        verdicts.select("spent_name", *taken),
+        "spent_name",
+        names,
+        "rows",
+        F.col("spent_idx"),
+    )
+    return replaced.select(spends.columns)

@@ -10,9 +10,10 @@ candidates come from two places, and together they always hold its true best hit
   ``hits`` others on the subset alone, and those score at least as much on the
   full name, so it cannot be among the best hits.
 
-A token counts as rare wherever the subset argument or its cost does not hold:
-when the name repeats it, when the name already has ``subset_tokens`` commoner
-ones, and for keywords with more than ``long_keyword`` common tokens.
+All keywords of a common token are also taken where the subset argument or its cost
+does not hold: when the name repeats the token, when the name already has
+``subset_tokens`` commoner ones, and for keywords with more than ``long_keyword``
+common tokens.
 
 Scores are fixed-point integers (``SCALE`` per unit), so sums do not depend on
 the order of their terms and equal scores are exactly equal.
@@ -29,6 +30,8 @@ from pyspark.sql import functions as F
 
 from spendlake.fixed import BM25_B, BM25_K1, HITS_PER_NAME
 from spendlake.functions.text import tokens
+from spendlake.operators.skew import spread_join
+from spendlake.session import stored
 
 SCALE = 1_000_000
 
@@ -42,49 +45,45 @@ class SearchOptions:
     long_keyword: int = 8
 
 
-def _token_rows(frame: DataFrame, key: str, text: str, stop_words: Sequence[str], synonyms: DataFrame | None) -> DataFrame:
-    """One row per token occurrence; ``synonyms`` (token, canonical) maps tokens to one spelling."""
-    rows = frame.select(key, F.explode(tokens(F.col(text), stop_words)).alias("token"))
+def _token_counts(
+    frame: DataFrame, key: str, text: str, stop_words: Sequence[str], synonyms: DataFrame | None
+) -> DataFrame:
+    """``(key, length, token, times)``; ``synonyms`` (token, canonical) maps tokens to one spelling."""
+    listed = frame.select(key, tokens(F.col(text), stop_words).alias("listed"))
+    rows = listed.select(key, F.size("listed").alias("length"), F.explode("listed").alias("token"))
     if synonyms is not None:
-        rows = rows.join(synonyms, "token", "left").select(
-            key, F.coalesce("canonical", "token").alias("token")
+        rows = rows.join(synonyms.select("token", "canonical"), "token", "left").withColumn(
+            "token", F.coalesce("canonical", "token")
         )
-    return rows
+    return rows.groupBy(key, "length", "token").agg(F.count(F.lit(1)).alias("times"))
 
 
 def keyword_postings(
     keywords: DataFrame, options: SearchOptions = SearchOptions(), synonyms: DataFrame | None = None
 ) -> DataFrame:
-    """``(keyword_id, token, weight, df)``: the BM25 share of each token of each keyword."""
-    rows = _token_rows(
-        keywords.select("consume_keyword_id", "consume_keyword"),
-        "consume_keyword_id",
-        "consume_keyword",
-        options.stop_words,
-        synonyms,
-    )
-    counts = rows.groupBy("consume_keyword_id", "token").agg(F.count(F.lit(1)).alias("tf"))
-    lengths = rows.groupBy("consume_keyword_id").agg(F.count(F.lit(1)).alias("length"))
-    corpus = lengths.agg(F.struct(F.count(F.lit(1)).alias("n"), F.avg("length").alias("mean_length"))).scalar()
+    """``(keyword_id, token, weight, df)``: the BM25 share of each token of each keyword.
+
+    Token counts are stored, so the keywords are read once.
+    """
+    documents = keywords.select(F.col("consume_keyword_id").alias("keyword_id"), "consume_keyword")
+    counts = _token_counts(documents, "keyword_id", "consume_keyword", options.stop_words, synonyms)
+    counts = stored(counts, "token-counts")
+    size = F.struct(F.count_distinct("keyword_id").alias("n"), F.sum("times").alias("tokens"))
+    corpus = counts.agg(size.alias("corpus")).scalar()
     spread = counts.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
-    joined = counts.join(lengths, "consume_keyword_id").join(spread, "token")
+    known = spread_join(counts, spread, "token", spread, "df", F.col("keyword_id"))
     rarity = F.log(1 + (corpus["n"] - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    norm = BM25_K1 * (1 - BM25_B + BM25_B * F.col("length") / corpus["mean_length"])
-    share = rarity * (F.col("tf") * (BM25_K1 + 1)) / (F.col("tf") + norm)
-    return joined.select(
-        F.col("consume_keyword_id").alias("keyword_id"),
-        "token",
-        F.round(share * SCALE).cast("bigint").alias("weight"),
-        "df",
-    )
+    mean_length = corpus["tokens"] / corpus["n"]
+    norm = BM25_K1 * (1 - BM25_B + BM25_B * F.col("length") / mean_length)
+    share = rarity * (F.col("times") * (BM25_K1 + 1)) / (F.col("times") + norm)
+    return known.select("keyword_id", "token", F.round(share * SCALE).cast("bigint").alias("weight"), "df")
 
 
 def name_tokens(
     names: DataFrame, options: SearchOptions = SearchOptions(), synonyms: DataFrame | None = None
 ) -> DataFrame:
     """``(spent_name, token, times)`` of distinct names."""
-    rows = _token_rows(names, "spent_name", "spent_name", options.stop_words, synonyms)
-    return rows.groupBy("spent_name", "token").agg(F.count(F.lit(1)).alias("times"))
+    return _token_counts(names, "spent_name", "spent_name", options.stop_words, synonyms).drop("length")
 
 
 def keyword_match(
@@ -95,19 +94,32 @@ def keyword_match(
 ) -> DataFrame:
     """``(spent_name, keyword_id, score, hit_rank)``: at most ``hits`` keywords per name, best first.
 
-    ``names`` holds distinct ``spent_name``; equal scores rank by keyword id.
+    ``names`` holds distinct ``spent_name`` and is read more than once, so it should be a
+    stored table. The postings are stored here. Equal scores rank by keyword id.
     """
     wanted = name_tokens(names, options, synonyms)
-    postings = keyword_postings(keywords, options, synonyms)
-    common = postings.filter(F.col("df") > options.posting_limit)
-    if common.isEmpty():
-        scored = _score(wanted.join(postings, "token"))
+    postings = stored(keyword_postings(keywords, options, synonyms), "postings")
+    if postings.filter(F.col("df") > options.posting_limit).isEmpty():
+        scored = _score(_rare_matches(wanted, postings, options))
     else:
         scored = _score_candidates(_candidates(wanted, postings, options), wanted, postings)
     order = W.partitionBy("spent_name").orderBy(F.desc("score"), "keyword_id")
     return scored.withColumn("hit_rank", F.row_number().over(order)).filter(F.col("hit_rank") <= options.hits)
 
 
+def _rare_matches(wanted: DataFrame, postings: DataFrame, options: SearchOptions) -> DataFrame:
+    """Each wanted token with every keyword that has it, for tokens in at most ``posting_limit`` keywords.
+
+    So each wanted row meets a bounded number of keywords, and a token that most names share is spread.
+    """
+    rare = postings.filter(F.col("df") <= options.posting_limit).select("token", "keyword_id", "weight")
+    return spread_join(wanted, rare, "token", _token_sizes(wanted), "rows", F.col("spent_name"))
+
+
+def _token_sizes(wanted: DataFrame) -> DataFrame:
+    return wanted.groupBy("token").agg(F.count(F.lit(1)).alias("rows"))
+
+
 def _score(matches: DataFrame) -> DataFrame:
     return matches.groupBy("spent_name", "keyword_id").agg(F.sum(F.col("times") * F.col("weight")).alias("score"))
 
@@ -118,10 +130,11 @@ def _score_candidates(candidates: DataFrame, wanted: DataFrame, postings: DataFr
 
 def _candidates(wanted: DataFrame, postings: DataFrame, options: SearchOptions) -> DataFrame:
     """Distinct ``(spent_name, keyword_id)`` that include every name's best hits."""
-    spread = postings.select("token", "df").distinct()
+    spread = postings.groupBy("token").agg(F.first("df").alias("df"))
     is_common = (F.col("df") > options.posting_limit) & (F.col("times") == 1)
     by_spread = W.partitionBy("spent_name").orderBy(is_common.desc(), F.desc("df"), "token")
-    ranked = wanted.join(spread, "token").withColumn("place", F.row_number().over(by_spread))
+    known = spread_join(wanted, spread, "token", _token_sizes(wanted), "rows", F.col("spent_name"))
+    ranked = known.withColumn("place", F.row_number().over(by_spread))
     split = ranked.withColumn("common", is_common & (F.col("place") <= options.subset_tokens))
 
     per_keyword = (
@@ -132,7 +145,9 @@ def _candidates(wanted: DataFrame, postings: DataFrame, options: SearchOptions)
     long_ids = per_keyword.filter(F.size("held") > options.long_keyword).select("keyword_id")
     short = per_keyword.filter(F.size("held") <= options.long_keyword)
 
-    from_rare = split.filter(~F.col("common")).join(postings.select("token", "keyword_id"), "token")
+    from_rare = _rare_matches(wanted, postings, options)
+    overflow = split.filter(~F.col("common") & (F.col("df") > options.posting_limit))
+    from_overflow = overflow.join(postings.select("token", "keyword_id"), "token")
     from_long = split.filter("common").join(
         postings.join(long_ids, "keyword_id", "left_semi").select("token", "keyword_id"), "token"
     )
@@ -143,7 +158,13 @@ def _candidates(wanted: DataFrame, postings: DataFrame, options: SearchOptions)
         _best_per_subset(short, options), "subset"
     )
     pair = ["spent_name", "keyword_id"]
-    return from_rare.select(pair).union(from_long.select(pair)).union(from_subsets.select(pair)).distinct()
+    return (
+        from_rare.select(pair)
+        .union(from_overflow.select(pair))
+        .union(from_long.select(pair))
+        .union(from_subsets.select(pair))
+        .distinct()
+    )
 
 
 def _best_per_subset(keywords: DataFrame, options: SearchOptions) -> DataFrame:

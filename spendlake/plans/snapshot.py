@@ -19,9 +19,10 @@ _MAX_CURRENCIES = 1000
 
 def _market_currencies(stock_type: DataFrame) -> Column:
     """Distinct currencies of the markets as one array value, its size checked."""
-    codes = stock_type.select("currency_code").distinct().agg(F.array_sort(F.collect_list("currency_code"))).scalar()
+    codes = F.array_sort(F.collect_list("currency_code"))
     too_many = F.raise_error(F.lit(f"more than {_MAX_CURRENCIES} currencies")).cast("array<string>")
-    return F.when(F.size(codes) > _MAX_CURRENCIES, too_many).otherwise(codes)
+    checked = F.when(F.count(F.lit(1)) > _MAX_CURRENCIES, too_many).otherwise(codes)
+    return stock_type.select("currency_code").distinct().agg(checked).scalar()
 
 
 def asset_snapshot(tables, now: datetime | str) -> DataFrame:

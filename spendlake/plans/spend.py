@@ -5,6 +5,7 @@ from __future__ import annotations
 from datetime import datetime
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from spendlake.functions.dates import moment
 from spendlake.operators import cdc
@@ -12,6 +13,7 @@ from spendlake.operators.classify import classify_names, reclassify
 from spendlake.operators.denormalise import full_index, keywords_with_type
 from spendlake.operators.publish import VersionedTable
 from spendlake.operators.search import SearchOptions
+from spendlake.session import stored
 
 
 def publish_full_index(index: DataFrame, target: VersionedTable, now: datetime) -> DataFrame:
@@ -33,9 +35,13 @@ def reclassify_spends(
     options: SearchOptions = SearchOptions(),
     synonyms: DataFrame | None = None,
 ) -> DataFrame:
-    """Every spend with the category of its name. Each distinct name is classified once."""
-    names = spends.select("spent_name").distinct()
-    return reclassify(spends, classify_names(names, keywords, options, synonyms), with_type_name)
+    """Every spend with the category of its name. Each distinct name is classified once.
+
+    The spends are read twice: for their names, which are stored, and for the result.
+    """
+    names = stored(spends.groupBy("spent_name").agg(F.count(F.lit(1)).alias("rows")), "names")
+    verdicts = classify_names(names.select("spent_name"), keywords, options, synonyms)
+    return reclassify(spends, verdicts, names, with_type_name)
 
 
 def backfill_and_catch_up(

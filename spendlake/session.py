@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: str = "*", name: str = "spendlake", shuffle_partitions: int = 8) -> SparkSession:
@@ -36,11 +37,25 @@ def shared_dir(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
-    folder = tempfile.mkdtemp(prefix="spendlake-", dir="/tmp")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _local_dir()
+
+
+@functools.cache
+def _local_dir() -> str:
+    return tempfile.mkdtemp(prefix="spendlake-")
 
 
 def run_dir(spark: SparkSession, label: str) -> str:
     """A new, unused path below the shared folder."""
     return f"{shared_dir(spark)}/spendlake/{label}-{uuid.uuid4().hex}"
+
+
+def stored(frame: DataFrame, label: str) -> DataFrame:
+    """The frame written to the shared folder and read back.
+
+    For results that several later steps read: they are computed once, survive lost
+    executors, and later joins know their true size.
+    """
+    path = run_dir(frame.sparkSession, label)
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)

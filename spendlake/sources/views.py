@@ -9,9 +9,12 @@ where a global ``dense_rank`` would sort everything in one task.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 BASE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
+_SCHEMAS: dict[tuple[str, str], StructType] = {}
+
 # name -> (inputs, statement); inputs come before the views that use them.
 VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
     "users": (("customer",), "select c_custkey as user_seq, c_name as user_id from customer"),
@@ -154,21 +157,35 @@ def with_views(*names: str) -> str:
 
 
 class Domain:
-    """Domain tables over a folder of the driver's parquet tables."""
+    """Domain tables over a folder of the driver's parquet tables.
+
+    Frames are kept, so a folder is listed once per instance; make a new instance to
+    see files that came later. Schemas are read from the files once per session.
+    """
 
     def __init__(self, spark: SparkSession, folder: str) -> None:
         self.spark = spark
         self.folder = folder
+        self._frames: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        if name in BASE_TABLES:
-            return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
-        files = ", ".join(
-            f"{base} as (select * from parquet.`{self.folder}/{base}.parquet`)"
-            for base in BASE_TABLES
-            if base in _closure((name,))
+        if name not in self._frames:
+            self._frames[name] = self._read(name) if name in BASE_TABLES else self._view(name)
+        return self._frames[name]
+
+    def _read(self, name: str) -> DataFrame:
+        path = f"{self.folder}/{name}.parquet"
+        known = (self.spark.sparkContext.applicationId, path)
+        if known not in _SCHEMAS:
+            _SCHEMAS[known] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_SCHEMAS[known]).parquet(path)
+
+    def _view(self, name: str) -> DataFrame:
+        inputs = VIEWS[name][0]
+        aliases = ", ".join(f"{source} as (select * from {{{source}}})" for source in inputs)
+        return self.spark.sql(
+            f"with {aliases} {VIEWS[name][1]}", **{source: self.table(source) for source in inputs}
         )
-        return self.spark.sql(f"with {files}, {with_views(name)} select * from {name}")
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in VIEWS or name in BASE_TABLES:

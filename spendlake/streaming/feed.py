@@ -28,17 +28,20 @@ def _utc_now() -> datetime:
 
 def start_feed(
     messages: DataFrame,
-    tables,
+    tables: Callable[[], object],
     change_log: str,
     checkpoint: str,
     now: Callable[[], datetime] = _utc_now,
     strict: bool = False,
     trigger: dict | None = None,
 ) -> StreamingQuery:
-    """Run the feed into ``change_log``. ``trigger`` defaults to everything available, then stop."""
+    """Run the feed into ``change_log``. ``trigger`` defaults to everything available, then stop.
+
+    ``tables`` is called once per micro-batch, so each batch reads the tables as they are then.
+    """
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        changes = cdc.change_set(decode_events(batch), tables, moment(now()), strict)
+        changes = cdc.change_set(decode_events(batch), tables(), moment(now()), strict)
         changes.write.mode("overwrite").parquet(f"{change_log}/batch_id={batch_id}")
 
     writer = messages.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
