@@ -203,8 +203,7 @@ def calendar_upsert(d: Domain) -> DataFrame:
 @query
 def publish_spent_detail(d: Domain) -> DataFrame:
     target = VersionedTable(d.spark, run_dir(d.spark, "publish"), "spent_detail")
-    target.publish(_index(d), NOW, schema_from_mapping(INDEX_MAPPING))
-    return target.read()
+    return spend.publish_full_index(_index(d), target, NOW, schema_from_mapping(INDEX_MAPPING))
 
 
 @query
@@ -398,7 +397,9 @@ def report_detail(d: Domain) -> DataFrame:
 
 @query
 def report_body(d: Domain) -> DataFrame:
-    return reports.report_body(_index(d), _recipients(d), weekly_periods(AS_OF), fixed.WEEKLY_TITLE)
+    periods = weekly_periods(AS_OF)
+    spends = stored(reports.report_rows(_index(d), periods), "report-rows")
+    return reports.report_body(spends, _recipients(d), periods, fixed.WEEKLY_TITLE)
 
 
 @query

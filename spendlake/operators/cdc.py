@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from spendlake.functions.changes import change_type
 from spendlake.operators import merge
 from spendlake.operators.denormalise import spends_for_index
+from spendlake.session import stored
 
 
 def latest_action(events: DataFrame) -> DataFrame:
@@ -69,8 +70,12 @@ def merge_change_set(index: DataFrame, changes: DataFrame) -> DataFrame:
 
 
 def apply_changes(index: DataFrame, events: DataFrame, tables, now: Column, strict: bool = False) -> DataFrame:
-    """The index after the events: the newest event of each key is carried out."""
-    return merge_change_set(index, change_set(events, tables, now, strict))
+    """The index after the events: the newest event of each key is carried out.
+
+    The change set is stored first. Its joins so run once, and while it is small its
+    keys are broadcast, so that the index is not shuffled.
+    """
+    return merge_change_set(index, stored(change_set(events, tables, now, strict), "changes"))
 
 
 def newest_change_per_key(change_log: DataFrame) -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spendlake.fixed import BATCH_USER
+from spendlake.session import stored
 
 
 def required_key(batch: DataFrame, key: str) -> DataFrame:
@@ -31,7 +32,7 @@ def last_per_key(batch: DataFrame, key: str, order_by: str) -> DataFrame:
 
 
 def upsert(table: DataFrame, batch: DataFrame, key: str, order_by: str | None = None) -> DataFrame:
-    """Whole rows replace those with the same key; new keys are added."""
+    """Whole rows replace those with the same key; new keys are added. The batch is read twice."""
     batch = required_key(batch, key)
     rows = (last_per_key(batch, key, order_by) if order_by else batch).select(table.columns)
     return delete(table, rows, key).unionByName(rows)
@@ -94,8 +95,11 @@ def batch_stamps(now: Column) -> dict[str, Column]:
 
 
 def upsert_index_rows(index: DataFrame, rows: DataFrame, key: str, now: Column) -> DataFrame:
-    """Denormalised rows replace or join the index, stamped even when they are new."""
-    return upsert(index, index_rows(rows, now).select(index.columns), key)
+    """Denormalised rows replace or join the index, stamped even when they are new.
+
+    The rows are stored first, since they come from many joins and are read twice.
+    """
+    return upsert(index, stored(index_rows(rows, now).select(index.columns), "index-rows"), key)
 
 
 def index_rows(rows: DataFrame, now: Column) -> DataFrame:

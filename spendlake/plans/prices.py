@@ -20,13 +20,8 @@ def stock_prices(stocks: DataFrame, landed: DataFrame) -> DataFrame:
     Dollar stocks read the overseas payload form, all others the domestic one.
     """
     fetched = stocks.join(landed, "stock_seq")
-    overseas = F.col("currency_code") == OVERSEAS_CURRENCY
-    quotes = [
-        payloads.overseas_quotes(fetched.filter(overseas)),
-        payloads.domestic_quotes(fetched.filter(~overseas)),
-    ]
-    columns = ["stock_seq", "api_symbol", "currency_code", "stock_name", "current_price"]
-    return quotes[0].select(columns).unionByName(quotes[1].select(columns))
+    priced = payloads.stock_prices(fetched, F.col("currency_code") == OVERSEAS_CURRENCY)
+    return priced.select("stock_seq", "api_symbol", "currency_code", "stock_name", "current_price")
 
 
 def crypto_prices(cryptos: DataFrame, landed: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from spendlake.functions.dates import moment
 from spendlake.operators import cdc
@@ -16,9 +17,11 @@ from spendlake.operators.search import SearchOptions
 from spendlake.session import stored
 
 
-def publish_full_index(index: DataFrame, target: VersionedTable, now: datetime) -> DataFrame:
-    """Publish the whole index as a new version and read it back."""
-    target.publish(index, now)
+def publish_full_index(
+    index: DataFrame, target: VersionedTable, now: datetime, schema: StructType | None = None
+) -> DataFrame:
+    """Publish the whole index as a new version, files sorted by time for the reports, and read it back."""
+    target.publish(index, now, schema, sort_by=["spent_at"])
     return target.read()
 
 

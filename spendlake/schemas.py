@@ -97,13 +97,11 @@ INDEX_COLUMNS: list[str] = [column.split()[0] for column in TABLES["spent_detail
 
 CDC_EVENT = "spent_idx bigint, indexing_type string, reg_at timestamp"
 
-DOMESTIC_QUOTE = (
-    "rt_cd string, msg_cd string, msg1 string, output struct<stck_prpr: string, stck_sdpr: string, "
-    "prdy_ctrt: string, stck_hgpr: string, stck_lwpr: string, acml_vol: string>"
-)
-OVERSEAS_QUOTE = (
-    "rt_cd string, msg_cd string, msg1 string, "
-    "output struct<last: string, base: string, diff: string, rate: string, tvol: string>"
+# Both stock quote forms: the first line of ``output`` is the domestic one, the second the overseas one.
+STOCK_QUOTE = (
+    "rt_cd string, msg_cd string, msg1 string, output struct<"
+    "stck_prpr: string, stck_sdpr: string, prdy_ctrt: string, stck_hgpr: string, stck_lwpr: string, acml_vol: string, "
+    "last: string, base: string, diff: string, rate: string, tvol: string>"
 )
 PRICE_PAYLOAD = "price string, code int, message string"
 RATE_PAYLOAD = "rate double, code int, message string"

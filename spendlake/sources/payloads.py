@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spendlake.fixed import HOLIDAY_OK, QUOTE_OK
-from spendlake.schemas import DOMESTIC_QUOTE, HOLIDAY_PAYLOAD, OVERSEAS_QUOTE, PRICE_PAYLOAD, RATE_PAYLOAD
+from spendlake.schemas import HOLIDAY_PAYLOAD, PRICE_PAYLOAD, RATE_PAYLOAD, STOCK_QUOTE
 
 _DECIMAL = "decimal(18,4)"
 _JSON = {"mode": "PERMISSIVE"}
@@ -26,36 +26,63 @@ def _volume(text: str) -> Column:
     return F.when(volume >= 0, volume)
 
 
-def domestic_quotes(landed: DataFrame, payload: str = "payload") -> DataFrame:
+def _domestic_fields() -> dict[str, Column]:
     out = "quote.output."
-    return _accepted_quotes(
-        landed.withColumn("quote", F.from_json(payload, DOMESTIC_QUOTE, _JSON)).drop(payload),
-        current_price=_number(out + "stck_prpr", _DECIMAL),
-        previous_price=_number(out + "stck_sdpr", _DECIMAL),
-        change_rate=_number(out + "prdy_ctrt", "double"),
-        high_price=_number(out + "stck_hgpr", _DECIMAL),
-        low_price=_number(out + "stck_lwpr", _DECIMAL),
-        volume=_volume(out + "acml_vol"),
-    )
+    return {
+        "current_price": _number(out + "stck_prpr", _DECIMAL),
+        "previous_price": _number(out + "stck_sdpr", _DECIMAL),
+        "change_rate": _number(out + "prdy_ctrt", "double"),
+        "high_price": _number(out + "stck_hgpr", _DECIMAL),
+        "low_price": _number(out + "stck_lwpr", _DECIMAL),
+        "volume": _volume(out + "acml_vol"),
+    }
 
 
-def overseas_quotes(landed: DataFrame, payload: str = "payload") -> DataFrame:
+def _overseas_fields() -> dict[str, Column]:
     out = "quote.output."
     rate = F.regexp_replace(F.trim(F.col(out + "rate")), r"^\++", "")
-    return _accepted_quotes(
-        landed.withColumn("quote", F.from_json(payload, OVERSEAS_QUOTE, _JSON)).drop(payload),
-        current_price=_number(out + "last", _DECIMAL),
-        base_price=_number(out + "base", _DECIMAL),
-        price_diff=_number(out + "diff", _DECIMAL),
-        change_rate=_number(rate, "double"),
-        volume=_volume(out + "tvol"),
+    return {
+        "current_price": _number(out + "last", _DECIMAL),
+        "base_price": _number(out + "base", _DECIMAL),
+        "price_diff": _number(out + "diff", _DECIMAL),
+        "change_rate": _number(rate, "double"),
+        "volume": _volume(out + "tvol"),
+    }
+
+
+def domestic_quotes(landed: DataFrame, payload: str = "payload") -> DataFrame:
+    return _accepted_quotes(landed, payload, _domestic_fields())
+
+
+def overseas_quotes(landed: DataFrame, payload: str = "payload") -> DataFrame:
+    return _accepted_quotes(landed, payload, _overseas_fields())
+
+
+def stock_prices(landed: DataFrame, overseas: Column, payload: str = "payload") -> DataFrame:
+    """``current_price`` of accepted payloads, of the overseas form where ``overseas`` holds: one pass for both."""
+    forms = {"abroad": _overseas_fields(), "home": _domestic_fields()}
+    typed = {name: F.when(_is_ok(fields), fields["current_price"]) for name, fields in forms.items()}
+    priced = _parsed(landed, payload).withColumn(
+        "current_price", F.when(overseas, typed["abroad"]).otherwise(typed["home"])
     )
+    return priced.drop("quote").filter(F.col("current_price").isNotNull())
+
+
+def _parsed(landed: DataFrame, payload: str) -> DataFrame:
+    return landed.withColumn("quote", F.from_json(payload, STOCK_QUOTE, _JSON)).drop(payload)
+
+
+def _is_ok(fields: dict[str, Column]) -> Column:
+    ok = F.col("quote.rt_cd") == QUOTE_OK
+    for column in fields.values():
+        ok = ok & column.isNotNull()
+    return ok
 
 
-def _accepted_quotes(decoded: DataFrame, **fields: Column) -> DataFrame:
-    kept = [name for name in decoded.columns if name != "quote"]
-    accepted = decoded.filter(F.col("quote.rt_cd") == QUOTE_OK)
-    typed = accepted.select(*kept, *[column.alias(name) for name, column in fields.items()])
+def _accepted_quotes(landed: DataFrame, payload: str, fields: dict[str, Column]) -> DataFrame:
+    kept = [name for name in landed.columns if name != payload]
+    typed = _parsed(landed, payload).filter(F.col("quote.rt_cd") == QUOTE_OK)
+    typed = typed.select(*kept, *[column.alias(name) for name, column in fields.items()])
     return typed.dropna(how="any", subset=list(fields))
 
 
