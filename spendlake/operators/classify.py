@@ -52,16 +52,20 @@ def reclassify(
 ) -> DataFrame:
     """Spends with the category of their name; ``names`` counts the spends (``rows``) per name.
 
-    Verdicts are unique by name, so rows neither vanish nor multiply.
+    Verdicts are unique by name, so rows neither vanish nor multiply; a spend without
+    a name gets the default category.
     """
-    taken = ["consume_keyword_type_id", "consume_keyword_type"] if with_type_name else ["consume_keyword_type_id"]
-    kept = [name for name in spends.columns if name not in taken]
-    replaced = spread_join(
+    default = {"consume_keyword_type_id": F.lit(DEFAULT_TYPE_ID).cast("bigint")}
+    if with_type_name:
+        default["consume_keyword_type"] = F.lit(DEFAULT_TYPE)
+    kept = [name for name in spends.columns if name not in default]
+    found = spread_join(
         spends.select(kept),
-        verdicts.select("spent_name", *taken),
+        verdicts.select("spent_name", *default),
         "spent_name",
         names,
         "rows",
         F.col("spent_idx"),
+        "left",
     )
-    return replaced.select(spends.columns)
+    return found.withColumns({name: F.coalesce(name, value) for name, value in default.items()}).select(spends.columns)

@@ -34,12 +34,13 @@ def spread_join(
     """``facts`` joined to ``other`` on ``key``; ``sizes`` counts the facts per key.
 
     Facts of a heavy key are dealt over its routes by a hash of ``spread_by`` and the
-    other side's rows of that key are copied to each route. ``how`` is ``inner`` or
-    ``left``.
+    other side's rows of that key are copied to each route. Facts without a key, which
+    match nothing, are dealt over all routes. ``how`` is ``inner`` or ``left``.
     """
     heavy = F.broadcast(heavy_keys(sizes, key, rows))
     routes = F.coalesce("routes", F.lit(1))
-    dealt = facts.join(heavy, key, "left").withColumn("route", F.pmod(F.xxhash64(spread_by), routes))
+    ways = F.when(F.col(key).isNull(), _SHARE).otherwise(routes)
+    dealt = facts.join(heavy, key, "left").withColumn("route", F.pmod(F.xxhash64(spread_by), ways))
     copied = other.join(heavy, key, "left").withColumn("route", F.explode(F.sequence(F.lit(0), routes - 1)))
     values = [name for name in other.columns if name != key]
     joined = dealt.drop("routes").join(copied.select(key, "route", *values), [key, "route"], how)
