@@ -440,12 +440,6 @@ ORACLES["email_recipients"] = statement(
     RECIPIENTS,
 )
 
-_CELL = '<td style="padding:8px 12px;border-bottom:1px solid #eee;">'
-_RIGHT = '<td style="padding:8px 12px;border-bottom:1px solid #eee;text-align:right;">'
-_EMPTY = '<tr><td colspan="{}" style="padding:8px 12px;text-align:center;color:#888;">{}</td></tr>'
-_HEADINGS = "".join(f"<th>{heading}</th>" for heading in fixed.SUMMARY_HEADINGS)
-
-
 def _escaped(column: str) -> str:
     for plain, escaped in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;"), ("''", "&#39;")):
         column = f"replace({column}, '{plain}', '{escaped}')"
@@ -461,24 +455,35 @@ def _won(column: str) -> str:
 
 
 _DETAIL_HTML = _html_row(
-    (_CELL, _escaped("spent_name")),
-    (_RIGHT, _won("spent_money")),
-    (_CELL, _day("spent_at")),
-    (_CELL, _escaped("consume_keyword_type")),
-    (_CELL, _escaped("card_alias")),
+    (fixed.CELL, _escaped("spent_name")),
+    (fixed.MONEY_CELL, _won("spent_money")),
+    (fixed.CELL, _day("spent_at")),
+    (fixed.CELL, _escaped("consume_keyword_type")),
+    (fixed.CELL, _escaped("card_alias")),
 )
 _CATEGORY_HTML = _html_row(
-    (_CELL, _escaped("spent_type")), (_RIGHT, _won("spent_cost")), (_RIGHT, "printf('%.1f%%', spent_per)")
+    (fixed.CELL, _escaped("spent_type")), (fixed.MONEY_CELL, _won("spent_cost")), (fixed.MONEY_CELL, "printf('%.1f%%', spent_per)")
 )
+
+
+def _empty(width: int, text: str) -> str:
+    return fixed.EMPTY_ROW.replace("{{WIDTH}}", str(width)).replace("{{TEXT}}", text)
+
+
+_SUMMARY = fixed.SUMMARY
+for _name, _value in {
+    "CURRENT": _won("r.total"),
+    "PREVIOUS": f"case when r.prev_total = 0 then '-' else {_won('r.prev_total')} end",
+    "COLOR": "r.change_color",
+    "CHANGE": "r.change_text",
+}.items():
+    _SUMMARY = _SUMMARY.replace("{{" + _name + "}}", f"' || {_value} || '")
 ORACLES["report_body"] = statement(
     _REPORT_VIEWS,
     "select r.agg_group_seq, 0 as part, r.subject, "
-    f"'<html><body><h1>{fixed.WEEKLY_TITLE}</h1><p>2000.6.8 ~ 2000.6.15</p><table><thead><tr>{_HEADINGS}</tr></thead>"
-    f"<tbody><tr><td>' || {_won('r.total')} || '</td><td>' || "
-    f"case when r.prev_total = 0 then '-' else {_won('r.prev_total')} end || '</td><td style=\"color:' || "
-    "r.change_color || ';\">' || r.change_text || '</td></tr></tbody></table><table><tbody>' || "
-    f"coalesce(d.html, '{_EMPTY.format(5, fixed.NO_DETAIL_TEXT)}') || '</tbody></table><table><tbody>' || "
-    f"coalesce(c.html, '{_EMPTY.format(3, fixed.NO_CATEGORY_TEXT)}') || '</tbody></table><p>' || "
+    f"'<html><body><h1>{fixed.WEEKLY_TITLE}</h1><p>2000.6.8 ~ 2000.6.15</p>{_SUMMARY}<table><tbody>' || "
+    f"coalesce(d.html, '{_empty(5, fixed.NO_DETAIL_TEXT)}') || '</tbody></table><table><tbody>' || "
+    f"coalesce(c.html, '{_empty(3, fixed.NO_CATEGORY_TEXT)}') || '</tbody></table><p>' || "
     "format('{:,}', r.total) || '</p></body></html>' as body from report r "
     f"left join (select agg_group_seq, string_agg({_DETAIL_HTML}, '' order by row_no) as html from detail "
     "group by agg_group_seq) d on d.agg_group_seq = r.agg_group_seq "

@@ -22,12 +22,26 @@ WEEKLY_TITLE = "주간 소비 리포트"
 NO_DETAIL_TEXT = "소비 내역이 없습니다."
 NO_CATEGORY_TEXT = "카테고리 데이터가 없습니다."
 SUBJECT_TAIL = "소비 내역"
-SUMMARY_HEADINGS = ("이번 기간 총소비", "지난 기간 총소비", "등락")
 CURRENCY_SUFFIX = " 원"
 COLOR_UP = "#e53935"
 COLOR_DOWN = "#43a047"
 COLOR_SAME = "#888888"
 
+# HTML of report rows and of the period summary; upper-case names in braces are filled in.
+CELL = '<td style="padding:8px 12px;border-bottom:1px solid #eee;">'
+MONEY_CELL = '<td style="padding:8px 12px;border-bottom:1px solid #eee;text-align:right;">'
+EMPTY_ROW = '<tr><td colspan="{{WIDTH}}" style="padding:8px 12px;text-align:center;color:#888;">{{TEXT}}</td></tr>'
+SUMMARY = (
+    '<table style="width:100%;border-collapse:collapse;margin-top:16px;"><thead><tr style="background:#f0f4ff;">'
+    '<th style="padding:8px 12px;text-align:right;color:#555;font-weight:600;">이번 기간 총소비</th>'
+    '<th style="padding:8px 12px;text-align:right;color:#555;font-weight:600;">지난 기간 총소비</th>'
+    '<th style="padding:8px 12px;text-align:right;color:#555;font-weight:600;">등락</th></tr></thead><tbody><tr>'
+    '<td style="padding:8px 12px;text-align:right;">{{CURRENT}}</td>'
+    '<td style="padding:8px 12px;text-align:right;">{{PREVIOUS}}</td>'
+    '<td style="padding:8px 12px;text-align:right;color:{{COLOR}};font-weight:bold;">{{CHANGE}}</td>'
+    "</tr></tbody></table>"
+)
+
 # Price feeds.
 OVERSEAS_CURRENCY = "USD"
 QUOTE_OK = "0"

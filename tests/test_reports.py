@@ -167,3 +167,15 @@ def test_big_recipient_lists_are_cut(spark):
     assert {e for row in batches for e in row.emails.split(",")} == {f"m{i}@x" for i in range(500)}
     assert [row.batch_key for row in batches if row.agg_group_seq == 2] == [""]
     assert len([row for row in batches if row.agg_group_seq == 1]) > 200
+
+
+def test_rows_in_descending_order_of_a_chosen_field(spark):
+    frame = index(spark, *[spend(1, i, "2024-01-02", money) for i, money in enumerate((5, 9, 9, 1))])
+    found = reports.group_range_rows(frame, january(), 3, order_by="spent_money", ascending=False)
+    assert rows(found, "row_no", "spent_idx") == [(1, 1), (2, 2), (3, 0)]
+
+
+def test_a_range_on_another_field(spark):
+    frame = index(spark, *[spend(1, i, "2024-01-02", money) for i, money in enumerate((5, 9, 10, 1))])
+    found = reports.group_range_agg(frame, Period(F.lit(5), F.lit(9)), range_field="spent_money")
+    assert rows(found) == [(1, 14, 2)]

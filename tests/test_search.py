@@ -50,7 +50,7 @@ def brute_force(name_list, keyword_list, hits):
     return found
 
 
-@pytest.mark.parametrize("seed", [1, 2, 3])
+@pytest.mark.parametrize("seed", [1, 2])
 @pytest.mark.parametrize(
     "options",
     [
