@@ -60,12 +60,12 @@ def change_set(events: DataFrame, tables, now: Column, strict: bool = False) ->
     rows = merge.index_rows(spends_for_index(tables, upserts), now).withColumn("op", F.lit("upsert"))
     gone = actions.filter(F.col("action") == "delete").select("spent_idx")
     if strict:
-        gone = gone.unionByName(merge.delete(upserts.select("spent_idx"), rows, "spent_idx"))
+        gone = gone.unionByName(merge.without_keys(upserts.select("spent_idx"), rows, "spent_idx"))
     return rows.unionByName(gone.withColumn("op", F.lit("delete")), allowMissingColumns=True)
 
 
 def merge_change_set(index: DataFrame, changes: DataFrame) -> DataFrame:
-    kept = merge.delete(index, changes, "spent_idx")
+    kept = merge.without_keys(index, changes, "spent_idx")
     return kept.unionByName(changes.filter(F.col("op") == "upsert").select(index.columns))
 
 
@@ -84,11 +84,16 @@ def newest_change_per_key(change_log: DataFrame) -> DataFrame:
 
 
 def events_after(events: DataFrame, offsets: DataFrame, group: str) -> DataFrame:
-    """Events at or past the group's committed position; a partition without one is read from its start."""
-    positions = offsets.filter(F.col("group_name") == group).select("partition_id", "committed_offset")
-    joined = events.join(positions, "partition_id", "left")
-    unread = F.col("partition_offset") >= F.coalesce("committed_offset", F.lit(0))
-    return joined.filter(unread).select(events.columns)
+    """Events at or past the group's committed position; a partition without one is read from its start.
+
+    The positions, one per topic partition, are one map value: the events are not shuffled.
+    """
+    entry = F.struct("partition_id", "committed_offset")
+    positions = (
+        offsets.filter(F.col("group_name") == group).agg(F.map_from_entries(F.collect_list(entry))).scalar()
+    )
+    position = F.coalesce(F.try_element_at(positions, F.col("partition_id")), F.lit(0))
+    return events.filter(F.col("partition_offset") >= position)
 
 
 def lag_by_partition(offsets: DataFrame, reference: str, catchup: str) -> DataFrame:

@@ -35,7 +35,7 @@ def upsert(table: DataFrame, batch: DataFrame, key: str, order_by: str | None =
     """Whole rows replace those with the same key; new keys are added. The batch is read twice."""
     batch = required_key(batch, key)
     rows = (last_per_key(batch, key, order_by) if order_by else batch).select(table.columns)
-    return delete(table, rows, key).unionByName(rows)
+    return without_keys(table, rows, key).unionByName(rows)
 
 
 def append(table: DataFrame, rows: DataFrame, id_column: str | None = None) -> DataFrame:
@@ -51,8 +51,16 @@ def append_files(rows: DataFrame, path: str, partition_by: Sequence[str] = (), i
 
 
 def delete(table: DataFrame, ids: DataFrame, key: str) -> DataFrame:
-    """Rows whose key is not listed; unknown ids do nothing."""
-    return table.join(ids.select(key), key, "left_anti").select(table.columns)
+    """Rows whose key is not listed; unknown ids do nothing.
+
+    Repeated ids are dropped before the shuffle, so one id that fills the list does no harm.
+    """
+    return without_keys(table, ids.select(key).distinct(), key)
+
+
+def without_keys(table: DataFrame, unique: DataFrame, key: str) -> DataFrame:
+    """``delete`` for keys that are known to be listed once."""
+    return table.join(unique.select(key), key, "left_anti").select(table.columns)
 
 
 def partial_upsert(table: DataFrame, batch: DataFrame, key: str) -> DataFrame:

@@ -53,3 +53,23 @@ def backfill_and_catch_up(
     """A fresh full index plus every event past the recorded position of ``group``."""
     unread = cdc.events_after(events, offsets, group)
     return cdc.apply_changes(full_index(tables), unread, tables, moment(now), strict)
+
+
+def rebuild_index(
+    tables,
+    events: DataFrame,
+    offsets: DataFrame,
+    own_group: str,
+    incremental_group: str,
+    target: VersionedTable,
+    now: datetime,
+) -> DataFrame:
+    """A fresh index from the tables and the events since the incremental group's position, published in one step.
+
+    The position is taken before the load, so no event is missed; those already in the
+    load are applied again, which changes nothing. Stop the feed before the call; after
+    it start the feed on a new change log, or on the old one if the call failed.
+    """
+    marked = cdc.copy_offsets(offsets, incremental_group, own_group)
+    rebuilt = backfill_and_catch_up(tables, events, marked, own_group, now)
+    return publish_full_index(rebuilt, target, now)
