@@ -392,7 +392,9 @@ def reclassify_spent_detail_indexing(d: Domain) -> DataFrame:
 
 @query
 def report_detail(d: Domain) -> DataFrame:
-    return reports.report_detail(_index(d), monthly_periods(AS_OF).current)
+    periods = monthly_periods(AS_OF)
+    spends = stored(reports.report_rows(_index(d), periods), "report-rows")
+    return reports.report_detail(spends, periods.current)
 
 
 @query

@@ -31,6 +31,11 @@ def moment(value: datetime | str | Column) -> Column:
     return (value if isinstance(value, Column) else F.lit(str(value))).cast("timestamp_ntz")
 
 
+def minute_number(at: Column) -> Column:
+    """Minutes of wall-clock time since 1970, the same in every session time zone."""
+    return F.unix_date(at.cast("date")).cast("bigint") * 1440 + F.hour(at) * 60 + F.minute(at)
+
+
 def _report_hour_of(day: Column) -> Column:
     return day.cast("timestamp_ntz") + F.expr(f"interval {REPORT_HOUR} hours")
 

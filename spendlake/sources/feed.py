@@ -45,7 +45,8 @@ def read_feed_files(spark: SparkSession, folder: str, files_per_batch: int = 1)
 
 def utc(timestamp: Column) -> Column:
     """An instant as wall-clock time in UTC, whatever the session's zone is."""
-    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), timestamp.cast("timestamp_ntz"))
+    seconds = (F.unix_micros(timestamp).cast("decimal(18,0)") / 1_000_000).cast("decimal(18,6)")
+    return F.lit("1970-01-01").cast("timestamp_ntz") + F.make_dt_interval(secs=seconds)
 
 
 def decode_events(messages: DataFrame) -> DataFrame:
@@ -85,11 +86,10 @@ def write_topic(messages: DataFrame, brokers: str, topic: str) -> None:
 
 def event_messages(events: DataFrame) -> DataFrame:
     """Events in the feed's row layout: the inverse of ``decode_events``."""
-    reg_at = F.date_format("reg_at", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
-    body = F.struct("spent_idx", "indexing_type", reg_at.alias("reg_at"))
+    body = F.struct("spent_idx", "indexing_type", "reg_at")
     return events.select(
         F.col("spent_idx").cast("string").alias("key"),
-        F.to_json(body).alias("value"),
+        F.to_json(body, {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"}).alias("value"),
         F.col("partition_id").alias("partition"),
         F.col("msg_offset").alias("offset"),
     )

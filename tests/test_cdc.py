@@ -180,3 +180,15 @@ def test_partitions_without_a_position_are_read_from_the_start(spark):
     offsets = spark.createDataFrame([("own", 0, 5)], OFFSETS)
     assert rows(cdc.events_after(frame, offsets, "own")) == [(0, 5), (1, 0)]
     assert rows(cdc.events_after(frame, offsets, "nobody")) == [(0, 4), (0, 5), (1, 0)]
+
+
+@pytest.mark.parametrize("moment_text", ["2024-03-10 02:30:00", "2024-11-03 05:30:00", "2024-11-03 06:30:00.000001"])
+def test_event_times_survive_the_feed_in_any_session_zone(spark, moment_text):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        frame = events(spark, (1, "I", 0)).withColumn("reg_at", moment(moment_text))
+        found = feed.decode_events(feed.event_messages(frame)).selectExpr("cast(reg_at as string)").first()[0]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert found == moment_text

@@ -7,7 +7,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from spendlake.functions import text
-from spendlake.functions.dates import Period, moment, monthly_periods, weekly_periods
+from spendlake.functions.dates import Period, minute_number, moment, monthly_periods, weekly_periods
 from spendlake.plans import reports
 
 INDEX = (
@@ -179,3 +179,15 @@ def test_a_range_on_another_field(spark):
     frame = index(spark, *[spend(1, i, "2024-01-02", money) for i, money in enumerate((5, 9, 10, 1))])
     found = reports.group_range_agg(frame, Period(F.lit(5), F.lit(9)), range_field="spent_money")
     assert rows(found) == [(1, 14, 2)]
+
+
+def test_minute_number_follows_the_wall_clock_in_every_zone(spark):
+    # 02:30 does not exist in this zone on this day; as wall-clock time it is before 03:00.
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        early, late = (value(spark, minute_number(moment(f"2024-03-10 {t}:59"))) for t in ("02:30", "03:00"))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert late - early == 30
+    assert value(spark, minute_number(moment("1970-01-02 00:01:00"))) == 1441
