@@ -52,15 +52,18 @@ def final_action(events: DataFrame) -> DataFrame:
 def change_set(events: DataFrame, tables, now: Column, strict: bool = False) -> DataFrame:
     """Index rows to write (``op`` upsert) and keys to remove (``op`` delete), one row per key.
 
-    An upserted key that no longer qualifies for the index is left alone, as the
-    service does; ``strict`` removes it.
+    ``event_at`` is the time of the event behind the change. An upserted key that no
+    longer qualifies for the index is left alone, as the service does; ``strict``
+    removes it.
     """
-    actions = latest_action(events)
+    actions = latest_action(events).withColumnRenamed("reg_at", "event_at")
     upserts = actions.filter(F.col("action") == "upsert")
-    rows = merge.index_rows(spends_for_index(tables, upserts), now).withColumn("op", F.lit("upsert"))
-    gone = actions.filter(F.col("action") == "delete").select("spent_idx")
+    spends = spends_for_index(tables, upserts, carry=["event_at"])
+    rows = merge.index_rows(spends, now).withColumn("op", F.lit("upsert"))
+    keys = ["spent_idx", "event_at"]
+    gone = actions.filter(F.col("action") == "delete").select(keys)
     if strict:
-        gone = gone.unionByName(merge.without_keys(upserts.select("spent_idx"), rows, "spent_idx"))
+        gone = gone.unionByName(merge.without_keys(upserts.select(keys), rows, "spent_idx"))
     return rows.unionByName(gone.withColumn("op", F.lit("delete")), allowMissingColumns=True)
 
 
@@ -78,9 +81,11 @@ def apply_changes(index: DataFrame, events: DataFrame, tables, now: Column, stri
     return merge_change_set(index, stored(change_set(events, tables, now, strict), "changes"))
 
 
-def newest_change_per_key(change_log: DataFrame) -> DataFrame:
-    """Of all logged change sets, each key's row from the latest batch."""
-    return merge.last_per_key(change_log, "spent_idx", "batch_id").drop("batch_id")
+def newest_change_per_key(change_log: DataFrame, by_event_time: bool = False) -> DataFrame:
+    """Of all logged change sets each key's row from the latest batch, or with the latest event."""
+    order = F.struct("event_at", "batch_id") if by_event_time else F.struct("batch_id")
+    ordered = change_log.withColumn("order", order)
+    return merge.last_per_key(ordered, "spent_idx", "order").drop("order", "batch_id")
 
 
 def events_after(events: DataFrame, offsets: DataFrame, group: str) -> DataFrame:

@@ -2,24 +2,26 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spendlake.schemas import INDEX_COLUMNS
 
 
-def spends_for_index(tables, ids: DataFrame | None = None) -> DataFrame:
+def spends_for_index(tables, ids: DataFrame | None = None, carry: Sequence[str] = ()) -> DataFrame:
     """Indexable spends of approved rooms in active groups, with type, user, card and group.
 
     ``tables`` has the attributes ``spent_detail``, ``keyword_type``, ``users``,
     ``telegram_room``, ``user_payment_methods`` and ``agg_group``; ``ids`` narrows
-    the spends to a frame of keys. Rooms are joined first because they drop rows.
+    the spends to a frame of distinct keys, whose ``carry`` columns are added. Rooms are joined first because they drop rows.
     No join carries a broadcast hint: Spark picks one from the sizes it sees, and
     AQE splits a hot user or card where a side is too big to broadcast.
     """
     spends = tables.spent_detail.filter(F.col("should_index"))
     if ids is not None:
-        spends = spends.join(ids.select("spent_idx"), "spent_idx", "left_semi")
+        spends = spends.join(ids.select("spent_idx", *carry), "spent_idx")
     groups = tables.agg_group.filter(F.col("is_active")).select("agg_group_seq")
     rooms = tables.telegram_room.filter(F.col("is_room_approved")).select("room_seq", "agg_group_seq")
     joined = (
@@ -28,7 +30,7 @@ def spends_for_index(tables, ids: DataFrame | None = None) -> DataFrame:
         .join(tables.user_payment_methods.select("payment_method_id", "card_alias"), "payment_method_id")
         .join(tables.users.select("user_seq", "user_id"), "user_seq")
     )
-    return joined.select(*[name for name in INDEX_COLUMNS if name not in ("updated_at", "updated_by")])
+    return joined.select(*[name for name in INDEX_COLUMNS if name not in ("updated_at", "updated_by")], *carry)
 
 
 def full_index(tables) -> DataFrame:

@@ -154,9 +154,10 @@ def _candidates(wanted: DataFrame, postings: DataFrame, options: SearchOptions)
     held_by_name = (
         split.filter("common").groupBy("spent_name").agg(F.array_sort(F.collect_list("token")).alias("held"))
     )
-    from_subsets = held_by_name.select("spent_name", F.explode(_subsets("held", "string")).alias("subset")).join(
-        _best_per_subset(short, options), "subset"
-    )
+    subsets = held_by_name.select("spent_name", F.explode(_subsets("held", "string")).alias("subset"))
+    sizes = subsets.groupBy("subset").agg(F.count(F.lit(1)).alias("rows"))
+    best = _best_per_subset(short, options)
+    from_subsets = spread_join(subsets, best, "subset", sizes, "rows", F.col("spent_name"))
     pair = ["spent_name", "keyword_id"]
     return (
         from_rare.select(pair)

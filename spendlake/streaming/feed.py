@@ -49,17 +49,25 @@ def start_feed(
 
 
 def read_change_log(spark: SparkSession, change_log: str) -> DataFrame:
-    return spark.read.schema(f"{TABLES['spent_detail_indexing']}, op string, batch_id bigint").parquet(change_log)
+    columns = f"{TABLES['spent_detail_indexing']}, event_at timestamp_ntz, op string, batch_id bigint"
+    return spark.read.schema(columns).parquet(change_log)
 
 
-def read_index(index: DataFrame, change_log: DataFrame) -> DataFrame:
-    """The index with all logged changes; per key the latest batch counts."""
-    return cdc.merge_change_set(index, cdc.newest_change_per_key(change_log))
+def read_index(index: DataFrame, change_log: DataFrame, by_event_time: bool = False) -> DataFrame:
+    """The index with all logged changes.
+
+    Per key the latest batch counts, whatever its event times, as each batch stands
+    alone. With ``by_event_time`` a stale event in a later batch does not.
+    """
+    return cdc.merge_change_set(index, cdc.newest_change_per_key(change_log, by_event_time))
 
 
-def compact(target: VersionedTable, change_log: DataFrame, now: datetime, keep: int = 0) -> str:
+def compact(
+    target: VersionedTable, change_log: DataFrame, now: datetime, keep: int = 0, by_event_time: bool = False
+) -> str:
     """Publish index plus changes as the next version. Stop the feed first, then start it on a new log."""
-    return target.publish(read_index(target.read(), change_log), now, keep=keep)
+    merged = read_index(target.read(), change_log, by_event_time)
+    return target.publish(merged, now, keep=keep, sort_by=["spent_at"])
 
 
 def land_messages(messages: DataFrame, path: str) -> None:

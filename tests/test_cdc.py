@@ -122,6 +122,8 @@ def test_a_stale_delete_in_a_later_batch_still_deletes(spark, tmp_path):
     changes = stream.read_change_log(spark, log)
     assert changes.select("batch_id").distinct().count() == 2
     assert keys(stream.read_index(full_index(tables), changes)) == [2]
+    # The guard keeps 1: its delete is older than its update.
+    assert keys(stream.read_index(full_index(tables), changes, by_event_time=True)) == [1, 2]
 
 
 def test_compaction_publishes_the_merged_index(spark, tmp_path):
