@@ -327,7 +327,10 @@ ORACLES["asset_snapshot"] = statement(
 
 # Prices
 
-_STOCK_STAMPS = f"case when f.stock_seq is not null then {NOW} end as updated_at, case when f.stock_seq is not null then 'batch' end as updated_by"
+_STOCK_STAMPS = (
+    f"case when f.stock_seq is not null then {NOW} end as updated_at, "
+    "case when f.stock_seq is not null then 'batch' end as updated_by"
+)
 ORACLES["stock_price_update"] = statement(
     ("stock", "stock_type"),
     "select s.stock_seq, s.market_seq, s.stock_name, s.api_symbol, coalesce(f.new_price, s.stock_price) as stock_price, "
@@ -462,7 +465,9 @@ _DETAIL_HTML = _html_row(
     (fixed.CELL, _escaped("card_alias")),
 )
 _CATEGORY_HTML = _html_row(
-    (fixed.CELL, _escaped("spent_type")), (fixed.MONEY_CELL, _won("spent_cost")), (fixed.MONEY_CELL, "printf('%.1f%%', spent_per)")
+    (fixed.CELL, _escaped("spent_type")),
+    (fixed.MONEY_CELL, _won("spent_cost")),
+    (fixed.MONEY_CELL, "printf('%.1f%%', spent_per)"),
 )
 
 

@@ -13,7 +13,6 @@ from collections.abc import Callable
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from spendlake.functions.dates import moment
@@ -87,10 +86,3 @@ def copy_stream(messages: DataFrame, path: str, checkpoint: str) -> None:
     query.awaitTermination()
     if query.exception() is not None:
         raise RuntimeError(str(query.exception()))
-
-
-def unread_count(messages: DataFrame) -> DataFrame:
-    """Messages and highest offset per partition: the position a reader of all of them has reached."""
-    return messages.groupBy(F.col("partition").alias("partition_id")).agg(
-        F.count(F.lit(1)).alias("messages"), F.max("offset").alias("last_offset")
-    )
