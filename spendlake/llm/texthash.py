@@ -15,7 +15,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 # Texts are worked on in pieces of about this many bytes; a longer text is a piece of its own.
-PIECE_BYTES = 2 << 20
+PIECE_BYTES = 512 << 10
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
