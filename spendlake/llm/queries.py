@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from spendlake.llm import minhash, quality_rules
+from spendlake.llm import importance, minhash, quality_rules, secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -28,3 +28,13 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secret_scan(table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.quality_classifier(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
