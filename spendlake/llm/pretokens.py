@@ -140,5 +140,5 @@ def split(texts: list[str]) -> tuple[list[str], np.ndarray]:
     bounds = np.concatenate([[0], np.cumsum([len(t) for t in texts], dtype=np.int64)]).astype(np.int64)
     starts = boundaries(points, bounds)
     places = starts.tolist()
-    pieces = [whole[a:b] for a, b in zip(places, [*places[1:], len(whole)], strict=True)]
+    pieces = [whole[a:b] for a, b in zip(places, [*places[1:], len(whole)])]
     return pieces, np.searchsorted(starts, bounds)

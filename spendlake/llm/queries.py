@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from spendlake.llm import importance, minhash, quality_rules, secrets
+from spendlake.llm import byte_bpe, importance, minhash, quality_rules, secrets, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -38,3 +39,15 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.quality_classifier(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), path)
+
+
+@query
+def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return byte_bpe.encode_documents(table(spark, sf_dir, "documents"), path)
