@@ -21,8 +21,8 @@ from pyspark.sql import types as T
 from spendlake.llm import pretokens
 from spendlake.llm.texthash import pieces
 
-# Pre-tokens kept with their ids in each worker; a full cache starts anew.
-CACHE_SIZE = 300_000
+# Pre-tokens kept with their ids in each worker: two generations of so many.
+CACHE_SIZE = 250_000
 
 # Up to this many bytes the pair to merge is found by looking at all pairs, beyond by a heap.
 _SHORT = 48
@@ -48,6 +48,7 @@ class ByteBpe:
         for token, rank in ranks.items():
             self.vocabulary[rank] = token
         self._cache: dict[str, bytes] = {}
+        self._older: dict[str, bytes] = {}
 
     def merge(self, word: bytes) -> list[int]:
         """Ids of a pre-token: of its neighbouring parts the pair of least rank is merged, the leftmost first."""
@@ -107,13 +108,12 @@ class ByteBpe:
     def encode_all(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         words, bounds = pretokens.split(texts)
-        cache = self._cache
-        missing = set(words).difference(cache)
-        if len(cache) + len(missing) > CACHE_SIZE:
-            cache.clear()
-            missing = set(words)
-        for word in missing:
-            cache[word] = np.array(self.merge(word.encode()), "<u4").tobytes()
+        if len(self._cache) > CACHE_SIZE:
+            self._cache, self._older = {}, self._cache
+        cache, older = self._cache, self._older
+        for word in set(words).difference(cache):
+            ids = older.get(word)
+            cache[word] = np.array(self.merge(word.encode()), "<u4").tobytes() if ids is None else ids
         coded = [cache[word] for word in words]
         return [b"".join(coded[a:b]) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
 

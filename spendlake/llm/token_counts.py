@@ -23,8 +23,8 @@ from spendlake.llm.texthash import pieces
 
 TOKEN_LIMIT = 1024
 
-# Pre-tokens kept with their counts, and pairs of tokens, in each worker; a full cache starts anew.
-CACHE_SIZE = 300_000
+# Pre-tokens kept with their counts, and pairs of tokens, in each worker: two generations of so many.
+CACHE_SIZE = 250_000
 
 COUNTED = T.StructType(
     [
@@ -58,6 +58,7 @@ class PrefixCounter:
                 self._endings.setdefault(token[start:], token[start:] in self.ids)
         self._beside: dict[tuple[bytes, bytes], bool] = {}
         self._counts: dict[str, int] = {}
+        self._older: dict[str, int] = {}
 
     def merge(self, word: bytes) -> list[bytes]:
         """Tokens of a few bytes by plain merging."""
@@ -95,14 +96,15 @@ class PrefixCounter:
         return counts
 
     def _missing(self, words: list[str]) -> None:
-        known = self._counts
-        missing = set(words).difference(known)
-        if len(known) + len(missing) > CACHE_SIZE:
-            known.clear()
-            missing = set(words)
-        for word in missing:
-            raw = word.encode()
-            known[word] = 1 if raw in self.ids and self._whole(raw) else self.word_counts(raw)[-1]
+        if len(self._counts) > CACHE_SIZE:
+            self._counts, self._older = {}, self._counts
+        known, older = self._counts, self._older
+        for word in set(words).difference(known):
+            count = older.get(word)
+            if count is None:
+                raw = word.encode()
+                count = 1 if raw in self.ids and self._whole(raw) else self.word_counts(raw)[-1]
+            known[word] = count
 
     def _whole(self, raw: bytes) -> bool:
         """Whether a pre-token that is in the vocabulary is reached by its merges."""
@@ -143,15 +145,17 @@ class PrefixCounter:
 
         A cut inside a pre-token leaves its beginning, which is a pre-token as well but in two cases:
         white space before the cut is one run, and a contraction cut short is an apostrophe and letters.
-        Both are counted as the shorter text has them.
+        Both are counted as the shorter text has them, and so is a special string cut short.
         """
-        result, done = [0], 0
+        result, base, context = [0], 0, ""
         for part in self._parts(text):
-            inner = self._plain_counts(part)[1:]
             if part in self.special:
-                inner[-1] = 1
-            result += [done + n for n in inner]
-            done = result[-1]
+                inner = self._plain_counts(context + part)[len(context) + 1 :]
+                result += [base + n for n in inner[:-1]] + [result[-1] + 1]
+                base, context = result[-1], ""
+            else:
+                result += [base + n for n in self._plain_counts(part)[1:]]
+                context = part
         return np.array(result, np.int64)
 
     def _plain_counts(self, text: str) -> list[int]:
