@@ -61,12 +61,18 @@ class Texts:
     def _in_word(self) -> np.ndarray:
         return _WORD_BYTE[self.bytes]
 
-    def words(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Start and end byte of every word, and the first word of each text (with a closing bound)."""
+    def words(self, cuts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Start and end byte of every word, and the first word of each text (with a closing bound).
+
+        ``cuts`` flags bytes at which a word begins even within a run.
+        """
         inside = self._in_word
         opens, closes = inside.copy(), inside.copy()
         opens[1:] &= ~inside[:-1]
         closes[:-1] &= ~inside[1:]
+        if cuts is not None:
+            opens |= cuts
+            closes[:-1] |= cuts[1:]
         filled = self.bounds[:-1][self.bounds[1:] > self.bounds[:-1]]
         opens[filled] = inside[filled]
         last = filled[1:] - 1
