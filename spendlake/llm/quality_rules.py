@@ -87,7 +87,8 @@ def stats_of(text: Column | str) -> Column:
 
 def _measures() -> dict[str, Column]:
     per_word = {"symbols": "n_symbols", "repeats": "n_repeat_words", "dup_lines": "n_dup_lines", "word_length": "word_chars"}
-    return {name: F.floor(F.col(column) * 1000 / F.col("n_words")).cast("long") for name, column in per_word.items()}
+    words = F.nullif(F.col("n_words"), F.lit(0))
+    return {name: F.floor(F.col(column) * 1000 / words).cast("long") for name, column in per_word.items()}
 
 
 def base_failed() -> Column:

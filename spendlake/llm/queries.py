@@ -7,7 +7,18 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from spendlake.llm import byte_bpe, importance, minhash, packing, quality_rules, secrets, token_counts
+from spendlake.llm import (
+    byte_bpe,
+    html_text,
+    importance,
+    minhash,
+    packing,
+    prefix_forest,
+    quality_rules,
+    secrets,
+    token_counts,
+    url_filter,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -57,3 +68,18 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     return packing.pack(table(spark, sf_dir, "documents"), path)
+
+
+@query
+def op3_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_forest.nearest_neighbours(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.html_text(table(spark, sf_dir, "pages"))
+
+
+@query
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.url_filter(table(spark, sf_dir, "pages"))

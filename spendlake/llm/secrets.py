@@ -315,11 +315,13 @@ def secret_scan(docs: DataFrame) -> DataFrame:
 
 def mask_secrets(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` with secrets masked in ``text``; n_chars follows where the text changed."""
-    made = docs.withColumn("masked_", redact("text"))
+    made = docs.select(F.struct("*").alias("row_"), redact("text").alias("masked_"))
     changed = F.col("masked_.n_spans") > 0
     values = {
-        "text": F.when(changed, F.col("masked_.text")).otherwise(F.col("text")),
-        "n_chars": F.when(changed, F.length("masked_.text")).otherwise(F.col("n_chars")),
+        "text": F.when(changed, F.col("masked_.text")).otherwise(F.col("row_.text")),
+        "n_chars": F.when(changed, F.length("masked_.text")).otherwise(F.col("row_.n_chars")),
     }
     types = dict(docs.dtypes)
-    return made.select(*[values[c].cast(types[c]).alias(c) if c in values else F.col(c) for c in docs.columns])
+    return made.select(
+        *[(values[c].cast(types[c]) if c in values else F.col("row_")[c]).alias(c) for c in docs.columns]
+    )
