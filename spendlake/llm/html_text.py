@@ -26,7 +26,8 @@ from spendlake.llm.texthash import Texts, pieces
 SAMPLE_PAGES = 192
 SAMPLE_CHARS = 100_000
 LAYOUTS = 6
-EPOCHS = 12
+LONGEST = 160
+EPOCHS = 10
 SEED = 5
 
 PATH_SIZE = 96
@@ -245,8 +246,8 @@ class BiLstm:
 
     @staticmethod
     def _back(weight: np.ndarray, tape: list, inputs: np.ndarray, into: np.ndarray) -> np.ndarray:
-        total = np.zeros_like(weight)
         recurrent = weight[INPUT:-1]
+        slopes = np.empty((len(tape), inputs.shape[1], 4 * HIDDEN), np.float32)
         d_state = np.zeros_like(tape[0][0])
         d_cell = np.zeros_like(d_state)
         for step in range(len(tape) - 1, -1, -1):
@@ -263,19 +264,19 @@ class BiLstm:
                 ],
                 axis=1,
             )
-            total[:INPUT] += inputs[step].T @ gates
-            total[INPUT:-1] += state.T @ gates
-            total[-1] += gates.sum(axis=0)
+            slopes[step] = gates
             d_state = d_state * (1 - on) + gates @ recurrent.T
             d_cell = d_next * (on * hold + 1 - on)
-        return total
+        flat = slopes.reshape(-1, 4 * HIDDEN)
+        states = np.stack([entry[0] for entry in tape]).reshape(-1, HIDDEN)
+        return np.concatenate([inputs.reshape(-1, INPUT).T @ flat, states.T @ flat, flat.sum(axis=0)[None]])
 
 
 # How templates wrap the main text and everything else; the last tag of a wrap holds the block.
 _MAIN = "article|main article|main|div .content|div .page div .post .body|section .entry|div .article .body|div .main .text|td .story"
 _MAIN_LEAVES = "h1|h2|p|p|p|p|p|p|li|blockquote|pre"
 _OTHER = {
-    "menu": "nav ul li|div .menu ul li|ul .navbar li|header nav ul li|div .nav .links|nav|div .breadcrumb",
+    "menu": "nav ul li|div .menu ul li|ul .navbar li|ul .nav li|ul .menu li|div .nav|header nav ul li|div .nav .links|nav|div .breadcrumb",
     "header": "header|div .header|div .masthead|header h1|div .top .bar|div .site .header p",
     "footer": "footer|div .footer|div .footer p|footer p|div .copyright|footer ul li|div .site .footer div",
     "sidebar": "aside|div .sidebar|div .related ul li|div .widget|aside p|aside ul li|div .sidebar div .widget p|div .side .col h3",
@@ -289,7 +290,7 @@ _BEFORE = ("header", "menu", "notice", "advert", "form", "sidebar")
 _AFTER = ("comments", "sidebar", "advert", "form", "footer", "menu", "notice", "share")
 
 
-def _lay_out(texts: list[str], words: list[str], random: np.random.Generator):
+def _lay_out(texts: list[str], words: np.ndarray, random: np.random.Generator):
     """Paths, texts, link shares and labels of a page with the texts as its main text."""
     rows: list[tuple[tuple[str, ...], str, float, float]] = []
 
@@ -309,11 +310,13 @@ def _lay_out(texts: list[str], words: list[str], random: np.random.Generator):
     for kind in _BEFORE:
         if random.random() < 0.4:
             other(kind, body)
+    leaves = ["p"] if random.random() < 0.6 else _MAIN_LEAVES.split("|")
+    noise = random.choice([0.0, 0.02, 0.1])
     for number, text in enumerate(texts):
-        leaf = "h1" if not number and random.random() < 0.7 else random.choice(_MAIN_LEAVES.split("|"))
+        leaf = "h1" if not number and random.random() < 0.8 else str(random.choice(leaves))
         around = main + (("ul",) if leaf == "li" else ())
         rows.append((around if random.random() < 0.05 else around + (leaf,), text, float(random.random() < 0.02), 1.0))
-        if random.random() < 0.06:
+        if random.random() < noise:
             other(str(random.choice(["advert", "share", "form", "sidebar", "notice"])), main)
     if random.random() < 0.25:
         other("comments", main)
@@ -359,10 +362,13 @@ def train(pages: list[str]) -> BiLstm | None:
     if not material:
         return None
     rows, labels, kept = [], [], {}
+    vocabulary = np.array(words)
+    everything = [text for main in material for text in main]
     for _ in range(LAYOUTS):
         for main in material:
-            chosen = main[: int(random.integers(1, 40))]
-            made = _lay_out(chosen, words, random)
+            size = int(np.exp(random.uniform(0, np.log(LONGEST))))
+            more = [everything[i] for i in random.integers(0, len(everything), max(0, size - len(main)))]
+            made = _lay_out([*main, *more][:size], vocabulary, random)
             rows.append(_features([r[0] for r in made], [r[1] for r in made], [r[2] for r in made], kept))
             labels.append(np.array([r[3] for r in made], np.float32))
     model = BiLstm(random)
