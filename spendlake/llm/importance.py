@@ -21,17 +21,22 @@ from spendlake.session import stored
 
 BUCKETS = 1 << 16
 
-# The target model and the size of the draw come from at most this many labelled rows.
-MAX_TARGET_ROWS = 20_000
+# The target model comes from every other one of at most this many labelled rows, and the size of
+# the draw from the others, which the model has not seen.
+MAX_TARGET_ROWS = 40_000
 
 # The draw is as large as the number of documents whose mean weight per feature is no lower than
-# that of all but this share of the target rows, less the margin.
+# that of all but this share of the unseen target rows, less the margin.
 TARGET_LOSS = 0.002
 MARGIN = 0.05
 
 # Long and short texts count alike: as so many features of their mean weight.
 PSEUDO_LENGTH = 200
 
+# The target model is mixed with so much of the raw one: a share of its features, and so many at least.
+SMOOTH_SHARE = 0.02
+SMOOTH_FEATURES = 50_000
+
 SEED = 20240611
 
 WEIGHT = T.StructType([T.StructField("log_weight", T.DoubleType()), T.StructField("n_features", T.LongType())])
@@ -64,14 +69,15 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def target_ids(labels: DataFrame) -> DataFrame:
-    """doc_id of labelled good, not toxic rows: those of least hash, at most MAX_TARGET_ROWS."""
+    """doc_id of labelled good, not toxic rows, those of least hash, at most MAX_TARGET_ROWS; half of them for the model."""
     good = labels.filter("quality = 1 and coalesce(toxic, 0) = 0 and doc_id is not null").select("doc_id").distinct()
-    return good.orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_TARGET_ROWS)
+    chosen = good.orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_TARGET_ROWS)
+    return chosen.select(F.col("doc_id").alias("target_id"), (F.xxhash64("doc_id", F.lit(SEED)) % 2 == 0).alias("taught"))
 
 
 def log_ratios(docs: DataFrame, ids: DataFrame) -> np.ndarray:
     """Per bucket the log ratio of the target model to the raw one; counts over all rows of ``docs``."""
-    flags = F.broadcast(ids.select(F.col("doc_id").alias("target_id")))  # MAX_TARGET_ROWS at most
+    flags = F.broadcast(ids.filter("taught"))  # MAX_TARGET_ROWS at most
     flagged = docs.join(flags, F.col("doc_id") == F.col("target_id"), "left")
     parts = flagged.select("text", F.col("target_id").isNotNull().alias("target")).mapInArrow(
         _counted, "bucket long, raw long, target long"
@@ -83,9 +89,10 @@ def log_ratios(docs: DataFrame, ids: DataFrame) -> np.ndarray:
     if not target.any():
         return np.zeros(BUCKETS)
     # The raw model smooths the target's, so that a feature is rare in it rather than impossible.
-    share = raw / raw.sum()
-    smooth = 0.02
-    return np.where(raw > 0, np.log((target / target.sum() + smooth * share + 1e-12) / ((1 + smooth) * share + 1e-12)), 0.0)
+    share, total = raw / raw.sum(), target.sum()
+    mixed = SMOOTH_SHARE * total + SMOOTH_FEATURES
+    smoothed = (target + mixed * share) / (total + mixed)
+    return np.where(raw > 0, np.log(np.maximum(smoothed, 1e-300) / np.where(raw > 0, share, 1.0)), 0.0)
 
 
 def weigh(text: Column | str, ratios: np.ndarray) -> Column:
@@ -147,13 +154,13 @@ class Draw:
     def __init__(self, docs: DataFrame, labels: DataFrame):
         ids = stored(target_ids(labels), "targets")
         self.ratios = log_ratios(docs.select("doc_id", "text"), ids)
-        flags = F.broadcast(ids.select(F.col("doc_id").alias("target_id")))  # MAX_TARGET_ROWS at most
+        flags = F.broadcast(ids.filter("not taught").drop("taught"))  # MAX_TARGET_ROWS at most
         weighed = docs.select("doc_id", weigh("text", self.ratios).alias("weight"))
         scored = weighed.select("doc_id", "weight.*", _score(F.col("weight")).alias("score"))
         joined = scored.join(flags, F.col("doc_id") == F.col("target_id"), "left")
-        self.scores = stored(joined.withColumn("is_target", F.col("target_id").isNotNull()).drop("target_id"), "scores")
+        self.scores = stored(joined.withColumn("unseen", F.col("target_id").isNotNull()).drop("target_id"), "scores")
         mean = F.when(F.col("n_features") > 0, F.col("log_weight") / F.col("n_features"))
-        lowest = self.scores.filter("is_target").agg(F.percentile(mean, F.lit(TARGET_LOSS))).first()[0]
+        lowest = self.scores.filter("unseen").agg(F.percentile(mean, F.lit(TARGET_LOSS))).first()[0]
         alike = F.lit(True) if lowest is None else mean >= lowest - MARGIN
         self.size = self.scores.filter(mean.isNotNull() & alike).count()
         self.cut = kth_largest(self.scores, "score", self.size) if self.size else None
