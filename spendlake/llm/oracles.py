@@ -2,4 +2,74 @@
 
 from __future__ import annotations
 
-ORACLES: dict[str, str] = {}
+from spendlake.llm.quality_rules import FENCE_RANGES, MAX_REPEAT_PERCENT, MIN_GROUP, MIN_WORDS, SLACK
+
+_WORD = r"[^\x20\x09-\x0D]+"
+
+_QUALITY = rf"""
+with texts as (
+    select row_number() over () as r, doc_id, lang, source, coalesce(text, '') as t from documents
+), split as (
+    select r, regexp_extract_all(t, '{_WORD}') as w,
+        list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '{_WORD}')) as l
+    from texts
+), placed as (
+    select r, unnest(w) as word, unnest(range(len(w))) as i from split
+), grams as (
+    select r, i, word, lead(word) over o as word2, lead(word, 2) over o as word3 from placed window o as (partition by r order by i)
+), twice as (
+    select r, i from grams where word3 is not null qualify count(*) over (partition by r, word, word2, word3) > 1
+), repeats as (
+    select r, count(distinct i + d) as n from twice, (values (0), (1), (2)) as v(d) group by r
+), measured as (
+    select t.r, doc_id, lang, source, len(w)::bigint as n_words,
+        coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::bigint as word_chars,
+        length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::bigint as n_symbols,
+        (len(l) - list_unique(l))::bigint as n_dup_lines, coalesce(p.n, 0)::bigint as n_repeat_words
+    from texts t join split s on t.r = s.r left join repeats p on t.r = p.r
+), judged as (
+    select *, n_words < {MIN_WORDS} or n_repeat_words * 100 > n_words * {MAX_REPEAT_PERCENT} as base_failed from measured
+), long as (
+    select r, lang, source, base_failed, 'symbols' as measure, n_symbols * 1000 // n_words as v from judged where n_words > 0
+    union all select r, lang, source, base_failed, 'repeats', n_repeat_words * 1000 // n_words from judged where n_words > 0
+    union all select r, lang, source, base_failed, 'dup_lines', n_dup_lines * 1000 // n_words from judged where n_words > 0
+    union all select r, lang, source, base_failed, 'word_length', word_chars * 1000 // n_words from judged where n_words > 0
+), shifted as (
+    select *, greatest(length(bin(v)) - 5, 0)::bigint as shift from long where not base_failed
+), cells as (
+    select lang, source, measure, (shift * 64 + (v >> shift))::bigint as cell, count(*) as n from shifted group by all
+), merged as (
+    select lang, measure, cell, sum(n) as n from cells group by all
+), own as (
+    select lang, source, measure, (cell % 64) << (cell // 64) as v,
+        sum(n) over (partition by lang, source, measure order by cell) as upto,
+        sum(n) over (partition by lang, source, measure) as size from cells
+), whole as (
+    select lang, measure, (cell % 64) << (cell // 64) as v,
+        sum(n) over (partition by lang, measure order by cell) as upto,
+        sum(n) over (partition by lang, measure) as size from merged
+), own_quartiles as (
+    select lang, source, measure, min(v) filter (upto * 4 >= size) as q1, min(v) filter (upto * 4 >= size * 3) as q3,
+        max(size) as size from own group by all
+), whole_quartiles as (
+    select lang, measure, min(v) filter (upto * 4 >= size) as q1, min(v) filter (upto * 4 >= size * 3) as q3
+    from whole group by all
+), slack as (
+    select * from (values {", ".join(f"('{name}', {value})" for name, value in SLACK.items())}) as s(measure, slack)
+), chosen as (
+    select o.lang, o.source, o.measure, slack, case when size < {MIN_GROUP} then l.q1 else o.q1 end as q1,
+        case when size < {MIN_GROUP} then l.q3 else o.q3 end as q3
+    from own_quartiles o join slack s on o.measure = s.measure
+    join whole_quartiles l on o.lang is not distinct from l.lang and o.measure = l.measure
+), failed as (
+    select distinct l.r from long l join chosen c on l.measure = c.measure
+        and l.lang is not distinct from c.lang and l.source is not distinct from c.source
+    where l.v > q3 + (q3 - q1) * {FENCE_RANGES} + slack
+        or (l.measure = 'word_length' and l.v < q1 - (q3 - q1) * {FENCE_RANGES} - slack)
+)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+    not base_failed and r not in (select r from failed) as kept
+from judged
+"""
+
+ORACLES: dict[str, str] = {"op7_quality_rules": _QUALITY}
