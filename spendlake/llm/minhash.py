@@ -10,7 +10,9 @@ is compared by its shingles.
 
 from __future__ import annotations
 
+import functools
 import math
+import operator
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from spendlake.llm.components import components
+from spendlake.llm.components import component_roots, near_labels
 from spendlake.llm.texthash import Texts, mix, pieces, text_of, windows
 from spendlake.session import stored
 
@@ -31,8 +33,12 @@ BANDS = 32
 BAND_ROWS = 6
 COORDINATES = BANDS * BAND_ROWS
 
-# One-bit signatures of pairs at 0.8 differ in 19 of 192 places on average, with a deviation of 4.2.
-MAX_DIFFERENT_BITS = 48
+# Nodes that stay contested get one-bit signatures of so many coordinates. Pairs at 0.8 differ in
+# 205 of them on average, with a deviation of 13.6; more than 4.5 deviations are no link.
+FINE_COORDINATES = 2048
+MAX_DIFFERENT_BITS = 266
+FIRST_LOOK_BITS = 256
+MAX_FIRST_BITS = 48
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _ID = np.uint64(0xD6E8FEB86659FD93)
@@ -42,7 +48,6 @@ SKETCH = T.StructType(
         T.StructField("key_high", T.LongType()),
         T.StructField("key_low", T.LongType()),
         T.StructField("weight", T.LongType()),
-        T.StructField("bits", T.ArrayType(T.LongType())),
         T.StructField("bands", T.ArrayType(T.LongType())),
     ]
 )
@@ -75,7 +80,9 @@ def _uniform(bits: np.ndarray) -> np.ndarray:
     return ((bits >> np.uint64(11)).astype(np.float64) + 1.0) * 2.0**-53
 
 
-def signatures(values: np.ndarray, weights: np.ndarray, owners: np.ndarray, count: int) -> np.ndarray:
+def signatures(
+    values: np.ndarray, weights: np.ndarray, owners: np.ndarray, count: int, coordinates: int = COORDINATES
+) -> np.ndarray:
     """DartMinHash of ``count`` weighted sets: per set and coordinate the id of its dart of least rank.
 
     ``values`` are the elements' hashes. Weights are cut into regions of doubling width, and a
@@ -83,89 +90,128 @@ def signatures(values: np.ndarray, weights: np.ndarray, owners: np.ndarray, coun
     its rate. A set looks at ranks up to a bound that should fill all coordinates; if one stays
     empty, the bound is doubled. Sets without elements keep zeros.
     """
-    result = np.zeros((count, COORDINATES), np.uint64)
+    result = np.zeros((count, coordinates), np.uint64)
     total = np.bincount(owners, weights, minlength=count)
     with np.errstate(divide="ignore"):
-        reach = COORDINATES * (math.log(COORDINATES) + 2) / total
+        reach = coordinates * (math.log(coordinates) + 2) / total
     todo = total > 0
     while todo.any():
-        best, ids = _throw(values, weights, owners, np.where(todo, reach, 0.0), count)
-        done = todo & np.isfinite(best).all(axis=1)
-        result[done] = ids[done]
+        best = _throw(values, weights, owners, np.where(todo, reach, 0.0), coordinates)
+        done = todo & (best != _NO_DART).all(axis=1)
+        result[done] = best[done]
         todo &= ~done
         chosen = todo[owners]
         values, weights, owners = values[chosen], weights[chosen], owners[chosen]
         reach = reach * 2
-    return result
+    return result & _DART_BITS
+
+
+_NO_DART = np.uint64(2**64 - 1)
+_DART_BITS = np.uint64(2**32 - 1)
 
 
 def _salt(number: int) -> np.uint64:
     return np.uint64(number * int(_STEP) & (2**64 - 1))
 
 
-def _throw(values, weights, owners, reach, count) -> tuple[np.ndarray, np.ndarray]:
-    regions = np.floor(np.log2(weights)).astype(np.int64) + 1
-    element = np.repeat(np.arange(len(values)), regions)
-    level = np.arange(len(element)) - np.repeat(np.cumsum(regions) - regions, regions)
-    width = np.exp2(level)
-    seed = mix(values[element] + mix(level.astype(np.uint64) + _STEP))
-    owner, limit, top = owners[element], reach[owners[element]], weights[element]
-    rank = np.zeros(len(element))
-    best = np.full(count * COORDINATES, np.inf)
-    ids = np.zeros(count * COORDINATES, np.uint64)
-    round_ = 0
+def _throw(
+    values: np.ndarray, weights: np.ndarray, owners: np.ndarray, reach: np.ndarray, coordinates: int
+) -> np.ndarray:
+    """Per set and coordinate the dart of least rank: the rank as a float of 32 bits, then 32 bits of its id."""
+    best = np.full(len(reach) * coordinates, _NO_DART)
+    # Weights are 1 or more, so the first region, of width 1, is caught whole; the wider ones in part.
+    _arrivals(mix(values + _salt(1)), 1.0, reach[owners], owners * coordinates, None, best, coordinates)
+    level = 1
+    while (weights >= 1 << level).any():
+        held = np.flatnonzero(weights >= 1 << level)
+        seed = mix(values[held] + _salt(level + 1))
+        share = (weights[held] - ((1 << level) - 1)) / (1 << level)
+        own = owners[held]
+        _arrivals(seed, float(1 << level), reach[own], own * coordinates, share, best, coordinates)
+        level += 1
+    return best.reshape(len(reach), coordinates)
+
+
+def _arrivals(
+    seed: np.ndarray,
+    rate: float,
+    limit: np.ndarray,
+    base: np.ndarray,
+    share: np.ndarray | None,
+    best: np.ndarray,
+    coordinates: int,
+) -> None:
+    """Throws the darts of regions up to their ranks' limits; of each region only ``share`` of the width counts.
+
+    A region's next darts are thrown together, the more of them the fewer regions are left.
+    """
+    rank, thrown = np.zeros(len(seed)), 0
     while len(seed):
-        bits = mix(seed + _salt(2 * round_ + 1))
-        rank = rank - np.log(_uniform(bits)) / width
-        near = rank <= limit
-        seed, rank, owner, limit, top, width = (x[near] for x in (seed, rank, owner, limit, top, width))
-        hit = slice(None)
-        if (width > 1).any():
-            place = width - 1 + width * _uniform(mix(seed + _salt(2 * round_ + 2)))
-            hit = (width == 1) | (place <= top)
-        dart = mix(seed ^ (_salt(round_ + 1) ^ _ID))[hit]
-        at = owner[hit] * COORDINATES + ((dart >> np.uint64(32)) % np.uint64(COORDINATES)).astype(np.int64)
-        ranks = rank[hit]
-        np.minimum.at(best, at, ranks)
-        won = best[at] == ranks
-        ids[at[won]] = dart[won]
-        round_ += 1
-    return best.reshape(count, COORDINATES), ids.reshape(count, COORDINATES)
+        many = min(512, max(1, 8192 // len(seed)))
+        salts = np.array([_salt(2 * (thrown + i + 1)) for i in range(many)], np.uint64)
+        gaps = -np.log(_uniform(mix(seed[:, None] + salts))) / rate
+        gaps[:, 0] += rank
+        ranks = np.cumsum(gaps, axis=1)
+        region, nth = np.nonzero(ranks <= limit[:, None])
+        dart = mix(seed[region] ^ (salts[nth] + _STEP))
+        at = base[region] + ((dart >> np.uint64(32)) % np.uint64(coordinates)).astype(np.int64)
+        order = ranks[region, nth].astype(np.float32).view(np.uint32).astype(np.uint64)
+        key = (order << np.uint64(32)) | (dart & _DART_BITS)
+        if share is not None:
+            hit = _uniform(mix(dart)) <= share[region]
+            at, key = at[hit], key[hit]
+        np.minimum.at(best, at, key)
+        left = np.flatnonzero(ranks[:, -1] <= limit)
+        rank, seed, limit, base = ranks[left, -1], seed[left], limit[left], base[left]
+        share = None if share is None else share[left]
+        thrown += many
+
+
+def _weighted(texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, tuple[np.ndarray, np.ndarray]]:
+    """Distinct shingles with their texts and frequencies, and the two keys of the texts."""
+    values, owners, *keys = shingles(texts)
+    order = np.lexsort((values, owners))
+    values, owners = values[order], owners[order]
+    first = np.ones(len(values), bool)
+    first[1:] = (values[1:] != values[:-1]) | (owners[1:] != owners[:-1])
+    places = np.flatnonzero(first)
+    return values[places], owners[places], np.diff(np.append(places, len(values))), (keys[0], keys[1])
+
+
+def _listed(parts: list[np.ndarray], rows: int, width: int) -> pa.Array:
+    flat = np.concatenate(parts).reshape(-1) if parts else np.empty(0, np.int64)
+    return pa.ListArray.from_arrays(pa.array(np.arange(rows + 1, dtype=np.int32) * width), pa.array(flat))
 
 
 def sketch(array: pa.Array) -> pa.StructArray:
-    """Key of the word sequence, weight, one-bit signature and band keys of each text."""
-    keys, weights_, bits, bands = [], [], [], []
-    for start, end in pieces(array):
+    """Key of the word sequence, weight and band keys of each text."""
+    columns: list[list[np.ndarray]] = [[], [], []]
+    bands = []
+    for start, end in pieces(array, row_bytes=1024):
         texts = Texts(pc.utf8_lower(array.slice(start, end - start)))
-        values, owners, high, low = shingles(texts)
-        order = np.lexsort((values, owners))
-        values, owners = values[order], owners[order]
-        first = np.ones(len(values), bool)
-        first[1:] = (values[1:] != values[:-1]) | (owners[1:] != owners[:-1])
-        places = np.flatnonzero(first)
-        heavy = np.diff(np.append(places, len(values)))
-        marks = signatures(values[places], heavy.astype(np.float64), owners[places], texts.count)
-        keys.append((high, low))
-        weights_.append(np.bincount(owners, minlength=texts.count))
-        packed = np.packbits((marks & np.uint64(1)).astype(bool), axis=1)
-        bits.append(packed.view(np.int64))
+        values, owners, heavy, keys = _weighted(texts)
+        marks = signatures(values, heavy.astype(np.float64), owners, texts.count)
+        weight = np.bincount(owners, heavy, minlength=texts.count).astype(np.int64)
+        for column, part in zip(columns, (keys[0].view(np.int64), keys[1].view(np.int64), weight), strict=True):
+            column.append(part)
         rows = marks.reshape(texts.count, BANDS, BAND_ROWS)
         band = np.broadcast_to(np.arange(BANDS, dtype=np.uint64), (texts.count, BANDS)).copy()
         for place in range(BAND_ROWS):
             band = mix(band * _STEP + rows[:, :, place])
         bands.append(band.view(np.int64))
+    whole = [pa.array(np.concatenate(c) if c else np.empty(0, np.int64)) for c in columns]
+    return pa.StructArray.from_arrays([*whole, _listed(bands, len(array), BANDS)], names=SKETCH.fieldNames())
 
-    def listed(parts: list[np.ndarray], width: int) -> pa.Array:
-        flat = np.concatenate(parts).reshape(-1) if parts else np.empty(0, np.int64)
-        return pa.ListArray.from_arrays(pa.array(np.arange(len(array) + 1, dtype=np.int32) * width), pa.array(flat))
 
-    def joined(parts: list[np.ndarray]) -> pa.Array:
-        return pa.array((np.concatenate(parts) if parts else np.empty(0, np.int64)).astype(np.int64))
-
-    highs, lows = [k[0].view(np.int64) for k in keys], [k[1].view(np.int64) for k in keys]
-    columns = [joined(highs), joined(lows), joined(weights_), listed(bits, COORDINATES // 64), listed(bands, BANDS)]
-    return pa.StructArray.from_arrays(columns, names=SKETCH.fieldNames())
+def fine_bits(array: pa.Array) -> pa.Array:
+    """One-bit signature of FINE_COORDINATES of each text, as whole numbers of 64 bits."""
+    parts = []
+    for start, end in pieces(array, row_bytes=8 * FINE_COORDINATES):
+        texts = Texts(pc.utf8_lower(array.slice(start, end - start)))
+        values, owners, heavy, _ = _weighted(texts)
+        marks = signatures(values, heavy.astype(np.float64), owners, texts.count, FINE_COORDINATES)
+        parts.append(np.packbits((marks & np.uint64(1)).astype(bool), axis=1).view(np.int64))
+    return _listed(parts, len(array), FINE_COORDINATES // 64)
 
 
 def tokens(array: pa.Array) -> pa.Array:
@@ -192,9 +238,20 @@ def document_key() -> Column:
     return F.coalesce("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))))
 
 
-def _differ(a: str, b: str) -> Column:
-    counts = [F.bit_count(F.col(a)[i].bitwiseXOR(F.col(b)[i])) for i in range(COORDINATES // 64)]
-    return counts[0] + counts[1] + counts[2]
+def _texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """(id, text) of the documents with the given keys."""
+    return docs.select(document_key().alias("id"), "text").join(ids, "id", "left_semi")
+
+
+def _close(a: str, b: str) -> Column:
+    """Whether two fine signatures differ in few enough bits: a first look at some, then all."""
+
+    def differ(x: Column, y: Column) -> Column:
+        return F.bit_count(x.bitwiseXOR(y))
+
+    first = functools.reduce(operator.add, [differ(F.col(a)[i], F.col(b)[i]) for i in range(FIRST_LOOK_BITS // 64)])
+    every = F.aggregate(F.zip_with(a, b, differ), F.lit(0), operator.add)
+    return (first <= MAX_FIRST_BITS) & (every <= MAX_DIFFERENT_BITS)
 
 
 def _confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
@@ -202,8 +259,7 @@ def _confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     pairs = stored(pairs.distinct(), "pairs")
     wanted = stored(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "wanted")
     udf = F.arrow_udf(lambda array: tokens(array), returnType=T.ArrayType(T.LongType()))
-    keyed = docs.select(document_key().alias("id"), "text").join(wanted, "id", "left_semi")
-    held = stored(keyed.select("id", udf("text").alias("tokens")), "tokens")
+    held = stored(_texts_of(docs, wanted).select("id", udf("text").alias("tokens")), "tokens")
     left = held.withColumnsRenamed({"id": "a", "tokens": "left"})
     right = held.withColumnsRenamed({"id": "b", "tokens": "right"})
     shared = F.size(F.array_intersect("left", "right"))
@@ -211,13 +267,23 @@ def _confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").filter(similar).select("a", "b")
 
 
+def _open_buckets(shared: DataFrame, roots: DataFrame) -> DataFrame:
+    """Rows of the buckets that hold several components, with their root and the one of most nodes as ``main``."""
+    placed = shared.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    placed = stored(placed.drop("head"), "placed")
+    per_root = placed.groupBy("band", "root").agg(F.count("*").alias("n"))
+    main = per_root.groupBy("band").agg(F.max_by("root", "n").alias("main"), F.count("*").alias("roots"))
+    main = stored(main.filter("roots > 1").select("band", "main"), "main-roots")
+    return stored(placed.join(main, "band"), "open")
+
+
 def classes(docs: DataFrame) -> DataFrame:
     """(id, class_id) of every document key, each once; a class is named by its smallest key.
 
     Exact copies (equal words) are one node from the start. In every band bucket nodes are
-    compared with the smallest one. That joins large groups of copies without listing their
-    pairs; then every pair of a bucket that is still in two components is compared as well,
-    so no link that the bands find is lost.
+    compared with the smallest one, which joins large groups of copies without listing their
+    pairs. Buckets that still hold several components are searched pair by pair, but for pairs
+    within one, so no link that the bands find is lost; longer signatures leave few to compare.
     """
     udf = F.arrow_udf(lambda array: sketch(array), returnType=SKETCH)
     made = docs.select(document_key().alias("id"), udf("text").alias("sketch"))
@@ -229,30 +295,27 @@ def classes(docs: DataFrame) -> DataFrame:
     nodes = texts_.join(named, content).filter("id = node").dropDuplicates(["node", *content])
     one_id = members.groupBy("id").agg(F.min("node").alias("a"), F.max("node").alias("b")).filter("a <> b")
 
-    banded = stored(nodes.select("node", "weight", "bits", F.explode("bands").alias("band")), "bands")
+    banded = stored(nodes.select("node", "weight", F.posexplode("bands").alias("place", "band")), "bands")
     heads = banded.groupBy("band").agg(F.min("node").alias("head"), F.count("*").alias("n")).filter("n > 1")
     heads = stored(heads.select("band", "head"), "heads")
     shared = stored(banded.join(heads, "band"), "buckets")
     stars = shared.filter("node <> head").select(F.col("node").alias("a"), F.col("head").alias("b"))
     links = stored(_confirmed(stars, docs).unionByName(one_id.select("a", "b")), "links")
-    roots = stored(components(links), "roots")
-
-    placed = shared.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    placed = stored(placed.drop("head"), "placed")
-    per_root = placed.groupBy("band", "root").agg(F.count("*").alias("n"))
-    main = per_root.groupBy("band").agg(F.max_by("root", "n").alias("main"), F.count("*").alias("roots"))
-    main = stored(main.filter("roots > 1").select("band", "main"), "main-roots")
-    open_ = stored(placed.join(main, "band"), "open")
-    other = open_.filter("root <> main").drop("main").withColumnsRenamed(
-        {c: f"{c}_" for c in ("node", "weight", "bits", "root")}
-    )
+    labels = near_labels(links)
+    open_ = _open_buckets(shared, labels)
+    contested = stored(open_.select(F.col("node").alias("id")).distinct(), "contested")
+    finely = F.arrow_udf(lambda array: fine_bits(array), returnType=T.ArrayType(T.LongType()))
+    fine = _texts_of(docs, contested).select("id", finely("text").alias("bits"))
+    fine = stored(fine.join(sketched.select("id", "bands"), "id").withColumnRenamed("id", "node"), "fine")
+    open_ = stored(open_.join(fine, "node"), "open")
+    other = open_.filter("root <> main").drop("main", "place")
+    other = other.withColumnsRenamed({c: f"{c}_" for c in ("node", "weight", "bits", "root", "band", "bands")})
     apart = (F.col("root") != F.col("root_")) & ((F.col("root") == F.col("main")) | (F.col("node") < F.col("node_")))
-    close = (F.least("weight", "weight_") >= SIMILARITY * F.greatest("weight", "weight_")) & (
-        _differ("bits", "bits_") <= MAX_DIFFERENT_BITS
-    )
-    pairs = open_.join(other, "band").filter(apart & close)
+    sizes = F.least("weight", "weight_") >= SIMILARITY * F.greatest("weight", "weight_")
+    met = F.arrays_overlap(F.slice("bands", 1, F.col("place")), F.slice("bands_", 1, F.col("place")))
+    pairs = open_.join(other, (F.col("band") == F.col("band_")) & apart & sizes & _close("bits", "bits_") & ~met)
     more = _confirmed(pairs.select(F.col("node").alias("a"), F.col("node_").alias("b")), docs)
-    roots = stored(components(links.unionByName(more)), "roots")
+    roots = component_roots(links.unionByName(more), labels)
 
     placed_ids = members.join(roots, "node", "left").select("id", F.coalesce("root", "node").alias("class_id"))
     found = placed_ids.groupBy("id").agg(F.min("class_id").alias("class_id"))

@@ -20,15 +20,15 @@ PIECE_BYTES = 512 << 10
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
-def pieces(array: pa.Array, size: int = PIECE_BYTES) -> Iterator[tuple[int, int]]:
-    """Ranges of whole rows that hold about ``size`` bytes of text each."""
+def pieces(array: pa.Array, size: int = PIECE_BYTES, row_bytes: int = 0) -> Iterator[tuple[int, int]]:
+    """Ranges of whole rows of about ``size`` bytes each; a row counts its text and ``row_bytes`` more."""
     lengths = np.asarray(pc.fill_null(pc.binary_length(array), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
     start, total = 0, 0
-    for row, length in enumerate(lengths):
+    for row, length in enumerate((lengths + row_bytes).tolist()):
         if total and total + length > size:
             yield start, row
             start, total = row, 0
-        total += int(length)
+        total += length
     if start < len(lengths):
         yield start, len(lengths)
 
