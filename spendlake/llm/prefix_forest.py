@@ -119,8 +119,10 @@ class Segment:
             chosen = np.zeros(len(self.ids), bool)
             for order, start, end in zip(self.orders, low[:, number], high[:, number], strict=True):
                 chosen[order[start:end]] = True
-            chosen &= self.ids != query_ids[number]
-            at = np.flatnonzero(chosen)
+            other = self.ids != query_ids[number]
+            at = np.flatnonzero(chosen & other)
+            if len(at) < NEAREST:  # the ranges overlap: up to the roots after all
+                at = np.flatnonzero(other)
             gap = self.rows[at] - query
             distance = np.sqrt(np.einsum("ij,ij->i", gap, gap))
             if len(at) > NEAREST:
