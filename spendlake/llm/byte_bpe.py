@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from spendlake.llm import pretokens
+from spendlake.llm.batches import short_batches
 from spendlake.llm.texthash import pieces
 
 # Pre-tokens kept with their ids in each worker: two generations of so many.
@@ -161,4 +162,4 @@ def encode_documents(docs: DataFrame, path: str) -> DataFrame:
     each give a row; other columns are left out. No rows give none. ``path`` is the rank file, the same on
     every machine.
     """
-    return docs.select("doc_id", digests("text", path).alias("made")).select("doc_id", "made.*")
+    return short_batches(docs).select("doc_id", digests("text", path).alias("made")).select("doc_id", "made.*")

@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from spendlake.llm.batches import short_batches
 from spendlake.llm.texthash import Texts, pieces
 
 # Training pages: at most so many, those of least hash among pages of at most so many characters.
@@ -446,6 +447,6 @@ def html_text(pages: DataFrame) -> DataFrame:
     by one space. A null or empty page, or one without main text, has an empty text. Repeated rows and null ids each
     give a row; other columns are left out. No rows give none.
     """
-    chosen = pages.select("page_id", "url", "html")
+    chosen = short_batches(pages).select("page_id", "url", "html")
     made = chosen.select("page_id", "url", main_text("html", fit(chosen)).alias("made"))
     return made.select("page_id", "url", "made.text", "made.n_chars")

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from spendlake.llm.batches import short_batches
 from spendlake.llm.texthash import Texts, mix, pieces, text_of, windows
 from spendlake.session import stored
 
@@ -152,6 +153,7 @@ class Draw:
     """The models of a corpus and the score that the last drawn document reaches."""
 
     def __init__(self, docs: DataFrame, labels: DataFrame):
+        short_batches(docs)
         ids = stored(target_ids(labels), "targets")
         self.ratios = log_ratios(docs.select("doc_id", "text"), ids)
         flags = F.broadcast(ids.filter("not taught").drop("taught"))  # MAX_TARGET_ROWS at most
@@ -184,5 +186,6 @@ def quality_classifier(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def keep_drawn(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The drawn rows of ``docs`` with all their columns."""
     draw = Draw(docs, labels)
-    weighed = docs.select(F.struct("*").alias("row_"), "doc_id", weigh("text", draw.ratios).alias("weight_"))
+    rows = docs.select(F.struct("*").alias("row_"))
+    weighed = rows.select("row_", "row_.doc_id", weigh("row_.text", draw.ratios).alias("weight_"))
     return weighed.filter(draw.drawn(_score(F.col("weight_")))).select("row_.*")

@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from spendlake.llm.batches import short_batches
 from spendlake.llm.components import component_roots, near_labels
 from spendlake.llm.texthash import Texts, mix, pieces, text_of, windows
 from spendlake.session import stored
@@ -286,7 +287,7 @@ def classes(docs: DataFrame) -> DataFrame:
     within one, so no link that the bands find is lost; longer signatures leave few to compare.
     """
     udf = F.arrow_udf(lambda array: sketch(array), returnType=SKETCH)
-    made = docs.select(document_key().alias("id"), udf("text").alias("sketch"))
+    made = short_batches(docs).select(document_key().alias("id"), udf("text").alias("sketch"))
     sketched = stored(made.select("id", "sketch.*"), "sketches")
     content = ["key_high", "key_low"]
     texts_ = sketched.filter("weight > 0")

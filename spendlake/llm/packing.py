@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from spendlake.llm.batches import short_batches
 from spendlake.llm.texthash import Texts, pieces
 
 SEQUENCE_TOKENS = 2048
@@ -166,7 +167,7 @@ def tokenised_pieces(docs: DataFrame, path: str, shards: int, size: int = SEQUEN
                 columns = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(apply, PIECE_SCHEMA)
+    return short_batches(docs).select(F.col("doc_id").cast("long"), "text").mapInArrow(apply, PIECE_SCHEMA)
 
 
 class OpenSequences:

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from spendlake.llm.batches import short_batches
 from spendlake.llm.texthash import Texts, pieces, text_of, windows
 from spendlake.session import stored
 
@@ -173,6 +174,7 @@ def quality_rules(docs: DataFrame) -> DataFrame:
     A null or empty text has no words and fails the base rules. Null languages and sources form
     groups of their own. Repeated rows each give a row; other columns are left out. No rows give none.
     """
+    short_batches(docs)
     measured = stored(with_stats(docs.select("doc_id", "text", "lang", "source")).drop("text"), "quality-stats")
     limits = fences(sketches(measured))
     return judge(measured, limits).select("doc_id", *STATS.fieldNames(), "base_failed", "kept")
@@ -180,7 +182,9 @@ def quality_rules(docs: DataFrame) -> DataFrame:
 
 def keep_good(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that the rules keep, with all their columns."""
-    inner = docs.select(F.struct("*").alias("row_"), "text", "lang", "source")
-    cells = sketches(with_stats(inner.select("text", "lang", "source")).drop("text"))
+    short_batches(docs)
+    cells = sketches(with_stats(docs.select("text", "lang", "source")).drop("text"))
     limits = stored(fences(cells), "quality-fences")
-    return judge(with_stats(inner), limits).filter("kept").select("row_.*")
+    rows = docs.select(F.struct("*").alias("row_")).withColumn("stats_", stats_of("row_.text"))
+    measured = rows.select("row_", "row_.lang", "row_.source", "stats_.*")
+    return judge(measured, limits).filter("kept").select("row_.*")

@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from spendlake.llm.batches import short_batches
 from spendlake.llm.texthash import Texts, pieces
 
 # A query is True (every text), a trigram, or ("and" | "or", queries).
@@ -308,14 +309,15 @@ def secret_scan(docs: DataFrame) -> DataFrame:
     the digest of nothing and an empty list. Repeated rows and null ids each give a row; other
     columns are left out. No rows give none.
     """
-    found = docs.select("doc_id", find_secrets("text").alias("found"))
+    found = short_batches(docs).select("doc_id", find_secrets("text").alias("found"))
     counts = [F.col("found.counts")[i].alias(f"n_{rule.kind}") for i, rule in enumerate(BASE_RULES)]
     return found.select("doc_id", *counts, "found.base_sha256", "found.spans")
 
 
 def mask_secrets(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` with secrets masked in ``text``; n_chars follows where the text changed."""
-    made = docs.select(F.struct("*").alias("row_"), redact("text").alias("masked_"))
+    rows = short_batches(docs).select(F.struct("*").alias("row_"))
+    made = rows.select("row_", redact("row_.text").alias("masked_"))
     changed = F.col("masked_.n_spans") > 0
     values = {
         "text": F.when(changed, F.col("masked_.text")).otherwise(F.col("row_.text")),

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from spendlake.llm import pretokens
+from spendlake.llm.batches import short_batches
 from spendlake.llm.texthash import pieces
 
 TOKEN_LIMIT = 1024
@@ -220,7 +221,7 @@ def token_counts(docs: DataFrame, path: str, limit: int = TOKEN_LIMIT) -> DataFr
     vocabulary's special strings count as one token each. A null or empty text counts 0 throughout.
     Repeated rows and null ids each give a row; other columns are left out. No rows give none.
     """
-    made = docs.select("doc_id", counts_of("text", path, limit).alias("made"))
+    made = short_batches(docs).select("doc_id", counts_of("text", path, limit).alias("made"))
     return made.select(
         "doc_id", "made.n_bytes", "made.n_tokens", (F.col("made.n_tokens") > limit).alias("over_limit"), "made.limit_chars"
     )
