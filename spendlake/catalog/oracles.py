@@ -33,7 +33,7 @@ INDEX = """idx as (
   join agg_group g on g.agg_group_seq = r.agg_group_seq
   where s.should_index and r.is_room_approved and g.is_active)"""
 KEYED = """keyed as (
-  select spent_idx, spent_name, spent_money, consume_keyword_type_id from spent_detail where should_index)"""
+  select spent_idx, spent_name, spent_money, consume_keyword_type_id from spent_detail)"""
 LATEST = """latest as (
   select spent_idx, kind as indexing_type, case when kind = 'D' then 'delete' else 'upsert' end as action, reg_at
   from (select spent_idx, upper(indexing_type[1]) as kind, reg_at,
@@ -66,7 +66,7 @@ ORACLES["lookup_by_ids"] = statement(
     "select * from keyed where spent_idx in (select spent_idx from cdc_event)",
     KEYED,
 )
-_EVENTS = "select partition_id, msg_offset, spent_idx, indexing_type, reg_at from cdc_event"
+_EVENTS = "select partition_id, partition_offset as msg_offset, spent_idx, indexing_type, reg_at from cdc_event"
 ORACLES["cdc_source"] = statement(("cdc_event",), _EVENTS)
 ORACLES["cdc_decode"] = statement(("cdc_event",), _EVENTS)
 ORACLES["holiday_dates"] = statement(("holiday",), "select dt from holiday")
@@ -179,8 +179,7 @@ ORACLES["calendar_upsert"] = statement(
 )
 ORACLES["publish_spent_detail"] = statement(
     SPEND_TABLES,
-    "select spent_idx, spent_name, spent_money, spent_at, user_seq, consume_keyword_type_id, consume_keyword_type, "
-    "room_seq, user_id, card_alias, agg_group_seq from idx",
+    "select idx.*, cast(null as timestamp) as updated_at, cast(null as varchar) as updated_by from idx",
     INDEX,
 )
 ORACLES["produce_json"] = statement(
@@ -313,8 +312,7 @@ _AMOUNTS = {
 }
 for _kind, (_views, _sql) in _AMOUNTS.items():
     ORACLES[f"{_kind}_amount"] = statement(_views, _sql)
-ORACLES["asset_snapshot"] = statement(
-    ("users", *[view for views, _ in _AMOUNTS.values() for view in views]),
+_SNAPSHOT = (
     f"select u.user_seq, m.currency_code, {NOW} as aggregated_at, "
     + ", ".join(f"coalesce({kind}.asset_sum, 0) as {kind}_amount" for kind in _AMOUNTS)
     + f", {NOW} as created_at, '{fixed.SNAPSHOT_USER}' as created_by "
@@ -322,7 +320,15 @@ ORACLES["asset_snapshot"] = statement(
     + " ".join(
         f"left join ({sql}) {kind} on {kind}.user_seq = u.user_seq and {kind}.currency_code = m.currency_code"
         for kind, (_, sql) in _AMOUNTS.items()
-    ),
+    )
+)
+_ASSET_VIEWS = ("users", *[view for views, _ in _AMOUNTS.values() for view in views])
+ORACLES["asset_snapshot"] = statement(_ASSET_VIEWS, _SNAPSHOT)
+ORACLES["asset_snapshot_append"] = statement(
+    _ASSET_VIEWS,
+    "select s.* replace (d.day as aggregated_at, d.day as created_at), cast(d.day as date) as snapshot_date from snapshot s "
+    f"cross join (values ({EARLIER}), ({NOW})) d(day)",
+    f"snapshot as ({_SNAPSHOT})",
 )
 
 # Prices
@@ -389,11 +395,12 @@ shares as (
   from cost c join net n on n.agg_group_seq = c.agg_group_seq where c.spent_cost > 0)"""
 
 
-def _detail(start: str, end: str) -> str:
+def _detail(start: str, end: str, limit: int | None = fixed.DETAIL_ROWS_PER_REPORT) -> str:
+    first = "" if limit is None else f" where row_no <= {limit}"
     return f"""detail as (
   select * from (select agg_group_seq, spent_idx, spent_at, spent_name, spent_money, consume_keyword_type, card_alias,
     cast(row_number() over (partition by agg_group_seq order by spent_at, spent_idx) as int) as row_no
-    from idx where spent_at between {start} and {end}) d where row_no <= {fixed.DETAIL_ROWS_PER_REPORT})"""
+    from idx where spent_at between {start} and {end}) d{first})"""
 
 
 def _day(moment: str) -> str:
@@ -435,14 +442,12 @@ ORACLES["weekly_report"] = statement(
 )
 ORACLES["email_recipients"] = statement(
     ("send_email_agg_group",),
-    "select agg_group_seq, batch_key, string_agg(email_id, ',' order by email_id) as emails, count(*) as email_count "
-    "from (select r.agg_group_seq, r.email_id, substr(md5(r.email_id), 1, "
-    "case when s.n <= 1000 then 0 else length(to_hex(cast((s.n - 1) // 1000 as bigint))) end) as batch_key "
-    "from recipients r join (select agg_group_seq, count(*) as n from recipients group by agg_group_seq) s "
-    "on s.agg_group_seq = r.agg_group_seq) b group by agg_group_seq, batch_key",
+    "select agg_group_seq, email_id, cast(row_number() over (partition by agg_group_seq order by email_id) as int) as row_no "
+    "from recipients",
     RECIPIENTS,
 )
 
+
 def _escaped(column: str) -> str:
     for plain, escaped in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;"), ("''", "&#39;")):
         column = f"replace({column}, '{plain}', '{escaped}')"
@@ -483,22 +488,53 @@ for _name, _value in {
     "CHANGE": "r.change_text",
 }.items():
     _SUMMARY = _SUMMARY.replace("{{" + _name + "}}", f"' || {_value} || '")
-ORACLES["report_body"] = statement(
-    _REPORT_VIEWS,
-    "select r.agg_group_seq, 0 as part, r.subject, "
-    f"'<html><body><h1>{fixed.WEEKLY_TITLE}</h1><p>2000.6.8 ~ 2000.6.15</p>{_SUMMARY}<table><tbody>' || "
-    f"coalesce(d.html, '{_empty(5, fixed.NO_DETAIL_TEXT)}') || '</tbody></table><table><tbody>' || "
-    f"coalesce(c.html, '{_empty(3, fixed.NO_CATEGORY_TEXT)}') || '</tbody></table><p>' || "
-    "format('{:,}', r.total) || '</p></body></html>' as body from report r "
-    f"left join (select agg_group_seq, string_agg({_DETAIL_HTML}, '' order by row_no) as html from detail "
-    "group by agg_group_seq) d on d.agg_group_seq = r.agg_group_seq "
-    f"left join (select agg_group_seq, string_agg({_CATEGORY_HTML}, '' order by rank_no) as html from shares "
-    "group by agg_group_seq) c on c.agg_group_seq = r.agg_group_seq",
+
+
+def _bodies(title: str, days: str, per_part: int) -> str:
+    """``bodies``: the parts of each report, cut after so many rows of a kind."""
+    return f"""detail_parts as (
+  select agg_group_seq, cast((row_no - 1) // {per_part} as int) as part, string_agg({_DETAIL_HTML}, '' order by row_no) as html
+  from detail group by 1, 2),
+share_parts as (
+  select agg_group_seq, cast((rank_no - 1) // {per_part} as int) as part, string_agg({_CATEGORY_HTML}, '' order by rank_no) as html
+  from shares group by 1, 2),
+parts as (
+  select agg_group_seq, part from detail_parts union select agg_group_seq, part from share_parts
+  union select agg_group_seq, 0 from report),
+bodies as (
+  select r.agg_group_seq, p.part, r.subject,
+    '<html><body><h1>{title}</h1><p>{days}</p>{_SUMMARY}<table><tbody>' ||
+    case when r.agg_group_seq in (select agg_group_seq from detail_parts) then coalesce(d.html, '')
+      else '{_empty(5, fixed.NO_DETAIL_TEXT)}' end || '</tbody></table><table><tbody>' ||
+    case when r.agg_group_seq in (select agg_group_seq from share_parts) then coalesce(c.html, '')
+      else '{_empty(3, fixed.NO_CATEGORY_TEXT)}' end || '</tbody></table><p>' ||
+    format('{{:,}}', r.total) || '</p></body></html>' as body
+  from report r join parts p on p.agg_group_seq = r.agg_group_seq
+  left join detail_parts d on d.agg_group_seq = r.agg_group_seq and d.part = p.part
+  left join share_parts c on c.agg_group_seq = r.agg_group_seq and c.part = p.part)"""
+
+
+_WEEKLY = (
     INDEX,
     RECIPIENTS,
     _report(fixed.WEEKLY_TITLE, WEEK_START, WEEK_BEFORE),
-    _detail(WEEK_START, MONTH_END),
+    _detail(WEEK_START, MONTH_END, None),
     _shares(WEEK_START, MONTH_END),
+    _bodies(fixed.WEEKLY_TITLE, "2000.6.8 ~ 2000.6.15", 10_000),
+)
+ORACLES["report_body"] = statement(_REPORT_VIEWS, "select * from bodies", *_WEEKLY)
+ORACLES["report_mails"] = statement(
+    _REPORT_VIEWS, "select b.*, r.email_id from bodies b join recipients r on r.agg_group_seq = b.agg_group_seq", *_WEEKLY
+)
+ORACLES["report_body_monthly"] = statement(
+    _REPORT_VIEWS,
+    "select * from bodies",
+    INDEX,
+    RECIPIENTS,
+    _report(fixed.MONTHLY_TITLE, MONTH_START, MONTH_BEFORE),
+    _detail(MONTH_START, MONTH_END, None),
+    _shares(MONTH_START, MONTH_END),
+    _bodies(fixed.MONTHLY_TITLE, "2000.5.15 ~ 2000.6.15", 50),
 )
 
 # Change feed
@@ -526,3 +562,8 @@ ORACLES["backfill_catch_up"] = statement(
         "where o.group_name = 'ref' and o.partition_id = cdc_event.partition_id), 0))",
     ),
 )
+ORACLES["rebuild_index"] = ORACLES["backfill_catch_up"]
+ORACLES["cdc_bad_messages"] = statement(
+    ("cdc_event",),
+    'select partition_id as "partition", partition_offset as "offset" from cdc_event where partition_offset % 10 = 0',
+)

@@ -33,7 +33,7 @@ def escape_html(text: Column) -> Column:
 
 def cell_text(text: Column) -> Column:
     """Escaped text, or a dash where there is none."""
-    return F.when(text == "", "-").otherwise(escape_html(text))
+    return F.when(F.coalesce(text, F.lit("")) == "", "-").otherwise(escape_html(text))
 
 
 def money_text(amount: Column) -> Column:

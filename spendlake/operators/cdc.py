@@ -54,9 +54,9 @@ def change_set(events: DataFrame, tables, now: Column, strict: bool = False) ->
 
     ``event_at`` is the time of the event behind the change. An upserted key that no
     longer qualifies for the index is left alone, as the service does; ``strict``
-    removes it.
+    removes it. The actions are stored, so the events are read once.
     """
-    actions = latest_action(events).withColumnRenamed("reg_at", "event_at")
+    actions = stored(latest_action(events).withColumnRenamed("reg_at", "event_at"), "actions")
     upserts = actions.filter(F.col("action") == "upsert")
     spends = spends_for_index(tables, upserts, carry=["event_at"])
     rows = merge.index_rows(spends, now).withColumn("op", F.lit("upsert"))
@@ -98,7 +98,7 @@ def events_after(events: DataFrame, offsets: DataFrame, group: str) -> DataFrame
         offsets.filter(F.col("group_name") == group).agg(F.map_from_entries(F.collect_list(entry))).scalar()
     )
     position = F.coalesce(F.try_element_at(positions, F.col("partition_id")), F.lit(0))
-    return events.filter(F.col("partition_offset") >= position)
+    return events.filter(F.col("msg_offset") >= position)
 
 
 def lag_by_partition(offsets: DataFrame, reference: str, catchup: str) -> DataFrame:

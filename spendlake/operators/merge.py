@@ -2,9 +2,10 @@
 
 Each call returns the table as it is after the write; ``publish`` stores it as a
 new version. Tables are unique on ``key``. Where a batch may hold a key more than
-once, name the column that orders its rows and the last one counts. The batch side
-of the anti joins carries keys only, so Spark broadcasts it while it is small and
-the table itself is then not shuffled.
+once, name the column that orders its rows and the last one counts; without such a
+column a repeated key is an error, never a second row. The batch side of the anti
+joins carries keys only, so Spark broadcasts it while it is small and the table
+itself is then not shuffled.
 """
 
 from __future__ import annotations
@@ -25,16 +26,27 @@ def required_key(batch: DataFrame, key: str) -> DataFrame:
 
 
 def last_per_key(batch: DataFrame, key: str, order_by: str) -> DataFrame:
-    """One row per key: the one that sorts last. The aggregate combines before the shuffle."""
+    """One row per key: the one that sorts last, NULL first. The aggregate combines before the shuffle."""
     rest = [name for name in batch.columns if name != key]
-    last = batch.groupBy(key).agg(F.max_by(F.struct(*rest), order_by).alias("last"))
+    last = batch.groupBy(key).agg(F.max_by(F.struct(*rest), F.struct(order_by)).alias("last"))
     return last.select(key, "last.*").select(batch.columns)
 
 
+def one_per_key(batch: DataFrame, key: str, order_by: str | None = None) -> DataFrame:
+    """The last row of each key, or without an order its only one; a key that repeats is then an error."""
+    if order_by:
+        return last_per_key(batch, key, order_by)
+    rest = [name for name in batch.columns if name != key]
+    only = batch.groupBy(key).agg(F.any_value(F.struct(*rest)).alias("only"), F.count(F.lit(1)).alias("times"))
+    repeated = F.raise_error(F.concat(F.lit(f"{key} repeats without an order: "), F.col(key).cast("string")))
+    checked = F.when(F.col("times") == 1, F.col("only")).otherwise(repeated.cast(only.schema["only"].dataType))
+    return only.select(key, checked.alias("only")).select(key, "only.*").select(batch.columns)
+
+
 def upsert(table: DataFrame, batch: DataFrame, key: str, order_by: str | None = None) -> DataFrame:
     """Whole rows replace those with the same key; new keys are added. The batch is read twice."""
     batch = required_key(batch, key)
-    rows = (last_per_key(batch, key, order_by) if order_by else batch).select(table.columns)
+    rows = one_per_key(batch, key, order_by).select(table.columns)
     return without_keys(table, rows, key).unionByName(rows)
 
 
@@ -63,10 +75,10 @@ def without_keys(table: DataFrame, unique: DataFrame, key: str) -> DataFrame:
     return table.join(unique.select(key), key, "left_anti").select(table.columns)
 
 
-def partial_upsert(table: DataFrame, batch: DataFrame, key: str) -> DataFrame:
+def partial_upsert(table: DataFrame, batch: DataFrame, key: str, order_by: str | None = None) -> DataFrame:
     """Only supplied columns change, a supplied NULL included; absent keys are added."""
-    supplied = [name for name in batch.columns if name != key]
-    new = required_key(batch, key).select(key, F.struct(*supplied).alias("new"))
+    supplied = [name for name in batch.columns if name not in (key, order_by)]
+    new = one_per_key(required_key(batch, key), key, order_by).select(key, F.struct(*supplied).alias("new"))
     merged = table.join(new, key, "full_outer")
     return merged.select(*[_merged(table, name, supplied, key) for name in table.columns])
 
@@ -79,11 +91,15 @@ def _merged(table: DataFrame, name: str, supplied: Sequence[str], key: str) -> C
 
 
 def update_columns(
-    table: DataFrame, updates: DataFrame, key: str, stamps: Mapping[str, Column] | None = None
+    table: DataFrame,
+    updates: DataFrame,
+    key: str,
+    stamps: Mapping[str, Column] | None = None,
+    order_by: str | None = None,
 ) -> DataFrame:
     """New values for the columns of ``updates`` where its key matches; other rows stay as they are."""
-    values = [name for name in updates.columns if name != key]
-    new = updates.select(key, F.struct(*values).alias("new"))
+    values = [name for name in updates.columns if name not in (key, order_by)]
+    new = one_per_key(updates, key, order_by).select(key, F.struct(*values).alias("new"))
     joined = table.join(new, key, "left")
     matched = F.col("new").isNotNull()
     columns = []

@@ -8,6 +8,7 @@ the newest marker is the current version. Readers see the old version until then
 from __future__ import annotations
 
 import posixpath
+import re
 from collections.abc import Sequence
 from datetime import datetime
 
@@ -33,17 +34,19 @@ class VersionedTable:
         schema: StructType | None = None,
         keep: int = 0,
         sort_by: Sequence[str] = (),
+        note: str = "",
     ) -> str:
         """Write ``rows`` as the new current version; ``keep`` older versions stay for readers still on them.
 
-        With a ``schema`` (say, of an index mapping) only its columns are written, in its types.
-        ``sort_by`` orders the rows inside each file, without a shuffle, so that a range
-        filter on those columns skips most row groups.
+        Columns of a ``schema`` (say, of an index mapping) are written in its types, all others as they
+        are. ``sort_by`` deals the rows over files by ranges and sorts each, so that a range
+        filter on those columns skips whole files. ``note`` stays with the version.
         """
         if schema is not None:
-            rows = rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+            mapped = {f.name: F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields}
+            rows = rows.select(*[mapped.get(name, F.col(name)) for name in rows.columns])
         if sort_by:
-            rows = rows.sortWithinPartitions(*sort_by)
+            rows = rows.repartitionByRange(*sort_by).sortWithinPartitions(*sort_by)
         version = f"{self.name}_{now:%Y%m%d%H%M%S}"
         if version in self.versions():
             raise ValueError(f"version {version} is already published")
@@ -55,7 +58,9 @@ class VersionedTable:
             stored = self.spark.read.parquet(path).count()
             if stored != written.get["rows"]:
                 raise RuntimeError(f"{version}: {written.get['rows']} rows given, {stored} stored")
-            self._fs.create(self._path(self._marker(version)), False).close()
+            marker = self._fs.create(self._path(self._marker(version)), False)
+            marker.write(bytearray(note.encode()))
+            marker.close()
         except Exception:
             self._fs.delete(self._path(path), True)
             raise
@@ -71,7 +76,7 @@ class VersionedTable:
         if not self._fs.exists(markers):
             return []
         names = [status.getPath().getName() for status in self._fs.listStatus(markers)]
-        return sorted(name for name in names if name.startswith(f"{self.name}_"))
+        return sorted(name for name in names if re.fullmatch(rf"{re.escape(self.name)}_\d{{14}}", name))
 
     def read(self) -> DataFrame:
         versions = self.versions()
@@ -79,5 +84,12 @@ class VersionedTable:
             raise LookupError(f"no version of {self.name} is published")
         return self.spark.read.parquet(f"{self.folder}/{versions[-1]}")
 
+    def note(self) -> str:
+        """What was noted with the current version; empty if none is published."""
+        versions = self.versions()
+        if not versions:
+            return ""
+        return "\n".join(row.value for row in self.spark.read.text(self._marker(versions[-1])).collect())
+
     def _marker(self, version: str) -> str:
         return posixpath.join(self.folder, "_published", version)

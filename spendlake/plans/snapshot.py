@@ -10,19 +10,13 @@ from pyspark.sql import functions as F
 from spendlake.fixed import SNAPSHOT_USER
 from spendlake.functions.dates import moment
 from spendlake.operators import amounts
+from spendlake.operators.merge import append_files
 
 KINDS = ("cash", "stock", "crypto", "deposit", "saving")
 
-# Currency codes are three letters; a list longer than this is not a list of currencies.
-_MAX_CURRENCIES = 1000
-
-
 def _market_currencies(stock_type: DataFrame) -> Column:
-    """Distinct currencies of the markets as one array value, its size checked."""
-    codes = F.array_sort(F.collect_list("currency_code"))
-    too_many = F.raise_error(F.lit(f"more than {_MAX_CURRENCIES} currencies")).cast("array<string>")
-    checked = F.when(F.count(F.lit(1)) > _MAX_CURRENCIES, too_many).otherwise(codes)
-    return stock_type.select("currency_code").distinct().agg(checked).scalar()
+    """Distinct currencies of the markets as one array value: codes of three letters, however many markets."""
+    return stock_type.select("currency_code").distinct().agg(F.array_sort(F.collect_list("currency_code"))).scalar()
 
 
 def asset_snapshot(tables, now: datetime | str) -> DataFrame:
@@ -58,3 +52,8 @@ def asset_snapshot(tables, now: datetime | str) -> DataFrame:
         at.alias("created_at"),
         F.lit(SNAPSHOT_USER).alias("created_by"),
     )
+
+
+def append_snapshot(rows: DataFrame, path: str) -> None:
+    """Adds a snapshot, one folder per day."""
+    append_files(rows.withColumn("snapshot_date", F.col("aggregated_at").cast("date")), path, ["snapshot_date"])

@@ -50,27 +50,39 @@ def utc(timestamp: Column) -> Column:
 
 
 def decode_events(messages: DataFrame) -> DataFrame:
-    """Typed events; one record that does not parse fails the batch."""
+    """Typed events; one record that does not parse or lacks a field fails the batch."""
     event = F.from_json("value", CDC_EVENT, {"mode": "FAILFAST"})
-    return _event_columns(messages.withColumn("event", event))
+    return _event_columns(messages.withColumn("event", event), strict=True)
 
 
 def decode_events_with_quarantine(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Typed events, and beside them the raw records that do not parse."""
+    """Typed events, and beside them the raw records that do not parse or lack a field."""
     schema = f"{CDC_EVENT}, bad_record string"
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "bad_record"}
     decoded = messages.withColumn("event", F.from_json("value", schema, options))
-    good = F.col("event.bad_record").isNull() & F.col("event.spent_idx").isNotNull()
+    good = F.col("event.bad_record").isNull()
+    for name in _FIELDS:
+        good = good & F.col(f"event.{name}").isNotNull()
     return _event_columns(decoded.filter(good)), decoded.filter(~good).drop("event")
 
 
-def _event_columns(decoded: DataFrame) -> DataFrame:
+_FIELDS = ("spent_idx", "indexing_type", "reg_at")
+
+
+def _event_columns(decoded: DataFrame, strict: bool = False) -> DataFrame:
+    kinds = {f.name: f.dataType for f in decoded.schema["event"].dataType.fields}
+
+    def field(name: str) -> Column:
+        value = F.col(f"event.{name}")
+        missing = F.raise_error(F.concat(F.lit(f"event without {name}: "), F.coalesce("value", F.lit("no value"))))
+        return F.coalesce(value, missing.cast(kinds[name])) if strict else value
+
     return decoded.select(
         F.col("partition").alias("partition_id"),
         F.col("offset").alias("msg_offset"),
-        F.col("event.spent_idx").alias("spent_idx"),
-        F.col("event.indexing_type").alias("indexing_type"),
-        utc(F.col("event.reg_at")).alias("reg_at"),
+        field("spent_idx").alias("spent_idx"),
+        field("indexing_type").alias("indexing_type"),
+        utc(field("reg_at")).alias("reg_at"),
     )
 
 
@@ -85,11 +97,16 @@ def write_topic(messages: DataFrame, brokers: str, topic: str) -> None:
 
 
 def event_messages(events: DataFrame) -> DataFrame:
-    """Events in the feed's row layout: the inverse of ``decode_events``."""
+    """Events in the feed's row layout: the inverse of ``decode_events``.
+
+    ``msg_offset`` counts within a partition; a table that numbers its events otherwise brings
+    that count as ``partition_offset``.
+    """
+    place = "partition_offset" if "partition_offset" in events.columns else "msg_offset"
     body = F.struct("spent_idx", "indexing_type", "reg_at")
     return events.select(
         F.col("spent_idx").cast("string").alias("key"),
         F.to_json(body, {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"}).alias("value"),
         F.col("partition_id").alias("partition"),
-        F.col("msg_offset").alias("offset"),
+        F.col(place).alias("offset"),
     )

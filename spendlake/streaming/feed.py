@@ -13,6 +13,7 @@ from collections.abc import Callable
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from spendlake.functions.dates import moment
@@ -48,7 +49,11 @@ def start_feed(
 
 
 def read_change_log(spark: SparkSession, change_log: str) -> DataFrame:
+    """All logged changes; none for a log that has no batch yet."""
     columns = f"{TABLES['spent_detail_indexing']}, event_at timestamp_ntz, op string, batch_id bigint"
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(change_log)
+    if not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
+        return spark.createDataFrame([], columns)
     return spark.read.schema(columns).parquet(change_log)
 
 
@@ -64,14 +69,27 @@ def read_index(index: DataFrame, change_log: DataFrame, by_event_time: bool = Fa
 def compact(
     target: VersionedTable, change_log: DataFrame, now: datetime, keep: int = 0, by_event_time: bool = False
 ) -> str:
-    """Publish index plus changes as the next version. Stop the feed first, then start it on a new log."""
-    merged = read_index(target.read(), change_log, by_event_time)
-    return target.publish(merged, now, keep=keep, sort_by=["spent_at"])
+    """Publish index plus changes as the next version, and note the last batch that is in it.
+
+    The feed may go on meanwhile, on the same log: ``read_current`` lays only later batches over
+    the new version.
+    """
+    last = change_log.agg(F.max("batch_id")).first()[0]
+    folded = int(target.note() or -1)
+    last = folded if last is None else max(folded, last)
+    merged = read_current(target, change_log.filter(F.col("batch_id") <= last), by_event_time)
+    return target.publish(merged, now, keep=keep, sort_by=["spent_at"], note=str(last))
+
+
+def read_current(target: VersionedTable, change_log: DataFrame, by_event_time: bool = False) -> DataFrame:
+    """The published index with the batches that came after those folded into it."""
+    later = change_log.filter(F.col("batch_id") > int(target.note() or -1))
+    return read_index(target.read(), later, by_event_time)
 
 
-def land_messages(messages: DataFrame, path: str) -> None:
+def land_messages(messages: DataFrame, path: str, files: int | None = None) -> None:
     """Store messages as JSON files that ``read_feed_files`` can stream."""
-    messages.write.mode("append").json(path)
+    (messages.repartition(files) if files else messages).write.mode("append").json(path)
 
 
 def copy_stream(messages: DataFrame, path: str, checkpoint: str) -> None:

@@ -149,6 +149,38 @@ def test_decode_fails_on_a_bad_record_and_quarantine_keeps_it(spark):
     assert rows(bad, "key") == [("2",)]
 
 
+@pytest.mark.parametrize("value", ["{}", '{"spent_idx": 1}', '{"spent_idx": 1, "indexing_type": "I"}', None])
+def test_messages_without_a_field_are_bad(spark, value):
+    messages = spark.createDataFrame([("1", value, 0, 0)], "key string, value string, partition int, offset bigint")
+    with pytest.raises(Exception, match="event without"):
+        feed.decode_events(messages).collect()
+    decoded, bad = feed.decode_events_with_quarantine(messages)
+    assert decoded.count() == 0 and rows(bad, "key") == [("1",)]
+
+
+def test_a_log_without_batches_is_empty(spark, tmp_path):
+    assert stream.read_change_log(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_batches_that_land_during_compaction_stay(spark, tmp_path):
+    tables = spend_tables(spark, [(1, 1, True), (2, 1, True), (3, 1, True)])
+    target = VersionedTable(spark, str(tmp_path / "index"), "spent_detail")
+    target.publish(full_index(tables), datetime(2024, 1, 1))
+    log = str(tmp_path / "log")
+    cdc.change_set(events(spark, (1, "D", 1)), tables, moment(NOW)).write.parquet(f"{log}/batch_id=0")
+    before = stream.read_change_log(spark, log)
+    cdc.change_set(events(spark, (2, "D", 2)), tables, moment(NOW)).write.parquet(f"{log}/batch_id=1")
+    stream.compact(target, before, NOW)
+    assert target.note() == "0"
+    assert keys(stream.read_current(target, stream.read_change_log(spark, log))) == [3]
+
+
+def test_events_are_decoded_before_catch_up(spark):
+    frame = feed.decode_events(feed.event_messages(events(spark, (1, "D", 1), (2, "D", 2))))
+    offsets = spark.createDataFrame([("own", 0, 2)], OFFSETS)
+    assert keys(cdc.events_after(frame, offsets, "own")) in ([2], [])
+
+
 OFFSETS = "group_name string, partition_id int, committed_offset bigint"
 
 
@@ -169,7 +201,7 @@ def test_copying_offsets_from_a_group_without_any_changes_nothing(spark):
 
 def test_a_rebuild_replays_what_came_after_the_incremental_position(spark, tmp_path):
     tables = spend_tables(spark, [(1, 1, True), (2, 1, True), (3, 1, True)])
-    frame = events(spark, (1, "D", 1), (2, "D", 2), (3, "U", 3)).selectExpr("*", "msg_offset as partition_offset")
+    frame = events(spark, (1, "D", 1), (2, "D", 2), (3, "U", 3))
     offsets = spark.createDataFrame([("incremental", 0, 1), ("own", 0, 0)], OFFSETS)
     target = VersionedTable(spark, str(tmp_path), "spent_detail")
     rebuilt = spend.rebuild_index(tables, frame, offsets, "own", "incremental", target, NOW)
@@ -178,7 +210,7 @@ def test_a_rebuild_replays_what_came_after_the_incremental_position(spark, tmp_p
 
 
 def test_partitions_without_a_position_are_read_from_the_start(spark):
-    frame = spark.createDataFrame([(0, 4), (0, 5), (1, 0)], "partition_id int, partition_offset bigint")
+    frame = spark.createDataFrame([(0, 4), (0, 5), (1, 0)], "partition_id int, msg_offset bigint")
     offsets = spark.createDataFrame([("own", 0, 5)], OFFSETS)
     assert rows(cdc.events_after(frame, offsets, "own")) == [(0, 5), (1, 0)]
     assert rows(cdc.events_after(frame, offsets, "nobody")) == [(0, 4), (0, 5), (1, 0)]

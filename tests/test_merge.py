@@ -39,6 +39,23 @@ def test_partial_upsert_changes_supplied_columns_only(spark, table):
     assert result == [(1, "a", None), (2, "b", 20), (3, "c", None), (7, None, 70)]
 
 
+def test_repeated_keys_give_one_row_or_an_error(spark, table):
+    batch = spark.createDataFrame([(1, 5, None), (1, 6, 2), (1, 7, 1)], "id bigint, amount bigint, seen bigint")
+    assert (1, "a", 6) in rows(merge.update_columns(table, batch, "id", order_by="seen"))
+    assert (1, "a", 6) in rows(merge.partial_upsert(table, batch, "id", order_by="seen"))
+    for call in (merge.update_columns, merge.partial_upsert):
+        assert len(rows(call(table, batch, "id", order_by="seen"))) == 3
+        with pytest.raises(Exception, match="repeats without an order"):
+            call(table, batch.drop("seen"), "id").collect()
+    with pytest.raises(Exception, match="repeats without an order"):
+        merge.upsert(table, batch.selectExpr("id", "'x' as name", "amount"), "id").collect()
+
+
+def test_a_row_without_an_order_value_still_counts(spark, table):
+    batch = spark.createDataFrame([(2, "new", 1, None)], TABLE + ", seen bigint")
+    assert (2, "new", 1) in rows(merge.upsert(table, batch, "id", order_by="seen"))
+
+
 def test_delete_ignores_unknown_ids(spark, table):
     ids = spark.createDataFrame([(2,), (99,)], "id bigint")
     assert rows(merge.delete(table, ids, "id"), "id") == [(1,), (3,)]

@@ -57,7 +57,28 @@ def test_mapping_gives_the_written_columns(spark, target):
     frame = spark.range(2).withColumns({"at": F.lit("2024-01-01").cast("date"), "other": F.lit(1)})
     target.publish(frame, FIRST, schema_from_mapping(mapping))
     assert rows(target.read(), "id", "at") == [(0, FIRST), (1, FIRST)]
-    assert target.read().columns == ["id", "at"]
+    assert target.read().columns == ["id", "at", "other"]
+
+
+def test_tables_whose_names_begin_alike_are_kept_apart(spark, tmp_path):
+    longer = VersionedTable(spark, str(tmp_path), "spent_type_indexing")
+    longer.publish(spark.range(9), THIRD)
+    shorter = VersionedTable(spark, str(tmp_path), "spent_type")
+    shorter.publish(spark.range(2), FIRST)
+    shorter.publish(spark.range(3), SECOND)
+    assert shorter.read().count() == 3 and longer.read().count() == 9
+
+
+def test_files_hold_ranges_of_the_sort_column(spark, target):
+    setting = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(setting, "false")
+    try:
+        target.publish(spark.range(10_000).repartition(4), FIRST, sort_by=["id"])
+    finally:
+        spark.conf.unset(setting)
+    files = target.read().groupBy(F.input_file_name()).agg(F.min("id").alias("low"), F.max("id").alias("high"))
+    ranges = sorted((row.low, row.high) for row in files.collect())
+    assert len(ranges) > 1 and all(a[1] < b[0] for a, b in zip(ranges, ranges[1:]))
 
 
 def test_mapping_without_mappings_is_an_error():

@@ -130,14 +130,34 @@ def test_body_lists_rows_in_order(spark):
     assert ">-</td>" in html
 
 
-def test_long_category_lists_continue_in_further_parts(spark, monkeypatch):
-    monkeypatch.setattr(reports, "_CATEGORIES_PER_PART", 2)
+def test_long_lists_continue_in_further_parts(spark):
     periods = monthly_periods("2024-03-15 12:00:00")
-    frame = index(spark, *[spend(1, i, "2024-03-01", 10 - i, f"kind {i}") for i in range(5)])
-    body = reports.report_body(frame, recipients(spark, 1), periods, "t")
-    listed = {part: [k for k in range(5) if f">kind {k}</td>" in html.rsplit("<table>", 1)[1]]
-              for part, html in rows(body, "part", "body")}
+    frame = index(spark, *[spend(1, i, "2024-03-01", 10 - i, f"kind {i}", name=f"name {i}.") for i in range(5)])
+    body = reports.report_body(frame, recipients(spark, 1), periods, "t", rows_per_part=2)
+    found = rows(body, "part", "body")
+    listed = {part: [k for k in range(5) if f">kind {k}</td>" in html.rsplit("<table>", 1)[1]] for part, html in found}
     assert listed == {0: [0, 1], 1: [2, 3], 2: [4]}
+    named = {part: [k for k in range(5) if f">name {k}.</td>" in html] for part, html in found}
+    assert named == listed
+    assert not any("없습니다" in html for _, html in found)
+
+
+def test_more_categories_than_spends_in_a_part(spark):
+    periods = monthly_periods("2024-03-15 12:00:00")
+    frame = index(spark, *[spend(1, i, "2024-03-01", 10 - i, f"kind {i}") for i in range(3)])
+    body = reports.report_body(frame, recipients(spark, 1), periods, "t", limit=1, rows_per_part=2)
+    found = dict(rows(body, "part", "body"))
+    assert sorted(found) == [0, 1] and not any("없습니다" in html for html in found.values())
+
+
+def test_rows_with_missing_cells_are_listed(spark):
+    periods = monthly_periods("2024-03-15 12:00:00")
+    frame = index(
+        spark, spend(1, 1, "2024-03-01", 1, name="full"), spend(1, 2, "2024-03-01", 2, name=None),
+        spend(1, 3, "2024-03-01", 3, name="cardless", card=None),
+    )
+    html = rows(reports.report_body(frame, recipients(spark, 1), periods, "t"), "body")[0][0]
+    assert html.split("<tbody>")[2].count("<tr>") == 3 and html.count(">-</td>") >= 2
 
 
 def test_detail_keeps_the_oldest_rows_of_a_big_group(spark):
@@ -157,16 +177,22 @@ def test_detail_keeps_the_oldest_rows_of_a_big_group(spark):
     assert found == sorted(enumerate(order, start=1), key=repr)
 
 
-def test_big_recipient_lists_are_cut(spark):
+def test_numbering_without_limit_is_that_of_the_whole_group(spark):
+    data = spark.range(5000).selectExpr("id % 2 as agg_group_seq", "id as spent_idx", "(id * 7919) % 50 as money")
+    found = reports._numbered(data, [F.col("money").desc(), F.col("spent_idx")]).collect()
+    for group in (0, 1):
+        own = sorted((row for row in found if row.agg_group_seq == group), key=lambda r: (-r.money, r.spent_idx))
+        assert [row.row_no for row in own] == list(range(1, 2501))
+
+
+def test_recipients_are_a_row_each(spark):
     frame = spark.range(500).select(
         F.when(F.col("id") < 490, 1).otherwise(2).cast("bigint").alias("agg_group_seq"),
         F.concat(F.lit("m"), F.col("id"), F.lit("@x")).alias("email_id"),
     )
-    batches = reports.email_batches(frame, per_batch=20).collect()
-    assert sum(row.email_count for row in batches) == 500
-    assert {e for row in batches for e in row.emails.split(",")} == {f"m{i}@x" for i in range(500)}
-    assert [row.batch_key for row in batches if row.agg_group_seq == 2] == [""]
-    assert len([row for row in batches if row.agg_group_seq == 1]) > 200
+    found = reports.email_recipients(frame).orderBy("agg_group_seq", "row_no").collect()
+    assert [row.email_id for row in found[:490]] == sorted(f"m{i}@x" for i in range(490))
+    assert [row.row_no for row in found] == [*range(1, 491), *range(1, 11)]
 
 
 def test_rows_in_descending_order_of_a_chosen_field(spark):
