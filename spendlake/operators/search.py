@@ -5,15 +5,11 @@ every name that has a common token with every keyword that has it. So a name's
 candidates come from two places, and together they always hold its true best hits:
 
 * *Rare tokens* (in at most ``posting_limit`` keywords): all keywords with the token.
-* *Common tokens*: for each subset of the name's common tokens, only the best
-  keywords that hold the whole subset. A keyword outside that list is beaten by
-  ``hits`` others on the subset alone, and those score at least as much on the
-  full name, so it cannot be among the best hits.
-
-All keywords of a common token are also taken where the subset argument or its cost
-does not hold: when the name repeats the token, when the name already has
-``subset_tokens`` commoner ones, and for keywords with more than ``long_keyword``
-common tokens.
+* *Common tokens*: the names' distinct profiles, a profile being a name's common tokens
+  with their repeats. A profile meets the keywords of its tokens once, however many names
+  have it, and keeps the best ``hits`` of those that share the very same tokens with it.
+  A keyword outside is beaten by ``hits`` others on the shared common tokens, and those score
+  at least as much on the full name, so it cannot be among the best hits.
 
 Scores are fixed-point integers (``SCALE`` per unit), so sums do not depend on
 the order of their terms and equal scores are exactly equal.
@@ -24,7 +20,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -40,9 +36,7 @@ SCALE = 1_000_000
 class SearchOptions:
     hits: int = HITS_PER_NAME
     stop_words: Sequence[str] = ()
-    posting_limit: int = 1000
-    subset_tokens: int = 6
-    long_keyword: int = 8
+    posting_limit: int = 100
 
 
 def _token_counts(
@@ -94,15 +88,12 @@ def keyword_match(
 ) -> DataFrame:
     """``(spent_name, keyword_id, score, hit_rank)``: at most ``hits`` keywords per name, best first.
 
-    ``names`` holds distinct ``spent_name`` and is read more than once, so it should be a
-    stored table. The postings are stored here. Equal scores rank by keyword id.
+    ``names`` holds distinct ``spent_name``. Its tokens and the postings are stored here, so each text
+    is read once. Equal scores rank by keyword id.
     """
-    wanted = name_tokens(names, options, synonyms)
+    wanted = stored(name_tokens(names, options, synonyms), "wanted")
     postings = stored(keyword_postings(keywords, options, synonyms), "postings")
-    if postings.filter(F.col("df") > options.posting_limit).isEmpty():
-        scored = _score(_rare_matches(wanted, postings, options))
-    else:
-        scored = _score_candidates(_candidates(wanted, postings, options), wanted, postings)
+    scored = _score_candidates(_candidates(wanted, postings, options), wanted, postings)
     order = W.partitionBy("spent_name").orderBy(F.desc("score"), "keyword_id")
     return scored.withColumn("hit_rank", F.row_number().over(order)).filter(F.col("hit_rank") <= options.hits)
 
@@ -131,60 +122,26 @@ def _score_candidates(candidates: DataFrame, wanted: DataFrame, postings: DataFr
 def _candidates(wanted: DataFrame, postings: DataFrame, options: SearchOptions) -> DataFrame:
     """Distinct ``(spent_name, keyword_id)`` that include every name's best hits."""
     spread = postings.groupBy("token").agg(F.first("df").alias("df"))
-    is_common = (F.col("df") > options.posting_limit) & (F.col("times") == 1)
-    by_spread = W.partitionBy("spent_name").orderBy(is_common.desc(), F.desc("df"), "token")
-    known = spread_join(wanted, spread, "token", _token_sizes(wanted), "rows", F.col("spent_name"))
-    ranked = known.withColumn("place", F.row_number().over(by_spread))
-    split = ranked.withColumn("common", is_common & (F.col("place") <= options.subset_tokens))
-
-    per_keyword = (
-        postings.filter(F.col("df") > options.posting_limit)
-        .groupBy("keyword_id")
-        .agg(F.array_sort(F.collect_list(F.struct("token", "weight"))).alias("held"))
-    )
-    long_ids = per_keyword.filter(F.size("held") > options.long_keyword).select("keyword_id")
-    short = per_keyword.filter(F.size("held") <= options.long_keyword)
-
-    from_rare = _rare_matches(wanted, postings, options)
-    overflow = split.filter(~F.col("common") & (F.col("df") > options.posting_limit))
-    from_overflow = overflow.join(postings.select("token", "keyword_id"), "token")
-    from_long = split.filter("common").join(
-        postings.join(long_ids, "keyword_id", "left_semi").select("token", "keyword_id"), "token"
-    )
-    held_by_name = (
-        split.filter("common").groupBy("spent_name").agg(F.array_sort(F.collect_list("token")).alias("held"))
-    )
-    subsets = held_by_name.select("spent_name", F.explode(_subsets("held", "string")).alias("subset"))
-    sizes = subsets.groupBy("subset").agg(F.count(F.lit(1)).alias("rows"))
-    best = _best_per_subset(short, options)
-    from_subsets = spread_join(subsets, best, "subset", sizes, "rows", F.col("spent_name"))
+    common = spread.filter(F.col("df") > options.posting_limit)
+    known = spread_join(wanted, common, "token", _token_sizes(wanted), "rows", F.col("spent_name"))
+    item = F.struct("token", "times")
+    profiled = known.groupBy("spent_name").agg(F.array_sort(F.collect_list(item)).alias("profile"))
+    profiled = stored(profiled, "profiles")
+    sizes = profiled.groupBy("profile").agg(F.count(F.lit(1)).alias("rows"))
+    best = _best_per_profile(sizes.select("profile"), postings, common, options)
+    from_common = spread_join(profiled, best, "profile", sizes, "rows", F.col("spent_name"))
     pair = ["spent_name", "keyword_id"]
-    return (
-        from_rare.select(pair)
-        .union(from_overflow.select(pair))
-        .union(from_long.select(pair))
-        .union(from_subsets.select(pair))
-        .distinct()
-    )
+    return _rare_matches(wanted, postings, options).select(pair).union(from_common.select(pair)).distinct()
 
 
-def _best_per_subset(keywords: DataFrame, options: SearchOptions) -> DataFrame:
-    """For each set of common tokens the best keywords that hold all of it."""
-    parts = keywords.select(
-        "keyword_id", F.explode(_subsets("held", "struct<token: string, weight: bigint>")).alias("part")
-    ).filter(F.size("part") <= options.subset_tokens)
-    scored = parts.select(
-        "keyword_id",
-        F.transform("part", lambda item: item["token"]).alias("subset"),
-        F.aggregate("part", F.lit(0).cast("bigint"), lambda total, item: total + item["weight"]).alias("score"),
+def _best_per_profile(profiles: DataFrame, postings: DataFrame, common: DataFrame, options: SearchOptions) -> DataFrame:
+    """For each profile and each set of tokens that keywords share with it the best of these keywords."""
+    asked = profiles.select("profile", F.explode("profile").alias("item")).select("profile", "item.*")
+    held = postings.filter(F.col("df") > options.posting_limit).select("token", "keyword_id", "weight")
+    met = spread_join(held, asked, "token", common, "df", F.col("keyword_id"))
+    scored = met.groupBy("profile", "keyword_id").agg(
+        F.array_sort(F.collect_list("token")).alias("shared"), F.sum(F.col("times") * F.col("weight")).alias("score")
     )
-    order = W.partitionBy("subset").orderBy(F.desc("score"), "keyword_id")
-    best = scored.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= options.hits)
-    return best.select("subset", "keyword_id")
-
-
-def _subsets(column: str, item_type: str) -> Column:
-    """All non-empty subsets of a short array, each in the array's order."""
-    none = F.array(F.array().cast(f"array<{item_type}>"))
-    grow = lambda found, item: F.concat(found, F.transform(found, lambda s: F.concat(s, F.array(item))))
-    return F.filter(F.aggregate(column, none, grow), lambda subset: F.size(subset) > 0)
+    order = W.partitionBy("profile", "shared").orderBy(F.desc("score"), "keyword_id")
+    ranked = scored.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= options.hits)
+    return ranked.select("profile", "keyword_id")

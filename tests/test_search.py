@@ -10,6 +10,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from spendlake.operators.classify import classify_names
+from spendlake.operators import search
 from spendlake.operators.search import SCALE, SearchOptions, keyword_match
 from spendlake.operators.skew import heavy_keys, spread_join
 
@@ -55,9 +56,9 @@ def brute_force(name_list, keyword_list, hits):
     "options",
     [
         SearchOptions(hits=3),
-        SearchOptions(hits=3, posting_limit=4, subset_tokens=2, long_keyword=3),
-        SearchOptions(hits=2, posting_limit=1, subset_tokens=3, long_keyword=8),
-        SearchOptions(hits=4, posting_limit=10, subset_tokens=1, long_keyword=2),
+        SearchOptions(hits=3, posting_limit=4),
+        SearchOptions(hits=2, posting_limit=1),
+        SearchOptions(hits=4, posting_limit=10),
     ],
 )
 def test_common_tokens_do_not_change_the_hits(spark, seed, options):
@@ -71,6 +72,17 @@ def test_common_tokens_do_not_change_the_hits(spark, seed, options):
     assert set(rows(found, *columns)) == brute_force(name_list, keyword_list, options.hits)
 
 
+@pytest.mark.parametrize("shared", ["the the", "a b c d e f g h i"])
+def test_candidates_do_not_pair_all_names_with_all_keywords(spark, shared):
+    options = SearchOptions(hits=3, posting_limit=5)
+    name_frame = spark.range(100).select(F.concat(F.lit(f"{shared} n"), F.col("id")).alias("spent_name"))
+    keyword_frame = spark.range(500).select(
+        F.col("id").alias("consume_keyword_id"), F.concat(F.lit(f"{shared} k"), F.col("id")).alias("consume_keyword")
+    )
+    wanted, postings = search.name_tokens(name_frame, options), search.keyword_postings(keyword_frame, options)
+    assert search._candidates(wanted, postings, options).count() == 100 * 3
+
+
 def verdict(spark, name, *items):
     frame = classify_names(names(spark, name), keywords(spark, *items))
     return rows(frame, "consume_keyword_type_id", "consume_keyword_type", "consume_keyword", "keyword_weight")
