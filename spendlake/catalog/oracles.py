@@ -261,6 +261,30 @@ verdict as (
   from names n left join best b on b.spent_name = n.spent_name)"""
 _SEARCH_VIEWS = ("spent_detail", "prodt_keyword", "keyword_type")
 ORACLES["keyword_match"] = statement(_SEARCH_VIEWS, "select * from hits", KEYWORDS, _SEARCH)
+ORACLES["keyword_match_common"] = statement(
+    _SEARCH_VIEWS,
+    "select * from hits",
+    KEYWORDS,
+    _SEARCH.replace(
+        "select distinct spent_name from spent_detail",
+        "select distinct spent_name || ' ' || split_part(spent_name, ' ', 1) || ' paid' as spent_name from spent_detail",
+    ),
+)
+_ANALYSED = "case token when 'blue' then 'red' else token end"
+ORACLES["keyword_match_analysed"] = statement(
+    _SEARCH_VIEWS,
+    "select * from hits",
+    KEYWORDS,
+    _SEARCH.replace("select spent_name, token, count(*)", f"select spent_name, {_ANALYSED} as token, count(*)")
+    .replace("group by spent_name, token)", "and token <> 'ring' group by 1, 2)")
+    .replace("select consume_keyword_id as keyword_id, token, count(*)", f"select consume_keyword_id as keyword_id, {_ANALYSED} as token, count(*)")
+    .replace("group by consume_keyword_id, token)", "and token <> 'ring' group by 1, 2)"),
+)
+ORACLES["separated_tokens"] = statement(
+    ("keyword_type",),
+    "select consume_keyword_type_id, part from (select consume_keyword_type_id, unnest(regexp_split_to_array("
+    "replace(replace(consume_keyword_type, ' ', '|'), 'E', ','), '[,|]')) as part from keyword_type) p where part <> ''",
+)
 ORACLES["classify_spend"] = statement(_SEARCH_VIEWS, "select * from verdict", KEYWORDS, _SEARCH, _VERDICT)
 ORACLES["reclassify_spent_detail"] = statement(
     _SEARCH_VIEWS,

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from spendlake import fixed
 from spendlake.catalog import landed
+from spendlake.functions import text
 from spendlake.functions.dates import moment, monthly_periods, weekly_periods
 from spendlake.operators import amounts, cdc, classify, denormalise, merge, search
 from spendlake.operators.publish import VersionedTable
@@ -238,6 +239,30 @@ def keyword_match(d: Domain) -> DataFrame:
     return search.keyword_match(_names(d), _keywords(d))
 
 
+@query
+def keyword_match_common(d: Domain) -> DataFrame:
+    """Longer names, one word of theirs twice, with every token in more than two keywords taken as common."""
+    first = F.substring_index("spent_name", " ", 1)
+    names = d.spent_detail.select(F.concat("spent_name", F.lit(" "), first, F.lit(" paid")).alias("spent_name")).distinct()
+    return search.keyword_match(names, _keywords(d), search.SearchOptions(posting_limit=2))
+
+
+@query
+def keyword_match_analysed(d: Domain) -> DataFrame:
+    """Without a stop word, and with one token spelled as another."""
+    synonyms = d.prodt_keyword.select(F.lit("blue").alias("token"), F.lit("red").alias("canonical")).distinct()
+    names = d.spent_detail.select("spent_name").distinct()
+    return search.keyword_match(names, _keywords(d), search.SearchOptions(stop_words=("ring",)), synonyms)
+
+
+@query
+def separated_tokens(d: Domain) -> DataFrame:
+    """Parts of type names, written with bars and commas."""
+    written = F.replace(F.replace("consume_keyword_type", F.lit(" "), F.lit("|")), F.lit("E"), F.lit(","))
+    parts = F.explode(text.separated_tokens(written)).alias("part")
+    return d.keyword_type.select("consume_keyword_type_id", parts)
+
+
 @query
 def consumer_lag(d: Domain) -> DataFrame:
     return cdc.lag_by_partition(d.group_offset, "ref", "catchup")
