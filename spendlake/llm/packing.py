@@ -31,7 +31,7 @@ END_ID = 0
 SHARD_DOCUMENTS = 32_768
 
 # Parts of words kept with their ids in each worker: two generations of so many.
-CACHE_SIZE = 300_000
+CACHE_SIZE = 150_000
 
 # Texts are tokenised together in pieces of about this many bytes.
 BATCH_BYTES = 1 << 20
@@ -58,28 +58,28 @@ class WordTokenizer:
         names = self.tokenizer.get_vocab()
         self.ends_word = np.zeros(max(names.values()) + 1, bool)
         self.ends_word[[number for name, number in names.items() if name.endswith("</w>")]] = True
-        self._known: dict[bytes, np.ndarray] = {}
-        self._older: dict[bytes, np.ndarray] = {}
+        self._known: dict[bytes, bytes] = {}
+        self._older: dict[bytes, bytes] = {}
 
-    def _encode(self, words: list[str]) -> list[np.ndarray]:
+    def _encode(self, words: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
-        return [np.array(e.ids, "<u4") for e in found]
+        return [np.array(e.ids, "<u4").tobytes() for e in found]
 
     def _learn(self, parts: list[bytes]) -> None:
         """Encodes parts that are not known yet: those that are one pre-token many to a line."""
         single, other = [], []
         for part in parts:
             word = part.decode()
-            (single if word.isalpha() and word.lower().isalpha() else other).append(word)
+            (single if word.isalpha() and (part.isascii() or word.lower().isalpha()) else other).append(part)
         for start in range(0, len(single), _LINE):
             line = single[start : start + _LINE]
-            ids = self._encode([" ".join(line)])[0]
-            ends = np.flatnonzero(self.ends_word[ids]) + 1
-            own = np.split(ids, ends[:-1]) if len(ends) == len(line) else self._encode(line)
-            for word, found in zip(line, own, strict=True):
-                self._known[word.encode()] = found
-        for word, found in zip(other, self._encode(other), strict=True):
-            self._known[word.encode()] = found
+            ids = self._encode([b" ".join(line).decode()])[0]
+            ends = ((np.flatnonzero(self.ends_word[np.frombuffer(ids, "<u4")]) + 1) * 4).tolist()
+            if len(ends) == len(line):
+                self._known.update(zip(line, [ids[a:b] for a, b in zip([0, *ends], ends)], strict=True))
+            else:
+                self._known.update(zip(line, self._encode([part.decode() for part in line]), strict=True))
+        self._known.update(zip(other, self._encode([part.decode() for part in other]), strict=True))
 
     def encode_all(self, array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the texts one behind the other, and the bounds of each text's own; null is empty."""
@@ -108,8 +108,8 @@ class WordTokenizer:
                     known[part] = ids
         self._learn(missing)
         found = [known[part] for part in parts]
-        sizes = np.fromiter(map(len, found), np.int64, len(found))
-        flat = np.concatenate(found) if found else np.empty(0, "<u4")
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        flat = np.frombuffer(b"".join(found), "<u4")
         counts = sizes[place]
         upto = np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)
         base = (np.cumsum(sizes) - sizes)[place]
@@ -119,7 +119,7 @@ class WordTokenizer:
             return ids, limits
         own = np.split(ids, limits[1:-1])
         for row, made in zip(whole, self._encode([array[int(r)].as_py() for r in whole]), strict=True):
-            own[row] = made
+            own[row] = np.frombuffer(made, "<u4")
         return np.concatenate(own), np.concatenate([[0], np.cumsum([len(x) for x in own])]).astype(np.int64)
 
 
