@@ -81,8 +81,12 @@ def measure(array: pa.Array) -> pa.StructArray:
 
 
 def stats_of(text: Column | str) -> Column:
-    """Struct of n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words; null text has none of each."""
-    udf = F.arrow_udf(lambda array: measure(array), returnType=STATS)
+    """Struct of n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words; null text has none of each.
+
+    It is called nondeterministic only so that a filter on the measures is not pushed below it as
+    a second call, with a second Python worker in the same task.
+    """
+    udf = F.arrow_udf(lambda array: measure(array), returnType=STATS).asNondeterministic()
     return udf(text)
 
 
