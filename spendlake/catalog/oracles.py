@@ -591,3 +591,4 @@ ORACLES["cdc_bad_messages"] = statement(
     ("cdc_event",),
     'select partition_id as "partition", partition_offset as "offset" from cdc_event where partition_offset % 10 = 0',
 )
+ORACLES["reclassify_published"] = ORACLES["reclassify_spent_detail_indexing"]

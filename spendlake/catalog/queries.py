@@ -417,6 +417,16 @@ def reclassify_spent_detail_indexing(d: Domain) -> DataFrame:
     )
 
 
+@query
+def reclassify_published(d: Domain) -> DataFrame:
+    """The reclassified index as the next published version."""
+    target = VersionedTable(d.spark, run_dir(d.spark, "reclassified"), "spent_detail")
+    spends = spend.reclassify_spends(_index(d), _keywords(d), with_type_name=True)
+    return spend.publish_full_index(spends, target, NOW).select(
+        "spent_idx", "spent_name", "consume_keyword_type_id", "consume_keyword_type"
+    )
+
+
 # Reports
 
 

@@ -10,22 +10,30 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A key is heavy when it has more than one in this many rows; so there are fewer heavy keys than this.
+# A key is heavy when it has more than one in so many rows; so there are fewer heavy keys than this.
+# The more partitions a shuffle has, the smaller the part of the rows that one should take.
 HEAVY_KEYS = 1000
 
-# Rows of a heavy key are spread so that a route has about one in this many of all rows.
-_SHARE = 4096
+
+def heavy_limit(frame: DataFrame) -> int:
+    """HEAVY_KEYS, or twice the session's shuffle partitions where that is more."""
+    return max(HEAVY_KEYS, 2 * int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
+def _share(frame: DataFrame) -> int:
+    """Rows of a heavy key are spread so that a route has about one in this many of all rows."""
+    return 4 * heavy_limit(frame)
 
 
 def heavy_keys(sizes: DataFrame, key: str, rows: str) -> DataFrame:
     """Heavy keys and the number of routes each is spread over, from ``(key, rows)`` counts.
 
-    Each heavy key has more than 1/HEAVY_KEYS of the rows, so the result has fewer
-    than HEAVY_KEYS rows and all routes together are fewer than _SHARE + HEAVY_KEYS.
+    Each heavy key has more than one in ``heavy_limit`` of the rows, so the result has fewer
+    rows than that, and all routes together are fewer than five times as many.
     """
     total = sizes.agg(F.sum(rows)).scalar()
-    heavy = sizes.filter(F.col(rows) * HEAVY_KEYS > total)
-    return heavy.select(key, F.ceil(F.col(rows) * _SHARE / total).alias("routes"))
+    heavy = sizes.filter(F.col(rows) * heavy_limit(sizes) > total)
+    return heavy.select(key, F.ceil(F.col(rows) * _share(sizes) / total).alias("routes"))
 
 
 def spread_join(
@@ -39,7 +47,7 @@ def spread_join(
     """
     heavy = F.broadcast(heavy_keys(sizes, key, rows))
     routes = F.coalesce("routes", F.lit(1))
-    ways = F.when(F.col(key).isNull(), _SHARE).otherwise(routes)
+    ways = F.when(F.col(key).isNull(), _share(facts)).otherwise(routes)
     dealt = facts.join(heavy, key, "left").withColumn("route", F.pmod(F.xxhash64(spread_by), ways))
     copied = other.join(heavy, key, "left").withColumn("route", F.explode(F.sequence(F.lit(0), routes - 1)))
     values = [name for name in other.columns if name != key]

@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
+import contextlib
 import functools
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def local_session(cores: str = "*", name: str = "spendlake", shuffle_partitions: int = 8) -> SparkSession:
-    """A session for tests and the bench; on a cluster use the session it supplies."""
+def local_session(
+    cores: str = "*", name: str = "spendlake", shuffle_partitions: int = 8, folder: str | None = None
+) -> SparkSession:
+    """A session for tests and the bench; on a cluster use the session it supplies. ``folder`` takes what jobs store."""
+    builder = SparkSession.builder.config("spark.checkpoint.dir", folder) if folder else SparkSession.builder
     spark = (
-        SparkSession.builder.master(f"local[{cores}]")
+        builder.master(f"local[{cores}]")
         .appName(name)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.session.timeZone", "UTC")
@@ -50,12 +55,31 @@ def run_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/spendlake/{label}-{uuid.uuid4().hex}"
 
 
+# Folders written by ``stored`` in this process.
+_STORED: list[str] = []
+
+
+@contextlib.contextmanager
+def stored_tables(spark: SparkSession) -> Iterator[None]:
+    """Drops what ``stored`` wrote within the block, once the job has written its result."""
+    first = len(_STORED)
+    try:
+        yield
+    finally:
+        dropped, _STORED[first:] = _STORED[first:], []
+        for folder in dropped:
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def stored(frame: DataFrame, label: str) -> DataFrame:
     """The frame written to the shared folder and read back.
 
     For results that several later steps read: they are computed once, survive lost
-    executors, and later joins know their true size.
+    executors, and later joins know their true size. They stay until the ``stored_tables`` block
+    around the job ends, or for good without one.
     """
     path = run_dir(frame.sparkSession, label)
+    _STORED.append(path)
     frame.write.parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 from spendlake.operators import amounts, cdc
 from spendlake.operators.denormalise import spends_for_index
+from spendlake.session import stored, stored_tables
 
 SETTINGS = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
@@ -93,3 +95,13 @@ def test_a_hot_key_of_the_feed_is_combined_before_the_shuffle(no_broadcast):
         plan = frame._jdf.queryExecution().executedPlan().toString()
         assert "partial_max_by" in plan
         assert "collect_list" not in plan
+
+
+def test_stored_tables_are_dropped_with_their_job(spark, tmp_path):
+    result = str(tmp_path / "result")
+    with stored_tables(spark):
+        kept = stored(spark.range(3), "kept-for-a-while")
+        folder = Path(kept.inputFiles()[0].removeprefix("file://")).parent
+        kept.write.parquet(result)
+        assert folder.exists()
+    assert not folder.exists() and spark.read.parquet(result).count() == 3
