@@ -42,6 +42,8 @@ EXTRACTED = T.StructType([T.StructField("text", T.StringType()), T.StructField("
 
 # Element kinds of the HTML standard.
 _RAW = "script|style|noscript|template|svg|math|iframe|object|textarea|select|title"
+_ENDLESS = frozenset("script style noscript iframe textarea title".split())  # unclosed, they hold the rest of the page
+_FOREIGN = frozenset(("svg", "math"))  # empty if they end in />
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark meter nobr output picture "
@@ -60,15 +62,27 @@ _CLOSES = {
 _HOLDERS = frozenset("ul ol dl table article section main aside nav header footer div form body td".split())
 
 _MARKUP = re.compile(
-    rf"<!--(?:.*?-->|.*)|<({_RAW})\b(?:[^<>\"']++|\"[^\"]*+\"|'[^']*+')*+>(?:.*?</\1\s*+>|.*)"
+    rf"<!--(?:.*?-->|.*)|<({_RAW})(?=[\s/>])(?:[^<>\"']++|\"[^\"]*+\"|'[^']*+')*+>"
     r"|<[/!?]?[a-zA-Z](?:[^<>\"']++|\"[^\"<]*+\"|'[^'<]*+')*+>|<[/!?]?[a-zA-Z][^<>]*+>",
     re.DOTALL | re.IGNORECASE,
 )
+_RAW_ENDS = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*+>", re.IGNORECASE) for name in _RAW.split("|")}
 _NAME = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9]*)")
 _NAMED = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.IGNORECASE)
 _TOKEN = re.compile(r"[a-z]+")
 
 
+def _raw_end(page: str, name: str, tag: str, at: int, unclosed: set[str]) -> int | None:
+    """Where the raw element ends whose opening tag ends at ``at``; None if it is unclosed and hides nothing."""
+    if name in _FOREIGN and tag.endswith("/>"):
+        return at
+    found = None if name in unclosed else _RAW_ENDS[name].search(page, at)
+    if found:
+        return found.end()
+    unclosed.add(name)  # nor is any later one closed
+    return len(page) if name in _ENDLESS else None
+
+
 @dataclass(frozen=True)
 class Tag:
     name: str
@@ -121,14 +135,19 @@ class Blocks:
                 parts.clear()
                 linked = 0
 
-        at = 0
-        for match in _MARKUP.finditer(page):
+        at, unclosed = 0, set()
+        while match := _MARKUP.search(page, at):
             start = match.start()
             if start > at:
                 parts.append(page[at:start])
                 linked += (start - at) * in_link
             at = match.end()
-            if match[1] or page.startswith(("<!", "<?"), start):
+            if match[1]:
+                end = _raw_end(page, match[1].lower(), match[0], at, unclosed)
+                if end is not None:
+                    at = end
+                    continue
+            if page.startswith(("<!", "<?"), start):
                 continue
             tag = self._tag(match[0])
             if tag is None:

@@ -184,6 +184,32 @@ def test_blocks():
     assert links[4] > 0
 
 
+@pytest.mark.parametrize(
+    ("markup", "hidden"),
+    [
+        ("<svg-icon name=x></svg-icon>", ""),
+        ("<SELECT-BOX>y</SELECT-BOX>", "y"),
+        ("<title-bar></title-bar><template-x></template-x>", ""),
+        ("<svg class='>' viewBox=\"0 0 1 1\" />", ""),
+        ("<math/><svg\n/>", ""),
+        ("<svg><path d='m'/><text>z</text></svg>", ""),
+        ("<svg>", ""),
+        ("<object data=a><select>", ""),
+        ("<script>if (a</b/.test(c)) '</scripts>'</script x>", ""),
+    ],
+)
+def test_text_after_elements_stays(markup, hidden):
+    page = f"<p>a</p>{markup}<article><p>whole rest</p></article>"
+    texts = html_text.Blocks().cut(page + "<svg></svg>" * markup.endswith("/>"))[1]
+    assert texts == [x for x in ("a", hidden, "whole rest") if x]
+
+
+def test_unclosed_raw_text_hides_the_rest():
+    for name in ("script", "style", "textarea", "title", "iframe", "noscript"):
+        assert html_text.Blocks().cut(f"<p>a</p><{name} x='/'/>b<p>c</p>")[1] == ["a"]
+    assert html_text.Blocks().cut("<p>a</p>" + "<svg>" * 500 + "<p>b</p>")[1] == ["a", "b"]
+
+
 def test_gradients():
     random_ = np.random.default_rng(0)
     model = html_text.BiLstm(random_)
