@@ -10,6 +10,7 @@ sample of pages in the manner of many templates.
 from __future__ import annotations
 
 import html
+import itertools
 import re
 import zlib
 from dataclasses import dataclass
@@ -23,10 +24,18 @@ from pyspark.sql import types as T
 from spendlake.llm.batches import short_batches
 from spendlake.llm.texthash import Texts, pieces
 
-# Training pages: at most so many, those of least hash among pages of at most so many characters.
+# Training pages: at most so many with a text, those of least hash, and of each blocks of about so many characters,
+# in runs that are evenly spread over the page. Longer blocks and words count by their beginning in training.
 SAMPLE_PAGES = 192
 SAMPLE_CHARS = 100_000
+RUN = 8
+BLOCK_CHARS = 10_000
+SAMPLE_WORDS = 200
+WORD_CHARS = 256
+
+# Layouts of each training page, and of all together at least.
 LAYOUTS = 6
+LEAST_LAYOUTS = 384
 LONGEST = 160
 EPOCHS = 10
 SEED = 5
@@ -40,6 +49,9 @@ _TOGETHER = 48
 
 EXTRACTED = T.StructType([T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())])
 
+MATERIAL = T.StructType([T.StructField(n, T.ArrayType(T.StringType())) for n in ("texts", "words")])
+_MATERIAL_ARROW = pa.struct([(n, pa.list_(pa.string())) for n in MATERIAL.fieldNames()])
+
 # Element kinds of the HTML standard.
 _RAW = "script|style|noscript|template|svg|math|iframe|object|textarea|select|title"
 _ENDLESS = frozenset("script style noscript iframe textarea title".split())  # unclosed, they hold the rest of the page
@@ -369,23 +381,34 @@ def _features(paths: list[tuple[str, ...]], texts: list[str], links: list[float]
     return np.concatenate([np.stack(rows), word_vectors(texts), link], axis=1)
 
 
-def train(pages: list[str]) -> BiLstm | None:
-    """The labeller, from the text of some pages; None if they have no text."""
-    random = np.random.default_rng(SEED)
-    blocks, material, words = Blocks(), [], []
-    for page in pages:
-        paths, texts, _ = blocks.cut(page)
-        main = [t for p, t in zip(paths, texts, strict=True) if "article" in p or "main" in p] or texts
-        if main:
-            material.append(main)
-        words += [w for text in texts for w in text.split()][:200]
-    if not material:
+def material(blocks: Blocks, page: str) -> tuple[list[str], list[str]] | None:
+    """Some text blocks and words of a page to train on, of bounded size; None if it has no text."""
+    paths, texts, _ = blocks.cut(page)
+    if not texts:
         return None
+    main = [t for p, t in zip(paths, texts, strict=True) if "article" in p or "main" in p] or texts
+    main = [t[:BLOCK_CHARS] for t in main]
+    every, room, chosen = -(-sum(map(len, main)) // SAMPLE_CHARS), SAMPLE_CHARS, []
+    for number, text in enumerate(main):
+        if room > 0 and not number // RUN % every:
+            chosen.append(text)
+            room -= len(text)
+    words = (word[:WORD_CHARS] for text in texts for word in text.split())
+    return chosen, list(itertools.islice(words, SAMPLE_WORDS))
+
+
+def train(samples: list[tuple[list[str], list[str]]]) -> BiLstm | None:
+    """The labeller, from the ``material`` of some pages; None without any."""
+    if not samples:
+        return None
+    random = np.random.default_rng(SEED)
+    mains = [main for main, _ in samples]
+    words = [word for _, own in samples for word in own]
     rows, labels, kept = [], [], {}
     vocabulary = np.array(words)
-    everything = [text for main in material for text in main]
-    for _ in range(LAYOUTS):
-        for main in material:
+    everything = [text for main in mains for text in main]
+    for _ in range(max(LAYOUTS, -(-LEAST_LAYOUTS // len(mains)))):
+        for main in mains:
             size = int(np.exp(random.uniform(0, np.log(LONGEST))))
             more = [everything[i] for i in random.integers(0, len(everything), max(0, size - len(main)))]
             made = _lay_out([*main, *more][:size], vocabulary, random)
@@ -452,11 +475,30 @@ def main_text(page: Column | str, model: BiLstm | None) -> Column:
     return F.arrow_udf(apply, returnType=EXTRACTED)(page)
 
 
+def _material(page: Column | str) -> Column:
+    """Struct of the texts and words of ``material``; null for a page without text."""
+    blocks = Blocks()
+
+    def apply(array: pa.Array) -> pa.Array:
+        found = (material(blocks, page) if page else None for page in (x.as_py() for x in array))
+        return pa.array([f and dict(zip(MATERIAL.fieldNames(), f, strict=True)) for f in found], _MATERIAL_ARROW)
+
+    return F.arrow_udf(apply, returnType=MATERIAL)(page)
+
+
 def fit(pages: DataFrame) -> BiLstm | None:
-    """The labeller of a table of pages, from at most SAMPLE_PAGES of them."""
-    short = pages.filter((F.length("html") > 0) & (F.length("html") <= SAMPLE_CHARS))
-    rows = short.orderBy(F.xxhash64("page_id"), "page_id").limit(SAMPLE_PAGES).select("html").collect()
-    return train([r.html for r in rows])
+    """The labeller of a table of pages, from at most SAMPLE_PAGES of them; None only if no page has a text."""
+    hashed = pages.filter(F.length("html") > 0).select(F.xxhash64("page_id").alias("hash"), "page_id", "html")
+    least = [r.hash for r in hashed.select("hash").orderBy("hash").limit(SAMPLE_PAGES).collect()]
+    if not least:
+        return None
+    # Where the pages of least hash have no text, those that have one are looked for among all.
+    for some in (hashed.filter(F.col("hash") <= least[-1]), hashed):
+        cut = some.select("hash", "page_id", _material("html").alias("made")).filter("made is not null")
+        rows = cut.orderBy("hash", "page_id", F.xxhash64("made")).limit(SAMPLE_PAGES).collect()
+        if rows:
+            return train([(r.made.texts, r.made.words) for r in rows])
+    return None
 
 
 def html_text(pages: DataFrame) -> DataFrame:

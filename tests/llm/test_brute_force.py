@@ -210,6 +210,29 @@ def test_unclosed_raw_text_hides_the_rest():
     assert html_text.Blocks().cut("<p>a</p>" + "<svg>" * 500 + "<p>b</p>")[1] == ["a", "b"]
 
 
+def test_tables_of_long_pages_get_texts(spark):
+    part = "<h2>Heading {0}</h2><p>Paragraph {0} of the text &amp; more of it that goes on for a while.</p>"
+    page = f"<body><article>{''.join(part.format(i) for i in range(1500))}</article></body>"
+    text = " ".join(f"Heading {i} Paragraph {i} of the text & more of it that goes on for a while." for i in range(1500))
+    assert len(page) > html_text.SAMPLE_CHARS
+    schema = "page_id long, url string, html string"
+    alone = html_text.html_text(spark.createDataFrame([(1, "u", page)], schema)).collect()
+    assert [r.text for r in alone] == [text]
+    bare = [(i, "u", "<script>no text</script>") for i in range(1000)]
+    among = html_text.html_text(spark.createDataFrame([*bare, (None, "u", page)], schema)).filter("n_chars > 0")
+    assert [(r.page_id, r.text) for r in among.collect()] == [(None, text)]
+
+
+def test_training_material_is_bounded():
+    blocks = html_text.Blocks()
+    assert html_text.material(blocks, "<script>a</script> ") is None
+    texts, words = html_text.material(blocks, "x" * 1_000_000 + "".join(f"<p>{i} {'y' * 300}" for i in range(9000)))
+    assert len(texts[0]) == html_text.BLOCK_CHARS and len(words[0]) == html_text.WORD_CHARS
+    assert sum(map(len, texts)) <= html_text.SAMPLE_CHARS + html_text.BLOCK_CHARS
+    assert int(texts[-1].split()[0]) > 8000
+    assert html_text.material(blocks, "<p>a b<p>c") == (["a b", "c"], ["a", "b", "c"])
+
+
 def test_gradients():
     random_ = np.random.default_rng(0)
     model = html_text.BiLstm(random_)
