@@ -27,10 +27,14 @@ BUCKETS = 1 << 16
 MAX_TARGET_ROWS = 40_000
 
 # The draw is as large as the number of documents whose mean weight per feature is no lower than
-# that of all but this share of the unseen target rows, less the margin.
+# that of all but this share of the unseen target rows, less the margin. The margin is for a share
+# of at most one row; from more rows on it falls as the error of a quantile does.
 TARGET_LOSS = 0.002
 MARGIN = 0.05
 
+# Means of few features scatter widely, so each has so many features of weight 0 besides its own.
+NEUTRAL_FEATURES = 20
+
 # Long and short texts count alike: as so many features of their mean weight.
 PSEUDO_LENGTH = 200
 
@@ -120,10 +124,15 @@ def gumbel() -> Column:
     return -F.log(-F.log((bits + 0.5) / float(1 << 52)))
 
 
+def _mean(log_weight: Column, n_features: Column) -> Column:
+    """Mean weight per feature, drawn to 0 where there are few; null without features."""
+    return F.when(n_features > 0, log_weight / (n_features + NEUTRAL_FEATURES))
+
+
 def _score(weight: Column) -> Column:
     """Perturbed log weight in whole units of 2**-20, so that its order is exact; null without features."""
-    tempered = weight["log_weight"] / weight["n_features"] * PSEUDO_LENGTH
-    return F.when(weight["n_features"] > 0, F.round((tempered + gumbel()) * float(1 << 20)).cast("long"))
+    tempered = _mean(weight["log_weight"], weight["n_features"]) * PSEUDO_LENGTH
+    return F.round((tempered + gumbel()) * float(1 << 20)).cast("long")
 
 
 def kth_largest(table: DataFrame, column: str, k: int) -> int | None:
@@ -161,9 +170,11 @@ class Draw:
         scored = weighed.select("doc_id", "weight.*", _score(F.col("weight")).alias("score"))
         joined = scored.join(flags, F.col("doc_id") == F.col("target_id"), "left")
         self.scores = stored(joined.withColumn("unseen", F.col("target_id").isNotNull()).drop("target_id"), "scores")
-        mean = F.when(F.col("n_features") > 0, F.col("log_weight") / F.col("n_features"))
-        lowest = self.scores.filter("unseen").agg(F.percentile(mean, F.lit(TARGET_LOSS))).first()[0]
-        alike = F.lit(True) if lowest is None else mean >= lowest - MARGIN
+        mean = _mean(F.col("log_weight"), F.col("n_features"))
+        unseen = self.scores.filter("unseen").agg(F.percentile(mean, F.lit(TARGET_LOSS)), F.count(mean))
+        lowest, rows = unseen.first()
+        margin = MARGIN / max(1.0, rows * TARGET_LOSS) ** 0.5
+        alike = F.lit(True) if lowest is None else mean >= lowest - margin
         self.size = self.scores.filter(mean.isNotNull() & alike).count()
         self.cut = kth_largest(self.scores, "score", self.size) if self.size else None
 

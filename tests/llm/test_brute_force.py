@@ -356,6 +356,21 @@ def test_long_merges_equal_short_ones():
         assert code._merge_long(word) == code._merge_short(word)
 
 
+# Quality classifier
+
+
+def test_good_rows_are_drawn_and_bad_ones_are_not(spark):
+    folder = "/root/testdata/sf0.1"
+    drawn = QUERIES["op8_quality_classifier"](spark, folder).filter("n_features > 0")
+    rows = drawn.join(spark.read.parquet(f"{folder}/labels.parquet"), "doc_id").collect()
+    good = [r.drawn for r in rows if r.quality == 1 and not r.toxic]
+    bad = [r.drawn for r in rows if r.quality == 0 and not r.toxic]
+    long_bad = [r.drawn for r in rows if r.quality == 0 and not r.toxic and r.n_features >= 99]
+    assert sum(good) >= 0.995 * len(good)
+    assert sum(bad) <= 0.05 * len(bad)
+    assert sum(long_bad) <= 0.02 * len(long_bad)
+
+
 # Pipeline
 
 
