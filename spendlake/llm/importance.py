@@ -185,8 +185,8 @@ class Draw:
 def quality_classifier(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): log_weight, n_features, score and whether it is drawn.
 
-    ``labels`` (doc_id, quality, toxic) names the target: good and not toxic. The raw model counts all
-    rows. Rows that tie with the last one drawn are drawn too; copies of a row share their noise and
+    ``labels`` (doc_id, quality, toxic) names the target: good and not toxic. Toxic rows are only left out
+    of it; long ones are mostly drawn all the same. The raw model counts all rows. Rows that tie with the last one drawn are drawn too; copies of a row share their noise and
     so their fate. A null or empty text has no features, no score and is never drawn. Without target
     rows all weights are 0 and every text with words is drawn. Other columns are left out.
     """
