@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 
 from spendlake.session import stored
 
-# The trees are trained on at most so many labelled URLs, those of least hash.
+# The trees are trained on at most so many different labelled URLs, those of least hash. Where these have one verdict
+# only, as many of the other one are added as make a twentieth.
 MAX_TRAINING_ROWS = 20_000
 TREES = 12
 DEPTH = 4
@@ -154,14 +155,19 @@ def featured(ruled: DataFrame) -> DataFrame:
 
 
 def train(frame: DataFrame):
-    """Trees from a bounded sample of the labelled rows; None where only one verdict is known."""
+    """Trees from a bounded sample of the labelled URLs; None where labelled rows have one verdict only."""
     known = frame.filter("rule_verdict is not null").withColumn(
         "label", (F.col("rule_verdict") == "block").cast("double")
     )
-    sample = known.orderBy(F.xxhash64("url"), "url").limit(MAX_TRAINING_ROWS).select("label", *FEATURES)
-    sample = stored(sample, "url-training").coalesce(4)
-    if sample.select("label").distinct().count() < 2:
+    if known.select("label").distinct().count() < 2:
         return None
+    urls = known.select("url", "label", *FEATURES).distinct().orderBy(F.xxhash64("url"), "url")
+    sample = stored(urls.limit(MAX_TRAINING_ROWS), "url-training")
+    labels = [r.label for r in sample.select("label").distinct().collect()]
+    if len(labels) < 2:
+        other = urls.filter(F.col("label") != labels[0]).limit(max(1, MAX_TRAINING_ROWS // 20))
+        sample = sample.union(stored(other, "url-training"))
+    sample = sample.coalesce(4)
     rows = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(sample)
     return GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=SEED).fit(rows)
 

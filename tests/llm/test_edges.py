@@ -148,6 +148,23 @@ def test_pages(spark):
     assert url_filter.url_filter(table.limit(0)).collect() == []
 
 
+@pytest.mark.parametrize("copies", [1, 60])
+def test_url_sample_has_both_verdicts(spark, monkeypatch, copies):
+    monkeypatch.setattr(url_filter, "MAX_TRAINING_ROWS", 40)
+    ends = [f"https://a{i}.{end}" for i in range(100) for end in ("org/x", "com/de/x")]
+    hashed = spark.createDataFrame([(u,) for u in ends], "url string").withColumn("hash", F.xxhash64("url"))
+    ordered = [r.url for r in hashed.orderBy("hash").collect()]
+    if copies == 1:  # the least hashes are all of one verdict
+        first = [u for u in ordered if "org" in u][:40]
+        urls = first + [u for u in ordered[ordered.index(first[-1]) + 1 :] if "com" in u]
+        assert any("com" in u for u in urls)
+    else:  # one URL is more than the sample
+        urls = ordered[:1] * copies + ordered[1:]
+    rows = [(i, u) for i, u in enumerate([*urls, "http://b.net/q"])]
+    found = url_filter.url_filter(spark.createDataFrame(rows, "page_id long, url string")).collect()
+    assert len(found) == len(rows) and all(r.p_block is not None for r in found)
+
+
 def test_kth_largest_with_ties(spark):
     values = [5, -7, 5, 5, 2**40, -(2**40), 0, None]
     table = spark.createDataFrame([(v,) for v in values], "v long")
