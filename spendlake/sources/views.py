@@ -8,6 +8,8 @@ where a global ``dense_rank`` would sort everything in one task.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -181,11 +183,14 @@ class Domain:
         return self.spark.read.schema(_SCHEMAS[known]).parquet(path)
 
     def _view(self, name: str) -> DataFrame:
-        inputs = VIEWS[name][0]
-        aliases = ", ".join(f"{source} as (select * from {{{source}}})" for source in inputs)
-        return self.spark.sql(
-            f"with {aliases} {VIEWS[name][1]}", **{source: self.table(source) for source in inputs}
-        )
+        """The view's statement over its input frames, which stand in it themselves.
+
+        Named by a ``with`` each, they would nest as views do, and Spark can take a name of an inner
+        ``with`` for one of an outer.
+        """
+        inputs, statement = VIEWS[name]
+        sql = re.sub(rf"\b(from|join) ({'|'.join(inputs)})\b", r"\1 {\2}", statement)
+        return self.spark.sql(sql, **{source: self.table(source) for source in inputs})
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in VIEWS or name in BASE_TABLES:
