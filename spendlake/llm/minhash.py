@@ -67,8 +67,9 @@ def shingles(texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarr
     whole = owner[: len(grams)] == owner[SHINGLE_WORDS - 1 :]
     ordinal = (np.arange(len(words)) - bounds[owner]).astype(np.uint64)
     keys = []
-    for salt in (np.uint64(1), np.uint64(0x5851F42D4C957F2D)):
-        placed = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(words * salt + mix(ordinal + salt)))])
+    for seed in (0, 1):  # two hashes of the words that have nothing in common
+        own = texts.hash_slices(starts, ends, seed) if seed else words
+        placed = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(own + mix(ordinal + _salt(seed + 1))))])
         keys.append(mix(placed[bounds[1:]] - placed[bounds[:-1]] + counts.astype(np.uint64)))
     short = np.flatnonzero((counts > 0) & (counts < SHINGLE_WORDS))
     values = np.concatenate([grams[whole], keys[0][short]])

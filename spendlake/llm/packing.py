@@ -92,7 +92,7 @@ class WordTokenizer:
         cuts[1:] = _LETTER[lower[:-1]] & _SYMBOL[lower[1:]]
         cuts[texts.bounds[:-1][texts.bounds[:-1] < len(raw)]] = False
         starts, ends, bounds = texts.words(cuts)
-        _, first, place = np.unique(texts.hash_slices(starts, ends), return_index=True, return_inverse=True)
+        first, place = texts.distinct(starts, ends)
         data = lower.tobytes()
         parts = [data[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)]
         if len(self._known) > CACHE_SIZE:

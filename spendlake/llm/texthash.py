@@ -2,12 +2,14 @@
 
 The texts of an array lie one behind the other in one byte buffer. Words are maximal runs
 of bytes other than space and the controls 0x09 to 0x0D; no word or line crosses a text.
-A polynomial over the bytes gives the hash of every slice from two prefix sums.
+The hash of a slice takes in eight bytes at a time and mixes all bits after each step, for all slices
+at once; long slices go through BLAKE2 one by one.
 """
 
 from __future__ import annotations
 
 import functools
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,6 +19,9 @@ import pyarrow.compute as pc
 # Texts are worked on in pieces of about this many bytes; a longer text is a piece of its own.
 PIECE_BYTES = 512 << 10
 
+# Slices of more bytes are hashed one by one.
+LONG_SLICE = 512
+
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -46,16 +51,58 @@ class Texts:
         self.count = len(array)
 
     @functools.cached_property
-    def _prefix(self) -> np.ndarray:
-        powers, _ = _power_tables(len(self.bytes))
-        sums = np.zeros(len(self.bytes) + 1, np.uint64)
-        np.cumsum((self.bytes.astype(np.uint64) + np.uint64(1)) * powers, out=sums[1:])
-        return sums
+    def _eights(self) -> np.ndarray:
+        """At every byte the eight bytes from there on as one number; zeros follow the last."""
+        padded = np.concatenate([self.bytes, np.zeros(8, np.uint8)])
+        return np.ndarray((len(self.bytes) + 1,), "<u8", buffer=padded, strides=(1,))
 
-    def hash_slices(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """One 64-bit hash for each slice of the bytes; equal slices hash equal wherever they stand."""
-        _, inverse = _power_tables(len(self.bytes))
-        return mix((self._prefix[ends] - self._prefix[starts]) * inverse[starts])
+    def hash_slices(self, starts: np.ndarray, ends: np.ndarray, seed: int = 0) -> np.ndarray:
+        """One 64-bit hash for each slice of the bytes; equal slices hash equal wherever they stand.
+
+        Hashes of different seeds are independent of each other.
+        """
+        sizes = ends - starts
+        hashes = mix(sizes.astype(np.uint64) + np.uint64((seed + 1) * int(_BASE) & _ALL))
+        done, left = 0, np.flatnonzero((sizes > 0) & (sizes <= LONG_SLICE))
+        while len(left):
+            rest = sizes[left] - done
+            chunk = self._eights[starts[left] + done] & _LOW_BYTES[np.minimum(rest, 8)]
+            hashes[left] = mix((hashes[left] ^ chunk) + _BASE)
+            done, left = done + 8, left[rest > 8]
+        for at in np.flatnonzero(sizes > LONG_SLICE).tolist():
+            one = hashlib.blake2b(self.bytes[starts[at] : ends[at]], digest_size=8, salt=seed.to_bytes(8, "little"))
+            hashes[at] = np.frombuffer(one.digest(), "<u8")[0]
+        return hashes
+
+    def distinct(self, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Number of one slice of each content, and for every slice the place of its content among these.
+
+        Hashes find the equal slices, and their bytes confirm it.
+        """
+        _, first, place = np.unique(self.hash_slices(starts, ends), return_index=True, return_inverse=True)
+        if self._equal(starts, ends, first[place]):
+            return first, place
+        numbers: dict[bytes, int] = {}
+        data = self.bytes.tobytes()
+        place = np.array([numbers.setdefault(data[a:b], len(numbers)) for a, b in zip(starts, ends, strict=True)])
+        return np.unique(place, return_index=True)[1], place
+
+    def _equal(self, starts: np.ndarray, ends: np.ndarray, other: np.ndarray) -> bool:
+        """Whether every slice holds the same bytes as the slice of the number beside it."""
+        sizes = ends - starts
+        if (sizes != sizes[other]).any():
+            return False
+        done, left = 0, np.flatnonzero((sizes > 0) & (sizes <= LONG_SLICE))
+        while len(left):
+            rest = sizes[left] - done
+            low = _LOW_BYTES[np.minimum(rest, 8)]
+            if ((self._eights[starts[left] + done] ^ self._eights[starts[other[left]] + done]) & low).any():
+                return False
+            done, left = done + 8, left[rest > 8]
+        return all(
+            np.array_equal(self.bytes[starts[at] : ends[at]], self.bytes[starts[other[at]] : ends[other[at]]])
+            for at in np.flatnonzero(sizes > LONG_SLICE).tolist()
+        )
 
     @functools.cached_property
     def _in_word(self) -> np.ndarray:
@@ -97,6 +144,11 @@ class Texts:
         return sums[self.bounds[1:]] - sums[self.bounds[:-1]]
 
 
+_ALL = 2**64 - 1
+
+# The low 0 to 8 bytes of a number.
+_LOW_BYTES = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+
 _WORD_BYTE = np.ones(256, bool)
 _WORD_BYTE[[9, 10, 11, 12, 13, 32]] = False
 
@@ -124,21 +176,3 @@ def windows(hashes: np.ndarray, width: int) -> np.ndarray:
 def text_of(bounds: np.ndarray) -> np.ndarray:
     """Number of the owner of each item, from the items' bounds per owner."""
     return np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
-
-
-_TABLES: list[np.ndarray] = []
-
-
-def _power_tables(length: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse modulo 2**64, at least ``length`` + 1 of them."""
-    if not _TABLES or len(_TABLES[0]) < length + 1:
-        size = max(length + 1, PIECE_BYTES + (PIECE_BYTES >> 2))
-        inverse = np.uint64(pow(int(_BASE), -1, 1 << 64))
-        tables = []
-        for factor in (_BASE, inverse):
-            steps = np.full(size, factor, np.uint64)
-            steps[0] = 1
-            tables.append(np.cumprod(steps))
-        _TABLES[:] = tables
-    powers, inverse = _TABLES
-    return powers[:length], inverse[: length + 1]
