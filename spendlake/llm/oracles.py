@@ -72,4 +72,146 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 from judged
 """
 
-ORACLES: dict[str, str] = {"op7_quality_rules": _QUALITY}
+
+def _crc32(text: str) -> str:
+    """CRC-32 of an expression of plain ASCII: each byte is taken in, and -1 stands for a step of one bit after it."""
+    steps = ", ".join(["-1"] * 8)
+    listed = f"flatten(list_transform(range(1, length({text}) + 1), lambda i: [ord(({text})[i]), {steps}]))"
+    step = "case when x >= 0 then xor(c, x) else xor(c >> 1, 3988292384 * (c & 1)) end"
+    return f"xor(list_reduce([4294967295]::bigint[] || {listed}::bigint[], lambda c, x: {step}), 4294967295)"
+
+
+_SHOWN = "coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' ')"
+
+_REPAIR = rf"""
+with recursive source as (
+    select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as t, {_crc32(f"({_SHOWN})")} % 20 as k
+    from conversations
+), damaged as (
+    select conv_id, turn, case k when 4 then 'user' else role end as role,
+        case k when 1 then '' when 2 then regexp_replace(t, '[.!?]', '', 'g') else t end as t
+    from source, (values (0), (1)) as v(copy) where k <> 0 and (copy = 0 or k = 3)
+), numbered as (
+    select *, row_number() over (partition by conv_id order by turn nulls first, role, sha256(t)) as pos from damaged
+), seen as (
+    select *, row_number() over (partition by conv_id, role, t order by pos) > 1 as again,
+        not regexp_matches(t, '[^ 	-
+]') as blank, lag(role) over (partition by conv_id order by pos) as before
+    from numbered
+), faults as (
+    select *, not blank and again as duplicate,
+        not blank and not again and not regexp_matches(t, '[.!?][ 	-
+]*$') as truncated,
+        coalesce(left(before, 1) || left(role, 1) not in ('su', 'ua', 'au'), false) as illegal
+    from seen
+), counts as (
+    select conv_id, count(*) as n, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0)::bigint as gaps,
+        count(*) filter (blank) as blank, count(*) filter (duplicate) as duplicate,
+        count(*) filter (truncated) as truncated, count(*) filter (illegal) as illegal
+    from faults group by conv_id
+), inserts as (
+    select * from (values (0, 0, ''), (1, 1, ''), (2, 2, ''), (3, 3, ''), (0, 2, 'I'), (0, 3, 'II'), (1, 2, 'I'),
+        (1, 3, 'II'), (2, 3, 'I'), (3, 2, 'I')) as v(state, behind, edits)
+), steps as (
+    select * from (values ('s', 0, 1), ('u', 0, 2), ('u', 1, 2), ('u', 3, 2), ('a', 2, 3)) as v(initial, state, behind)
+), following as (
+    select * from (values (0, 2), (1, 2), (2, 3), (3, 2)) as v(state, behind)
+), edits as (
+    select f.conv_id, f.pos, n.state, n.state as behind, 'D' as edit, 4 as cost from faults f, following n
+    union all
+    select f.conv_id, f.pos, s.state, s.behind, 'K', case when truncated then 3 else 0 end
+    from faults f join steps s on left(f.role, 1) = s.initial where not blank and not duplicate
+    union all
+    select f.conv_id, f.pos, n.state, n.behind, 'R', case when truncated then 6 else 3 end
+    from faults f, following n where not blank and not duplicate
+), reached as (
+    select conv_id, 0::bigint as pos, 0 as state, {{'cost': 0::bigint, 'audit': ''}} as best from counts
+    union all
+    select r.conv_id, e.pos, e.behind,
+        min({{'cost': (r.best.cost + 3 * length(i.edits) + e.cost)::bigint, 'audit': r.best.audit || i.edits || e.edit}})
+    from reached r join inserts i on r.state = i.state
+    join edits e on e.conv_id is not distinct from r.conv_id and e.pos = r.pos + 1 and e.state = i.behind
+    group by r.conv_id, e.pos, e.behind
+), goals as (
+    select r.conv_id, min({{'cost': (r.best.cost + 3 * length(i.edits))::bigint, 'audit': r.best.audit || i.edits}}) as best
+    from reached r join inserts i on r.state = i.state join counts c on r.conv_id is not distinct from c.conv_id and r.pos = c.n
+    where i.behind in (0, 3) group by r.conv_id
+), letters as (
+    select conv_id, unnest(string_split(best.audit, '')) as edit, unnest(range(length(best.audit))) as i
+    from goals where best.audit <> ''
+), placed as (
+    select *, count(*) filter (edit <> 'I') over o as pos, count(*) filter (edit <> 'D') over o as place
+    from letters window o as (partition by conv_id order by i)
+), outputs as (
+    select p.*, f.role, f.t, first(p.edit = 'K' and left(f.role, 1) = 's') over (partition by p.conv_id order by place) as has_system
+    from placed p left join faults f on p.edit <> 'I' and p.conv_id is not distinct from f.conv_id and p.pos = f.pos
+    where p.edit <> 'D'
+), lines as (
+    select conv_id, place, case when edit = 'K' then role
+        when (place - has_system::int) % 2 = 1 then 'user' else 'assistant' end
+        || ':' || case when edit = 'I' then '' else t end as line
+    from outputs
+), hashes as (
+    select conv_id, sha256(string_agg(line, chr(10) order by place)) as hash from lines group by conv_id
+)
+select o.conv_id, coalesce(gaps, 0) as gaps, coalesce(blank, 0) as blank, coalesce(duplicate, 0) as duplicate,
+    coalesce(truncated, 0) as truncated, coalesce(illegal, 0) as illegal, coalesce(g.best.cost, 0) as cost,
+    coalesce(g.best.audit, '') as audit, coalesce(hash, sha256('')) as repaired_sha256
+from (select distinct conv_id from conversations) o
+left join counts c on o.conv_id is not distinct from c.conv_id
+left join goals g on o.conv_id is not distinct from g.conv_id
+left join hashes h on o.conv_id is not distinct from h.conv_id
+"""
+
+def _utf8_crc32(text: str) -> str:
+    """CRC-32 of the UTF-8 bytes of an expression."""
+    steps = ", ".join(["-1"] * 8)
+    one = f"('0x' || substr(hex({text}), 2 * i + 1, 2))::bigint"
+    listed = f"flatten(list_transform(range(0, length(hex({text})) // 2), lambda i: [{one}, {steps}]))"
+    step = "case when x >= 0 then xor(c, x) else xor(c >> 1, 3988292384 * (c & 1)) end"
+    return f"xor(list_reduce([4294967295]::bigint[] || {listed}::bigint[], lambda c, x: {step}), 4294967295)"
+
+
+_SPELLING = rf"""
+with recursive runs as (
+    select r, doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as run
+    from (select row_number() over () as r, doc_id, unnest(regexp_extract_all(text, '[A-Za-z\x{{C0}}-\x{{FF}}]+')) as run from documents)
+), counted as (
+    select doc_id, run, count(*) as n from runs where length(run) >= 5 group by all
+), summed as (
+    select run, n, {_utf8_crc32("(coalesce(doc_id::varchar, '') || ':' || run)")} as h from counted
+), results as (
+    select case when h % 97 <> 0 then run
+        else left(run, (h % length(run))::int) || substr(run, (h % length(run))::int + 2) end as word, n
+    from summed
+), words as (
+    select word, sum(n)::bigint as n from results where length(word) >= 5 group by word having sum(n) >= 3
+), cuts as (
+    select word, n, i, left(word, i) || substr(word, i + 2) as rest
+    from (select word, n, unnest(range(length(word)))::int as i from words)
+), near as (
+    select a.word, a.n, b.word as other, b.n as other_n from cuts a join cuts b
+    on a.rest = b.rest and a.i = b.i and length(a.word) = length(b.word) and a.word <> b.word
+    union select a.word, a.n, b.word, b.n from cuts a join words b on a.rest = b.word
+    union select b.word, b.n, a.word, a.n from cuts a join words b on a.rest = b.word
+), best as (
+    select word, count(*) as n_near, first(other order by other_n desc, other) as other, max(other_n) as other_n
+    from near group by word
+), formed as (
+    select w.word, w.n, coalesce(n_near, 0) as n_near, case when other_n >= 2 * w.n then other end as form,
+        case when other_n >= 2 * w.n then other_n end as form_n
+    from words w left join best b on w.word = b.word
+), chain as (
+    select word, word as root, 0 as steps from words
+    union all
+    select c.word, f.form, steps + 1 from chain c join formed f on c.root = f.word where f.form is not null
+)
+select f.word, form, root, n, n_near, form_n
+from formed f join (select word, arg_max(root, steps) as root from chain group by word) c on f.word = c.word
+"""
+
+ORACLES: dict[str, str] = {
+    "op7_quality_rules": _QUALITY,
+    "op11_conversation_repair": _REPAIR,
+    "op13_spelling_variants": _SPELLING,
+}

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from spendlake.llm import (
     byte_bpe,
+    conversation_repair,
     html_text,
     importance,
     minhash,
@@ -16,6 +17,7 @@ from spendlake.llm import (
     prefix_forest,
     quality_rules,
     secrets,
+    spelling,
     token_counts,
     url_filter,
 )
@@ -83,3 +85,13 @@ def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.url_filter(table(spark, sf_dir, "pages"))
+
+
+@query
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repair_damaged(table(spark, sf_dir, "conversations"))
+
+
+@query
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
