@@ -210,8 +210,47 @@ select f.word, form, root, n, n_near, form_n
 from formed f join (select word, arg_max(root, steps) as root from chain group by word) c on f.word = c.word
 """
 
+_NGRAMS = rf"""
+with recursive texts as (
+    select row_number() over () as r, doc_id,
+        regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_WORD}') as w
+    from documents
+), placed as (
+    select r, unnest(w) as word, unnest(range(len(w))) as i, len(w) as size from texts where len(w) >= 4
+), grams as (
+    select r, word || ' ' || lead(word) over o || ' ' || lead(word, 2) over o || ' ' || lead(word, 3) over o as gram
+    from placed window o as (partition by r order by i)
+    union all select r, array_to_string(w, ' ') from texts where len(w) between 1 and 3
+), shingles as (
+    select distinct r, gram from grams where gram is not null
+), sizes as (
+    select r, count(*) as n, md5(string_agg(gram, chr(10) order by gram)) as whole from shingles group by r
+), sets as (
+    select whole, min(r) as r, any_value(n) as n from sizes group by whole
+), held as (
+    select s.r, n, gram from sets s join shingles g on s.r = g.r
+), meets as (
+    select a.r, b.r as other, a.n, b.n as other_n, count(*) as shared
+    from held a join held b on a.gram = b.gram and a.r < b.r and 100 * a.n >= 85 * b.n and 100 * b.n >= 85 * a.n group by all
+), links as (
+    select r, other from meets where 100 * shared >= 85 * (n + other_n - shared)
+), both_ways as (
+    select r, other from links union all select other, r from links
+), reach as (
+    select r, r as other from sets union select h.r, b.other from reach h join both_ways b on h.other = b.r
+), least as (
+    select z.whole, min(t.doc_id) as doc_id from sizes z join texts t on z.r = t.r group by z.whole
+), component as (
+    select s.whole, min(l.doc_id) as component_id
+    from sets s join reach h on s.r = h.r join sets o on o.r = h.other join least l on l.whole = o.whole group by s.whole
+)
+select t.doc_id, coalesce(z.n, 0) as n_shingles, case when z.n is null then t.doc_id else c.component_id end as component_id
+from texts t left join sizes z on t.r = z.r left join component c on z.whole = c.whole
+"""
+
 ORACLES: dict[str, str] = {
     "op7_quality_rules": _QUALITY,
     "op11_conversation_repair": _REPAIR,
+    "op12_ngram_join": _NGRAMS,
     "op13_spelling_variants": _SPELLING,
 }

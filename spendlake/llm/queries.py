@@ -13,6 +13,7 @@ from spendlake.llm import (
     html_text,
     importance,
     minhash,
+    ngram_join,
     packing,
     prefix_forest,
     quality_rules,
@@ -92,6 +93,11 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.repair_damaged(table(spark, sf_dir, "conversations"))
 
 
+@query
+def op12_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.ngram_links(table(spark, sf_dir, "documents"))
+
+
 @query
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.spelling_variants(table(spark, sf_dir, "documents"))
