@@ -18,6 +18,7 @@ from spendlake.llm import (  # noqa: E402
     html_text,
     importance,
     minhash,
+    ngram_join,
     packing,
     prefix_forest,
     quality_rules,
@@ -54,6 +55,7 @@ DOC_OPERATORS = {
     "pack": lambda d, _: packing.pack(d, WORD),
     "secrets": lambda d, _: secrets.secret_scan(d),
     "dedup": lambda d, _: minhash.near_duplicates(d),
+    "ngrams": lambda d, _: ngram_join.ngram_links(d),
     "counts": lambda d, _: token_counts.token_counts(d, BYTE),
     "rules": lambda d, _: quality_rules.quality_rules(d),
     "classifier": importance.quality_classifier,
