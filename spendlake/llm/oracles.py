@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from spendlake.llm.quality_rules import FENCE_RANGES, MAX_REPEAT_PERCENT, MIN_GROUP, MIN_WORDS, SLACK
+from spendlake.llm.quality_rules import FENCE_RANGES, MAX_REPEAT_PERCENT, MIN_WORDS, PRIOR_TEXTS, SLACK
 
 _WORD = r"[^\x20\x09-\x0D]+"
 
@@ -40,27 +40,28 @@ with texts as (
     select lang, source, measure, (shift * 64 + (v >> shift))::bigint as cell, count(*) as n from shifted group by all
 ), merged as (
     select lang, measure, cell, sum(n) as n from cells group by all
+), language_sizes as (
+    select lang, measure, sum(n) as size from merged group by all
+), blended as (
+    select lang, source, measure, cell, sum(n) as n from (
+        select c.lang, c.source, c.measure, c.cell, c.n::hugeint * s.size as n
+        from cells c join language_sizes s on c.lang is not distinct from s.lang and c.measure = s.measure
+        union all
+        select g.lang, g.source, g.measure, m.cell, m.n::hugeint * {PRIOR_TEXTS}
+        from (select distinct lang, source, measure from cells) g
+        join merged m on g.lang is not distinct from m.lang and g.measure = m.measure
+    ) group by all
 ), own as (
     select lang, source, measure, (cell % 64) << (cell // 64) as v,
         sum(n) over (partition by lang, source, measure order by cell) as upto,
-        sum(n) over (partition by lang, source, measure) as size from cells
-), whole as (
-    select lang, measure, (cell % 64) << (cell // 64) as v,
-        sum(n) over (partition by lang, measure order by cell) as upto,
-        sum(n) over (partition by lang, measure) as size from merged
-), own_quartiles as (
-    select lang, source, measure, min(v) filter (upto * 4 >= size) as q1, min(v) filter (upto * 4 >= size * 3) as q3,
-        max(size) as size from own group by all
-), whole_quartiles as (
-    select lang, measure, min(v) filter (upto * 4 >= size) as q1, min(v) filter (upto * 4 >= size * 3) as q3
-    from whole group by all
+        sum(n) over (partition by lang, source, measure) as size from blended
+), quartiles as (
+    select lang, source, measure, min(v) filter (upto * 4 >= size) as q1, min(v) filter (upto * 4 >= size * 3) as q3
+    from own group by all
 ), slack as (
     select * from (values {", ".join(f"('{name}', {value})" for name, value in SLACK.items())}) as s(measure, slack)
 ), chosen as (
-    select o.lang, o.source, o.measure, slack, case when size < {MIN_GROUP} then l.q1 else o.q1 end as q1,
-        case when size < {MIN_GROUP} then l.q3 else o.q3 end as q3
-    from own_quartiles o join slack s on o.measure = s.measure
-    join whole_quartiles l on o.lang is not distinct from l.lang and o.measure = l.measure
+    select o.lang, o.source, o.measure, slack, q1, q3 from quartiles o join slack s on o.measure = s.measure
 ), failed as (
     select distinct l.r from long l join chosen c on l.measure = c.measure
         and l.lang is not distinct from c.lang and l.source is not distinct from c.source

@@ -1,8 +1,8 @@
 """Quality rules whose thresholds follow the corpus.
 
 Every text is measured; the measures of each language and source go into mergeable
-quantile sketches, and the sketches give each language and source its own fences in place
-of fixed cutoffs. Sketches are integer histograms with about 1/16 relative width, so that
+quantile sketches, and the sketches, a source's own blended with its language's, give each language
+and source its own fences in place of fixed cutoffs. Sketches are integer histograms with about 1/16 relative width, so that
 partial sketches add up to the same counts in whatever order tasks merge them.
 """
 
@@ -24,8 +24,8 @@ SYMBOLS = b"#*$%&|<>"
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 
-# A source's own sketch counts from so many texts on; a smaller source takes the sketch of its whole language.
-MIN_GROUP = 200
+# A source's sketch is blended with that of its whole language, which weighs as much as so many of its texts.
+PRIOR_TEXTS = 200
 
 # Fences lie so many interquartile ranges beyond the quartiles, and the slack (in thousandths) beyond that.
 FENCE_RANGES = 3
@@ -121,31 +121,43 @@ def sketches(measured: DataFrame) -> DataFrame:
     return table.groupBy("lang", "source", "measure", bucket(F.col("value")).alias("cell")).agg(F.count("*").alias("n"))
 
 
+def _blended(cells: DataFrame) -> DataFrame:
+    """Cells per (lang, source, measure): the source's own, and PRIOR_TEXTS spread over its language's as that is.
+
+    Counts are multiplied by the size of the language's sketch, so that they stay whole numbers.
+    """
+    exact = "decimal(18,0)"
+    merged = cells.groupBy("lang", "measure", "cell").agg(F.sum("n").alias("n"))
+    sizes = merged.groupBy("lang", "measure").agg(F.sum("n").alias("size"))
+    language = merged.select(F.col("lang").alias("of_lang"), F.col("measure").alias("of"), "cell", F.col("n").alias("prior"))
+    groups = cells.select("lang", "source", "measure").distinct()
+    spread = groups.join(language, groups.lang.eqNullSafe(language.of_lang) & (groups.measure == language.of))
+    prior = spread.select("lang", "source", "measure", "cell", (F.col("prior").cast(exact) * PRIOR_TEXTS).alias("n"))
+    total = sizes.select(F.col("lang").alias("of_lang"), F.col("measure").alias("of"), "size")
+    sized = cells.join(total, cells.lang.eqNullSafe(total.of_lang) & (cells.measure == total.of))
+    own = sized.select("lang", "source", "measure", "cell", (F.col("n").cast(exact) * F.col("size").cast(exact)).alias("n"))
+    both = own.unionByName(prior)
+    return both.groupBy("lang", "source", "measure", "cell").agg(F.sum("n").alias("n"))
+
+
 def _quartiles(cells: DataFrame, keys: list[str]) -> DataFrame:
-    """First and third quartile and size of each sketch, read off its cells."""
+    """First and third quartile of each sketch, read off its cells."""
     whole = Window.partitionBy(*keys)
     ranked = cells.withColumn("upto", F.sum("n").over(whole.orderBy("cell"))).withColumn("size", F.sum("n").over(whole))
     value = bucket_floor(F.col("cell"))
     return ranked.groupBy(*keys).agg(
         F.min(F.when(F.col("upto") * 4 >= F.col("size"), value)).alias("q1"),
         F.min(F.when(F.col("upto") * 4 >= F.col("size") * 3, value)).alias("q3"),
-        F.max("size").alias("size"),
     )
 
 
 def fences(cells: DataFrame) -> DataFrame:
     """Lowest and highest accepted value per (lang, source), as columns low_* and high_*."""
-    own = _quartiles(cells, ["lang", "source", "measure"])
-    merged = cells.groupBy("lang", "measure", "cell").agg(F.sum("n").alias("n"))
-    language = _quartiles(merged, ["lang", "measure"]).select(
-        F.col("lang").alias("of_lang"), F.col("measure").alias("of_measure"), F.col("q1").alias("l1"), F.col("q3").alias("l3")
-    )
-    joined = own.join(language, own.lang.eqNullSafe(F.col("of_lang")) & (own.measure == F.col("of_measure")))
-    small = F.col("size") < MIN_GROUP
-    first, third = F.when(small, F.col("l1")).otherwise(F.col("q1")), F.when(small, F.col("l3")).otherwise(F.col("q3"))
+    quartiles = _quartiles(_blended(cells), ["lang", "source", "measure"])
+    first, third = F.col("q1"), F.col("q3")
     slack = F.element_at(F.create_map(*[F.lit(x) for item in SLACK.items() for x in item]), F.col("measure"))
     spread = (third - first) * FENCE_RANGES + slack
-    limits = joined.select("lang", "source", "measure", (first - spread).alias("low"), (third + spread).alias("high"))
+    limits = quartiles.select("lang", "source", "measure", (first - spread).alias("low"), (third + spread).alias("high"))
     picks = [F.max(F.when(F.col("measure") == n, F.col("high"))).alias(f"high_{n}") for n in SLACK]
     picks += [F.min(F.when(F.col("measure") == n, F.col("low"))).alias(f"low_{n}") for n in TWO_SIDED]
     return limits.groupBy("lang", "source").agg(*picks)
