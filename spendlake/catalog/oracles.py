@@ -457,6 +457,13 @@ report as (
 
 _REPORT_VIEWS = (*SPEND_TABLES, "send_email_agg_group")
 ORACLES["category_share"] = statement(SPEND_TABLES, "select * from shares", INDEX, _shares(MONTH_START, MONTH_END))
+ORACLES["highest_spends"] = statement(
+    SPEND_TABLES,
+    "select * from (select agg_group_seq, spent_idx, spent_money, cast(row_number() over "
+    "(partition by agg_group_seq order by spent_money desc, spent_idx) as int) as row_no from idx "
+    "where spent_at between timestamp '1996-01-01 00:00:00' and timestamp '1996-12-31 23:59:59') r where row_no <= 25",
+    INDEX,
+)
 ORACLES["report_detail"] = statement(SPEND_TABLES, "select * from detail", INDEX, _detail(MONTH_START, MONTH_END))
 ORACLES["monthly_report"] = statement(
     _REPORT_VIEWS, "select * from report", INDEX, RECIPIENTS, _report(fixed.MONTHLY_TITLE, MONTH_START, MONTH_BEFORE)
@@ -587,6 +594,22 @@ ORACLES["backfill_catch_up"] = statement(
     ),
 )
 ORACLES["rebuild_index"] = ORACLES["backfill_catch_up"]
+ORACLES["cdc_store_apply"] = ORACLES["cdc_apply"]
+_POSITION = (
+    "(select o.committed_offset from group_offset o where o.group_name = '{group}' and o.partition_id = cdc_event.partition_id)"
+)
+_BETWEEN = (
+    f"partition_offset >= coalesce({_POSITION.format(group='catchup')}, 0) and partition_offset < {_POSITION.format(group='ref')}"
+)
+ORACLES["replay_between_offsets"] = statement(("cdc_event", "group_offset"), f"{_EVENTS} where {_BETWEEN}")
+ORACLES["bounded_catch_up"] = statement(
+    _FEED_VIEWS, _APPLIED, INDEX, LATEST.replace("from cdc_event)", f"from cdc_event where {_BETWEEN})")
+)
+ORACLES["offsets_after_catch_up"] = statement(
+    ("group_offset",),
+    "select * from group_offset where group_name = 'ref' union all "
+    "select 'catchup', partition_id, max(committed_offset) from group_offset group by partition_id",
+)
 ORACLES["cdc_bad_messages"] = statement(
     ("cdc_event",),
     'select partition_id as "partition", partition_offset as "offset" from cdc_event where partition_offset % 10 = 0',

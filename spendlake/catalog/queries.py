@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 from spendlake import fixed
 from spendlake.catalog import landed
 from spendlake.functions import text
-from spendlake.functions.dates import moment, monthly_periods, weekly_periods
-from spendlake.operators import amounts, cdc, classify, denormalise, merge, search
+from spendlake.functions.dates import Period, moment, monthly_periods, weekly_periods
+from spendlake.operators import amounts, cdc, classify, denormalise, merge, offsets, search
 from spendlake.operators.publish import VersionedTable
+from spendlake.operators.store import IndexStore
 from spendlake.plans import calendar, prices, reports, snapshot, spend
 from spendlake.schemas import schema_from_mapping
 from spendlake.session import run_dir, stored
@@ -72,6 +73,10 @@ def _keyed(d: Domain) -> DataFrame:
     return d.spent_detail.select("spent_idx", "spent_name", "spent_money", "consume_keyword_type_id")
 
 
+def _store(d: Domain, label: str) -> IndexStore:
+    return IndexStore(d.spark, run_dir(d.spark, label), "spent_idx", sort_by=["spent_at"])
+
+
 def _years(d: Domain) -> DataFrame:
     year = F.year("o_orderdate")
     return d.orders.agg(F.min(year).alias("start_year"), F.max(year).alias("end_year"))
@@ -437,6 +442,15 @@ def report_detail(d: Domain) -> DataFrame:
     return reports.report_detail(spends, periods.current, fixed.DETAIL_ROWS_PER_REPORT)
 
 
+@query
+def highest_spends(d: Domain) -> DataFrame:
+    """The 25 highest spends of each group in a year."""
+    rows = stored(_index(d), "index")
+    year = Period(moment("1996-01-01"), moment("1996-12-31 23:59:59"))
+    found = reports.group_range_rows(rows, year, 25, order_by="spent_money", ascending=False)
+    return found.select("agg_group_seq", "spent_idx", "spent_money", "row_no")
+
+
 @query
 def report_body(d: Domain) -> DataFrame:
     periods = weekly_periods(AS_OF)
@@ -494,8 +508,51 @@ def backfill_catch_up(d: Domain) -> DataFrame:
 @query
 def rebuild_index(d: Domain) -> DataFrame:
     events = feed.decode_events(feed.event_messages(d.cdc_event))
-    target = VersionedTable(d.spark, run_dir(d.spark, "rebuild"), "spent_detail")
-    return spend.rebuild_index(d, events, d.group_offset, "catchup", "ref", target, NOW)
+    return spend.rebuild_index(d, events, d.group_offset, "catchup", "ref", _store(d, "rebuild"), NOW)
+
+
+@query
+def cdc_store_apply(d: Domain) -> DataFrame:
+    """The feed in three batches, each folded into the files that hold its keys."""
+    folder = run_dir(d.spark, "cdc_store")
+    store = _store(d, "index-store")
+    store.publish(_index(d), EARLIER)
+    stream.land_messages(feed.event_messages(d.cdc_event), f"{folder}/landed", files=6)
+    messages = feed.read_feed_files(d.spark, f"{folder}/landed", files_per_batch=2)
+    running = stream.start_feed(messages, lambda: d, f"{folder}/changes", f"{folder}/checkpoint", now=lambda: NOW)
+    running.awaitTermination()
+    changes = stream.read_change_log(d.spark, f"{folder}/changes")
+    for batch in range(stream.last_batch(changes) + 1):
+        stream.compact(store, changes.filter(F.col("batch_id") <= batch), NOW, by_event_time=True)
+    return stream.read_current(store, changes, by_event_time=True)
+
+
+@query
+def replay_between_offsets(d: Domain) -> DataFrame:
+    """Exactly the events between the positions of two groups."""
+    start, end = (offsets.positions_of(d.group_offset, group) for group in ("catchup", "ref"))
+    return feed.decode_events(feed.event_messages(d.cdc_event).filter(offsets.in_range(start, end)))
+
+
+@query
+def bounded_catch_up(d: Domain) -> DataFrame:
+    """The index brought from one group's positions to another's in three bounded reads."""
+    start, end = (offsets.positions_of(d.group_offset, group) for group in ("catchup", "ref"))
+    store = _store(d, "bounded")
+    store.publish(_index(d), EARLIER, positions=start)
+    messages = feed.event_messages(d.cdc_event)
+    lag = sum(max(0, stop - start.get(partition, 0)) for partition, stop in end.items())
+    spend.catch_up(store, lambda a, b: messages.filter(offsets.in_range(a, b)), d, end, lag // 3 + 1, NOW)
+    return store.read()
+
+
+@query
+def offsets_after_catch_up(d: Domain) -> DataFrame:
+    """The offsets table with the positions that a bounded read of 1,000 messages commits."""
+    start, end = (offsets.positions_of(d.group_offset, group) for group in ("catchup", "ref"))
+    while (step := offsets.next_positions(start, end, 1000)) != start:
+        start = step
+    return offsets.with_positions(d.group_offset, "catchup", start)
 
 
 @query

@@ -6,10 +6,14 @@ candidates come from two places, and together they always hold its true best hit
 
 * *Rare tokens* (in at most ``posting_limit`` keywords): all keywords with the token.
 * *Common tokens*: the names' distinct profiles, a profile being a name's common tokens
-  with their repeats. A profile meets the keywords of its tokens once, however many names
-  have it, and keeps the best ``hits`` of those that share the very same tokens with it.
-  A keyword outside is beaten by ``hits`` others on the shared common tokens, and those score
-  at least as much on the full name, so it cannot be among the best hits.
+  with their repeats, each with its best ``hits`` keywords on those tokens. A keyword outside is beaten by
+  ``hits`` others, and these score at least as much on the full name, so it cannot be among the best hits.
+
+A profile's best are found without a look at all keywords of its tokens. Keywords with the same common
+tokens and weights form a class, of which the ``hits`` least ids suffice. The first classes of
+each token give every profile a score that ``hits`` keywords reach. Tokens that cannot bring a keyword there
+together, the most common ones, are not searched; of the others only blocks, the classes of one weight,
+that can, given the most that the profile's other tokens add.
 
 Scores are fixed-point integers (``SCALE`` per unit), so sums do not depend on
 the order of their terms and equal scores are exactly equal.
@@ -20,7 +24,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -128,20 +132,75 @@ def _candidates(wanted: DataFrame, postings: DataFrame, options: SearchOptions)
     profiled = known.groupBy("spent_name").agg(F.array_sort(F.collect_list(item)).alias("profile"))
     profiled = stored(profiled, "profiles")
     sizes = profiled.groupBy("profile").agg(F.count(F.lit(1)).alias("rows"))
-    best = _best_per_profile(sizes.select("profile"), postings, common, options)
+    best = best_per_profile(sizes.select("profile"), postings.filter(F.col("df") > options.posting_limit), options.hits)
     from_common = spread_join(profiled, best, "profile", sizes, "rows", F.col("spent_name"))
     pair = ["spent_name", "keyword_id"]
     return _rare_matches(wanted, postings, options).select(pair).union(from_common.select(pair)).distinct()
 
 
-def _best_per_profile(profiles: DataFrame, postings: DataFrame, common: DataFrame, options: SearchOptions) -> DataFrame:
-    """For each profile and each set of tokens that keywords share with it the best of these keywords."""
+def _classes(postings: DataFrame, hits: int) -> DataFrame:
+    """(class, weights, ids): keywords with the same tokens and weights, by their least ``hits`` ids; ``class`` is the least."""
+    item = F.struct("token", "weight")
+    keywords = postings.groupBy("keyword_id").agg(F.array_sort(F.collect_list(item)).alias("weights"))
+    place = F.row_number().over(W.partitionBy("weights").orderBy("keyword_id"))
+    least = keywords.withColumn("place", place).filter(F.col("place") <= hits)
+    ids = F.array_sort(F.collect_list("keyword_id"))
+    return least.groupBy("weights").agg(F.min("keyword_id").alias("class"), ids.alias("ids"))
+
+
+def _class_score(profile: str, weights: str) -> Column:
+    """What a class has in common with a profile."""
+
+    def own(item: Column) -> Column:
+        met = F.filter(F.col(weights), lambda held: held["token"] == item["token"])
+        return F.coalesce(item["times"] * F.get(met, F.lit(0))["weight"], F.lit(0))
+
+    return F.aggregate(F.col(profile), F.lit(0).cast("bigint"), lambda total, item: total + own(item))
+
+
+def _scored_classes(met: DataFrame, classes: DataFrame) -> DataFrame:
+    """(profile, class, ids, score) of distinct pairs (profile, class)."""
+    joined = met.select("profile", "class").distinct().join(classes, "class")
+    return joined.select("profile", "class", "ids", _class_score("profile", "weights").alias("score"))
+
+
+def _reached(asked: DataFrame, held: DataFrame, classes: DataFrame, hits: int) -> DataFrame:
+    """(profile, reached): a score that ``hits`` keywords reach at least, 0 where so many were not seen."""
+    place = F.row_number().over(W.partitionBy("token").orderBy(F.desc("weight"), "class"))
+    champions = held.withColumn("place", place).filter(F.col("place") <= hits).select("token", "class")
+    champions = stored(champions, "champions")  # so that both sides are shuffled, and a hot token can be split
+    scored = _scored_classes(asked.select("profile", "token").join(champions, "token"), classes)
+    upto = F.sum(F.size("ids")).over(W.partitionBy("profile").orderBy(F.desc("score"), "class"))
+    enough = scored.withColumn("upto", upto).groupBy("profile")
+    return enough.agg(F.coalesce(F.max(F.when(F.col("upto") >= hits, F.col("score"))), F.lit(0)).alias("reached"))
+
+
+def _searched(asked: DataFrame, held: DataFrame, reached: DataFrame) -> DataFrame:
+    """(profile, token, weight): the blocks in which a profile's best classes can be."""
+    blocks = held.select("token", "weight").distinct()
+    most = blocks.groupBy("token").agg(F.max("weight").alias("most"), F.collect_list("weight").alias("blocks"))
+    able = asked.join(stored(most, "most-of-token"), "token").withColumn("able", F.col("times") * F.col("most"))
+    # Tokens by what they can bring: the first ones, together too weak, are not searched.
+    order = W.partitionBy("profile").orderBy("able", "token")
+    total = F.sum("able").over(W.partitionBy("profile"))
+    ranked = able.withColumns({"together": F.sum("able").over(order), "total": total}).join(reached, "profile")
+    essential = ranked.filter(F.col("together") >= F.col("reached"))
+    rest = F.col("total") - F.col("able")
+    listed = essential.select("profile", "token", "times", "reached", rest.alias("rest"), F.explode("blocks").alias("weight"))
+    return listed.filter(F.col("times") * F.col("weight") + F.col("rest") >= F.col("reached")).select("profile", "token", "weight")
+
+
+def best_per_profile(profiles: DataFrame, postings: DataFrame, hits: int) -> DataFrame:
+    """(profile, keyword_id): for each of the distinct profiles its best ``hits`` keywords of ``postings``."""
+    classes = stored(_classes(postings, hits), "classes")
+    held = classes.select("class", F.explode("weights").alias("item")).select("class", "item.*")
     asked = profiles.select("profile", F.explode("profile").alias("item")).select("profile", "item.*")
-    held = postings.filter(F.col("df") > options.posting_limit).select("token", "keyword_id", "weight")
-    met = spread_join(held, asked, "token", common, "df", F.col("keyword_id"))
-    scored = met.groupBy("profile", "keyword_id").agg(
-        F.array_sort(F.collect_list("token")).alias("shared"), F.sum(F.col("times") * F.col("weight")).alias("score")
-    )
-    order = W.partitionBy("profile", "shared").orderBy(F.desc("score"), "keyword_id")
-    ranked = scored.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= options.hits)
+    asked = stored(asked, "asked")
+    searched = _searched(asked, held, _reached(asked, held, classes, hits))
+    scored = _scored_classes(searched.join(held, ["token", "weight"]), classes)
+    first = W.partitionBy("profile").orderBy(F.desc("score"), "class")
+    near = scored.withColumn("place", F.row_number().over(first)).filter(F.col("place") <= hits)
+    keywords = near.select("profile", "score", F.explode("ids").alias("keyword_id"))
+    order = W.partitionBy("profile").orderBy(F.desc("score"), "keyword_id")
+    ranked = keywords.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= hits)
     return ranked.select("profile", "keyword_id")

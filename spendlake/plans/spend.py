@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import DataFrame
@@ -12,9 +14,13 @@ from spendlake.functions.dates import moment
 from spendlake.operators import cdc
 from spendlake.operators.classify import classify_names, reclassify
 from spendlake.operators.denormalise import full_index, keywords_with_type
+from spendlake.operators.offsets import next_positions, positions_of
 from spendlake.operators.publish import VersionedTable
 from spendlake.operators.search import SearchOptions
+from spendlake.operators.store import Commit, CommitConflict, IndexStore
 from spendlake.session import stored
+from spendlake.sources.feed import decode_events
+from spendlake.streaming.feed import last_batch
 
 
 def publish_full_index(
@@ -61,15 +67,43 @@ def rebuild_index(
     offsets: DataFrame,
     own_group: str,
     incremental_group: str,
-    target: VersionedTable,
+    store: IndexStore,
     now: datetime,
+    change_log: DataFrame | None = None,
 ) -> DataFrame:
-    """A fresh index from the tables and the events since the incremental group's position, published in one step.
+    """A fresh index from the tables and the events since the incremental group's position, committed in one step.
 
-    The position is taken before the load, so no event is missed; those already in the
-    load are applied again, which changes nothing. Stop the feed before the call; after
-    it start the feed on a new change log, or on the old one if the call failed.
+    Position and last batch of the ``change_log`` are taken before the load, so no event is missed; those
+    already in the load are applied again, which changes nothing. The feed goes on meanwhile: its batches are later than
+    the one that the commit notes, so ``read_current`` lays them over the new index.
     """
+    folded = last_batch(change_log) if change_log is not None else -1
     marked = cdc.copy_offsets(offsets, incremental_group, own_group)
     rebuilt = backfill_and_catch_up(tables, events, marked, own_group, now)
-    return publish_full_index(rebuilt, target, now)
+    store.publish(rebuilt, now, last_batch=folded, positions=positions_of(marked, own_group))
+    return store.read()
+
+
+def catch_up(
+    store: IndexStore,
+    read: Callable[[dict[int, int], dict[int, int]], DataFrame],
+    tables,
+    end: dict[int, int],
+    limit: int,
+    now: datetime,
+    strict: bool = False,
+) -> Commit:
+    """Brings the store's table from the positions in its commit to ``end``, at most ``limit`` messages at a time.
+
+    ``read(start, end)`` gives the messages of that range. Each step's changes and new positions are one commit, so a
+    step that failed is read again from the same place, and none is applied twice.
+    """
+    while True:
+        base = store.latest()
+        start = {int(partition): place for partition, place in base.positions.items()}
+        step = next_positions(start, end, limit)
+        if step == start:
+            return base
+        changes = cdc.change_set(decode_events(read(start, step)), tables, moment(now), strict)
+        with contextlib.suppress(CommitConflict):  # then from where the other writer is
+            store.apply(changes, now, positions=step, base=base)

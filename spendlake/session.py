@@ -68,8 +68,12 @@ def stored_tables(spark: SparkSession) -> Iterator[None]:
     finally:
         dropped, _STORED[first:] = _STORED[first:], []
         for folder in dropped:
-            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+            _delete(spark, folder)
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stored(frame: DataFrame, label: str) -> DataFrame:
@@ -77,9 +81,16 @@ def stored(frame: DataFrame, label: str) -> DataFrame:
 
     For results that several later steps read: they are computed once, survive lost
     executors, and later joins know their true size. They stay until the ``stored_tables`` block
-    around the job ends, or for good without one.
+    around the job ends or ``drop_stored`` drops them, or for good without either.
     """
     path = run_dir(frame.sparkSession, label)
     _STORED.append(path)
     frame.write.parquet(path)
-    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+    kept = frame.sparkSession.read.schema(frame.schema).parquet(path)
+    kept.stored_at = path
+    return kept
+
+
+def drop_stored(frame: DataFrame) -> None:
+    """Drops what ``stored`` wrote for ``frame``. Call it once all that is made from it is stored itself."""
+    _delete(frame.sparkSession, frame.stored_at)

@@ -29,10 +29,12 @@ def read_topic_stream(
     )
 
 
-def read_topic_range(spark: SparkSession, brokers: str, topic: str, starting_offsets: str) -> DataFrame:
-    """A batch read from recorded offsets (Kafka's JSON form) to the end of the topic."""
+def read_topic_range(
+    spark: SparkSession, brokers: str, topic: str, starting_offsets: str, ending_offsets: str = "latest"
+) -> DataFrame:
+    """A batch read between recorded offsets (``operators.offsets.kafka_offsets``), by default to the end of the topic."""
     reader = spark.read.format("kafka").options(**kafka_options(brokers, topic))
-    rows = reader.option("startingOffsets", starting_offsets).option("endingOffsets", "latest").load()
+    rows = reader.option("startingOffsets", starting_offsets).option("endingOffsets", ending_offsets).load()
     return rows.select(
         F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"), "partition", "offset"
     )

@@ -2,9 +2,9 @@
 
 A batch writes only what it changes, to a folder named by its batch id, and a batch
 that runs again after a failure overwrites its own folder, so nothing is applied
-twice. ``read_index`` lays the logged changes over the last published index;
-``compact`` publishes the result as a new version and starts a new log. The cost of
-a batch so follows the size of the batch, not of the index.
+twice. ``read_index`` lays the logged changes over an index; ``compact`` folds them into an ``IndexStore``,
+whose commit notes the last batch in it, and ``read_current`` lays later batches over that. The
+cost of a batch so follows the size of the batch, and that of folding the files that hold its keys.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from spendlake.functions.dates import moment
 from spendlake.operators import cdc
-from spendlake.operators.publish import VersionedTable
+from spendlake.operators.store import Commit, CommitConflict, IndexStore, SharedFolder
 from spendlake.schemas import TABLES
 from spendlake.sources.feed import decode_events
 
@@ -66,25 +66,45 @@ def read_index(index: DataFrame, change_log: DataFrame, by_event_time: bool = Fa
     return cdc.merge_change_set(index, cdc.newest_change_per_key(change_log, by_event_time))
 
 
-def compact(
-    target: VersionedTable, change_log: DataFrame, now: datetime, keep: int = 0, by_event_time: bool = False
-) -> str:
-    """Publish index plus changes as the next version, and note the last batch that is in it.
+def last_batch(change_log: DataFrame) -> int:
+    """Number of the newest batch in the log, -1 without one."""
+    return change_log.agg(F.coalesce(F.max("batch_id"), F.lit(-1))).first()[0]
 
-    The feed may go on meanwhile, on the same log: ``read_current`` lays only later batches over
-    the new version.
-    """
-    last = change_log.agg(F.max("batch_id")).first()[0]
-    folded = int(target.note() or -1)
-    last = folded if last is None else max(folded, last)
-    merged = read_current(target, change_log.filter(F.col("batch_id") <= last), by_event_time)
-    return target.publish(merged, now, keep=keep, sort_by=["spent_at"], note=str(last))
 
+def compact(store: IndexStore, change_log: DataFrame, now: datetime, by_event_time: bool = False) -> Commit:
+    """Folds the batches after the last folded one into the table: one commit, of only the files they touch.
 
-def read_current(target: VersionedTable, change_log: DataFrame, by_event_time: bool = False) -> DataFrame:
-    """The published index with the batches that came after those folded into it."""
-    later = change_log.filter(F.col("batch_id") > int(target.note() or -1))
-    return read_index(target.read(), later, by_event_time)
+    The feed may go on meanwhile, on the same log, and so may a rebuild: where another commit comes first,
+    the batches after that one's last are folded instead.
+    """
+    while True:
+        base = store.latest()
+        later = change_log.filter(F.col("batch_id") > base.last_batch)
+        last = last_batch(later)
+        if last < 0:
+            return base
+        changes = cdc.newest_change_per_key(later.filter(F.col("batch_id") <= last), by_event_time)
+        try:
+            return store.apply(changes, now, last_batch=last, base=base, by_event_time=by_event_time)
+        except CommitConflict:
+            continue
+
+
+def read_current(store: IndexStore, change_log: DataFrame, by_event_time: bool = False) -> DataFrame:
+    """The committed table with the batches that came after those folded into it."""
+    commit = store.latest()
+    return read_index(store.read(commit), change_log.filter(F.col("batch_id") > commit.last_batch), by_event_time)
+
+
+def trim_change_log(store: IndexStore, spark: SparkSession, change_log: str) -> list[str]:
+    """Drops the batches that are in every commit the store still keeps; returns their folders."""
+    kept = min(store.commit(version).last_batch for version in store.versions())
+    folder = SharedFolder(spark, change_log)
+    batches = [name for name in folder.names() if name.startswith("batch_id=")]
+    dropped = [name for name in batches if int(name.removeprefix("batch_id=")) <= kept]
+    for name in dropped:
+        folder.delete(name)
+    return dropped
 
 
 def land_messages(messages: DataFrame, path: str, files: int | None = None) -> None:

@@ -9,7 +9,7 @@ from conftest import rows
 from spendlake.functions.dates import moment
 from spendlake.operators import cdc
 from spendlake.operators.denormalise import full_index
-from spendlake.operators.publish import VersionedTable
+from spendlake.operators.store import IndexStore
 from spendlake.plans import spend
 from spendlake.sources import feed
 from spendlake.streaming import feed as stream
@@ -126,15 +126,14 @@ def test_a_stale_delete_in_a_later_batch_still_deletes(spark, tmp_path):
     assert keys(stream.read_index(full_index(tables), changes, by_event_time=True)) == [1, 2]
 
 
-def test_compaction_publishes_the_merged_index(spark, tmp_path):
+def test_compaction_commits_the_merged_index(spark, tmp_path):
     tables = spend_tables(spark, [(1, 1, True), (2, 1, True)])
-    target = VersionedTable(spark, str(tmp_path / "index"), "spent_detail")
-    target.publish(full_index(tables), datetime(2024, 1, 1))
+    store = IndexStore(spark, str(tmp_path / "index"), "spent_idx", ["spent_at"])
+    store.publish(full_index(tables), datetime(2024, 1, 1))
     log = str(tmp_path / "log")
     cdc.change_set(events(spark, (1, "D", 1)), tables, moment(NOW)).write.parquet(f"{log}/batch_id=0")
-    stream.compact(target, stream.read_change_log(spark, log), NOW)
-    assert target.versions() == ["spent_detail_20240201000000"]
-    assert keys(target.read()) == [2]
+    assert stream.compact(store, stream.read_change_log(spark, log), NOW).last_batch == 0
+    assert keys(store.read()) == [2]
 
 
 def test_decode_fails_on_a_bad_record_and_quarantine_keeps_it(spark):
@@ -164,15 +163,18 @@ def test_a_log_without_batches_is_empty(spark, tmp_path):
 
 def test_batches_that_land_during_compaction_stay(spark, tmp_path):
     tables = spend_tables(spark, [(1, 1, True), (2, 1, True), (3, 1, True)])
-    target = VersionedTable(spark, str(tmp_path / "index"), "spent_detail")
-    target.publish(full_index(tables), datetime(2024, 1, 1))
+    store = IndexStore(spark, str(tmp_path / "index"), "spent_idx", ["spent_at"])
+    store.publish(full_index(tables), datetime(2024, 1, 1))
     log = str(tmp_path / "log")
     cdc.change_set(events(spark, (1, "D", 1)), tables, moment(NOW)).write.parquet(f"{log}/batch_id=0")
     before = stream.read_change_log(spark, log)
     cdc.change_set(events(spark, (2, "D", 2)), tables, moment(NOW)).write.parquet(f"{log}/batch_id=1")
-    stream.compact(target, before, NOW)
-    assert target.note() == "0"
-    assert keys(stream.read_current(target, stream.read_change_log(spark, log))) == [3]
+    assert stream.compact(store, before, NOW).last_batch == 0
+    assert keys(stream.read_current(store, stream.read_change_log(spark, log))) == [3]
+    # A batch that two commits hold goes; one that only the log holds stays.
+    stream.compact(store, stream.read_change_log(spark, log), NOW)
+    assert stream.trim_change_log(store, spark, log) == ["batch_id=0"]
+    assert keys(stream.read_current(store, stream.read_change_log(spark, log))) == [3]
 
 
 def test_events_are_decoded_before_catch_up(spark):
@@ -203,10 +205,39 @@ def test_a_rebuild_replays_what_came_after_the_incremental_position(spark, tmp_p
     tables = spend_tables(spark, [(1, 1, True), (2, 1, True), (3, 1, True)])
     frame = events(spark, (1, "D", 1), (2, "D", 2), (3, "U", 3))
     offsets = spark.createDataFrame([("incremental", 0, 1), ("own", 0, 0)], OFFSETS)
-    target = VersionedTable(spark, str(tmp_path), "spent_detail")
-    rebuilt = spend.rebuild_index(tables, frame, offsets, "own", "incremental", target, NOW)
+    store = IndexStore(spark, str(tmp_path), "spent_idx", ["spent_at"])
+    rebuilt = spend.rebuild_index(tables, frame, offsets, "own", "incremental", store, NOW)
     # The delete of 1 was consumed before; the full load has the row as the tables have it.
     assert rows(rebuilt, "spent_idx", "updated_by") == [(1, None), (3, "batch")]
+    assert store.latest().positions == {"0": 1}
+
+
+def test_a_batch_that_lands_during_a_rebuild_is_not_lost(spark, tmp_path):
+    tables = spend_tables(spark, [(1, 1, True), (2, 1, True), (3, 1, True)])
+    store = IndexStore(spark, str(tmp_path / "index"), "spent_idx", ["spent_at"])
+    store.publish(full_index(tables), datetime(2024, 1, 1))
+    log = str(tmp_path / "log")
+
+    def land(batch, *changes):
+        made = cdc.change_set(events(spark, *changes), tables, moment(NOW))
+        made.write.parquet(f"{log}/batch_id={batch}")
+
+    land(0, (1, "D", 1))
+    publish = store.publish
+
+    def late(*given, **named):  # a batch lands, and the feed's log is folded, just before the rebuild commits
+        land(1, (2, "D", 2))
+        stream.compact(store, stream.read_change_log(spark, log), NOW)
+        return publish(*given, **named)
+
+    store.publish = late
+    offsets = spark.createDataFrame([("incremental", 0, 1), ("own", 0, 0)], OFFSETS)
+    before = stream.read_change_log(spark, log)
+    spend.rebuild_index(tables, events(spark, (1, "D", 1)), offsets, "own", "incremental", store, NOW, before)
+    assert store.latest().last_batch == 0
+    # The old change set 0 is not laid over the rebuilt rows; the later one is.
+    assert keys(store.read()) == [1, 2, 3]
+    assert keys(stream.read_current(store, stream.read_change_log(spark, log))) == [1, 3]
 
 
 def test_partitions_without_a_position_are_read_from_the_start(spark):

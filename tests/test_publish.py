@@ -91,3 +91,18 @@ def test_mapping_without_mappings_is_an_error():
 def test_nested_mapping_fields():
     schema = schema_from_mapping({"mappings": {"properties": {"a": {"properties": {"b": {"type": "keyword"}}}}}})
     assert schema.simpleString() == "struct<a:struct<b:string>>"
+
+
+def test_a_killed_publish_leaves_nothing_after_the_next(spark, target, tmp_path, monkeypatch):
+    target.publish(spark.range(3), FIRST)
+    with monkeypatch.context() as killed:  # neither the marker nor the clean-up is reached
+        killed.setattr(target, "_create", lambda marker: (_ for _ in ()).throw(KeyboardInterrupt()) if "published" in marker else VersionedTable._create(target, marker))
+        killed.setattr(target._fs, "delete", lambda *_: None, raising=False)
+        with pytest.raises(KeyboardInterrupt):
+            target.publish(spark.range(5), SECOND)
+    assert (tmp_path / "spent_type_20240102000000").exists() and (tmp_path / "_started/spent_type_20240102000000").exists()
+    target.publish(spark.range(4), datetime(2024, 1, 2, 12))  # perhaps it still goes on
+    assert (tmp_path / "spent_type_20240102000000").exists()
+    target.publish(spark.range(4), THIRD)
+    assert not (tmp_path / "spent_type_20240102000000").exists() and not list((tmp_path / "_started").glob("sp*"))
+    assert target.versions() == ["spent_type_20240103000000"] and target.read().count() == 4

@@ -83,6 +83,30 @@ def test_candidates_do_not_pair_all_names_with_all_keywords(spark, shared):
     assert search._candidates(wanted, postings, options).count() == 100 * 3
 
 
+def test_profiles_that_differ_do_not_meet_all_keywords(spark):
+    options = SearchOptions(posting_limit=50)
+    texts = [f"pay s{a} s{b}" for a in range(20) for b in range(a)]
+    name_frame = names(spark, *texts)
+    keyword_frame = spark.range(2000).select(
+        F.col("id").alias("consume_keyword_id"),
+        F.concat(F.lit("pay s"), F.col("id") % 20, F.lit(" u"), F.col("id")).alias("consume_keyword"),
+    )
+    wanted, postings = search.name_tokens(name_frame, options), search.keyword_postings(keyword_frame, options)
+    common = postings.filter(F.col("df") > options.posting_limit)
+    item = F.struct("token", "times")
+    profiles = wanted.groupBy("spent_name").agg(F.array_sort(F.collect_list(item)).alias("profile")).select("profile")
+    classes = search._classes(common, options.hits)
+    held = classes.select("class", F.explode("weights").alias("item")).select("class", "item.*")
+    asked = profiles.select("profile", F.explode("profile").alias("item")).select("profile", "item.*")
+    reached = search._reached(asked, held, classes, options.hits)
+    met = search._searched(asked, held, reached).join(held, ["token", "weight"])
+    # Of 2,000 keywords that share a token with every name each name meets two classes.
+    assert classes.count() == 20 and met.count() == 2 * len(texts)
+    found = keyword_match(name_frame, keyword_frame, options)
+    keyword_list = [(i, f"pay s{i % 20} u{i}", 1) for i in range(2000)]
+    assert set(rows(found, "spent_name", "keyword_id", "score", "hit_rank")) == brute_force(texts, keyword_list, 10)
+
+
 def verdict(spark, name, *items):
     frame = classify_names(names(spark, name), keywords(spark, *items))
     return rows(frame, "consume_keyword_type_id", "consume_keyword_type", "consume_keyword", "keyword_weight")
