@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 from spendlake.llm.batches import short_batches
 from spendlake.llm.components import component_roots, near_labels
 from spendlake.llm.texthash import Texts, mix, pieces, text_of, windows
-from spendlake.session import stored
+from spendlake.session import drop_stored, stored
 
 SHINGLE_WORDS = 4
 
@@ -38,10 +38,12 @@ PERCENT = 85
 
 # Share of the tokens that are counted, by the binary digits of the set's size; the last one holds from there on.
 # A prefix is a sixth of a set, and where more is counted, passages that many sets share move out of it.
-COUNTED = {7: 1.0, 8: 0.5, 9: 0.33, 10: 0.2}
+COUNTED = {7: 1.0, 8: 0.4, 9: 0.28, 10: 0.19}
 
+# Tokens in whole sets. In the index they are shorter: chance meetings there only add candidates.
 _TOKEN_BITS = 63
-# The last digits of a token make room for its class.
+_INDEX_BITS = 56
+# The last digits of a token in the index are its class.
 _CLASS_BITS = 5
 
 _KEYS = ["key_high", "key_low"]
@@ -112,9 +114,9 @@ SKETCH = T.StructType(
 )
 
 
-def _listed(values: np.ndarray, owners: np.ndarray, count: int) -> pa.Array:
+def _listed(values: np.ndarray, owners: np.ndarray, count: int, kind: type = np.int64) -> pa.Array:
     offsets = np.concatenate([[0], np.cumsum(np.bincount(owners, minlength=count))]).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.view(np.int64)))
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.astype(kind)))
 
 
 def sketch(array: pa.Array) -> pa.StructArray:
@@ -140,7 +142,8 @@ def _sketch(array: pa.Array) -> pa.StructArray:
     for digits, member in ((own, sizes > 0), (least, least < own)):
         inside = member[owners] & (values <= _LIMITS[digits][owners])
         chosen = inside | (member[owners] & (place < probe_length(sizes)[owners]))
-        marked = (values >> np.uint64(_CLASS_BITS) << np.uint64(_CLASS_BITS)) | digits.astype(np.uint64)[owners] % np.uint64(32)
+        marked = values >> np.uint64(_TOKEN_BITS - _INDEX_BITS + _CLASS_BITS) << np.uint64(_CLASS_BITS)
+        marked = marked | (digits.astype(np.uint64)[owners] % np.uint64(1 << _CLASS_BITS))
         counted.append(pa.array(np.bincount(owners[inside], minlength=len(array)).astype(np.int32)))
         tokens.append(_listed(marked[chosen], owners[chosen], len(array)))
     columns = [pa.array(high), pa.array(low), pa.array(sizes), *counted, *tokens]
@@ -151,7 +154,8 @@ WHOLE = T.StructType(
     [
         T.StructField("key_high", T.LongType()),
         T.StructField("key_low", T.LongType()),
-        *[T.StructField(name, T.ArrayType(T.LongType())) for name in ("tokens", "backward", "scattered")],
+        T.StructField("tokens", T.ArrayType(T.LongType())),
+        *[T.StructField(name, T.ArrayType(T.IntegerType())) for name in ("backward", "scattered")],
     ]
 )
 
@@ -167,9 +171,11 @@ def whole_sets(array: pa.Array) -> pa.StructArray:
         backward = sizes[owners] - 1 - from_first < probe_length(sizes)[owners]
         order = np.lexsort((mix(values), owners))
         scattered = order[from_first < probe_length(sizes)[owners]]
-        lists = [_listed(values[at], owners[at], count) for at in (np.arange(len(values)), np.flatnonzero(backward), scattered)]
+        lists = [_listed(values, owners, count)]
+        for at in (np.flatnonzero(backward), scattered):  # shorter tokens suffice to meet
+            lists.append(_listed((values[at] >> np.uint64(_TOKEN_BITS - 32)).astype(np.uint32), owners[at], count, np.int32))
         parts.append(pa.StructArray.from_arrays([pa.array(high), pa.array(low), *lists], names=WHOLE.fieldNames()))
-    kinds = [pa.int64()] * 2 + [pa.list_(pa.int64())] * 3
+    kinds = [pa.int64()] * 2 + [pa.list_(pa.int64())] + [pa.list_(pa.int32())] * 2
     return pa.concat_arrays(parts) if parts else pa.array([], pa.struct(list(zip(WHOLE.fieldNames(), kinds, strict=True))))
 
 
@@ -177,13 +183,13 @@ def _index(nodes: DataFrame) -> DataFrame:
     """(token, node, n, place) of every prefix token that two nodes at least have in theirs; place counts from 0."""
     classes = [F.struct(F.col(f"{c}_counted").alias("counted"), F.col(f"{c}_tokens").alias("tokens")) for c in ("own", "lower")]
     placed = nodes.select("node", "n", F.explode(F.array(*classes)).alias("of")).select("node", "n", "of.*").filter("size(tokens) > 0")
-    inside = placed.select("node", "n", "counted", F.explode(F.slice("tokens", 1, F.col("counted"))).alias("token"))
+    of_class = (F.col("token") % (1 << _CLASS_BITS)).alias("class")
+    sizes = placed.select("node", "n", "counted", F.get("tokens", F.lit(0)).alias("token")).select("node", "n", "counted", of_class)
+    inside = placed.select("node", F.explode(F.slice("tokens", 1, F.col("counted"))).alias("token"))
     spread = inside.groupBy("token").agg(F.count(F.lit(1)).alias("sets")).filter("sets > 1")
     held = inside.join(stored(spread, "token-counts"), "token")
-    item = F.struct("sets", "token")
-    ranked = held.groupBy("node", "n", "counted", (F.col("token") % 32).alias("class")).agg(
-        F.array_sort(F.collect_list(item)).alias("ranked")
-    )
+    ranked = held.groupBy("node", of_class).agg(F.array_sort(F.collect_list(F.struct("sets", "token"))).alias("ranked"))
+    ranked = ranked.join(sizes, ["node", "class"])
     # Tokens of one set only come first, and they are in no list.
     before = F.col("counted") - F.size("ranked")
     taken = F.slice("ranked", 1, F.greatest(F.least(probe_length_of("n"), F.col("counted")) - before, F.lit(0)).cast("int"))
@@ -216,7 +222,8 @@ def _verified(pairs: DataFrame, docs: DataFrame, named: DataFrame) -> DataFrame:
     pairs = stored(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     wanted = stored(named.join(wanted, "node", "left_semi"), "wanted")
-    udf = F.arrow_udf(lambda array: whole_sets(array), returnType=WHOLE)
+    # Called nondeterministic so that no filter on its keys is pushed below the join that picks the texts.
+    udf = F.arrow_udf(lambda array: whole_sets(array), returnType=WHOLE).asNondeterministic()
     texts = docs.select(_id().alias("id"), "text").join(wanted.select("id").distinct(), "id", "left_semi")
     made = texts.select(udf("text").alias("whole")).select("whole.*").join(wanted.select("node", *_KEYS), _KEYS)
     held = stored(made.drop(*_KEYS).dropDuplicates(["node"]), "whole-sets")
@@ -239,22 +246,10 @@ def _id() -> Column:
     return F.coalesce("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))))
 
 
-def _named(sketched: DataFrame) -> DataFrame:
-    """(key_high, key_low, id, node): every set once, a row that has it, and a number of its own.
-
-    That is the row's id, or a hash of the keys where an id has several texts and another set took it.
-    """
-    sets = sketched.filter("n > 0").groupBy(*_KEYS).agg(F.min("id").alias("id"))
-    sets = stored(sets, "sets")
-    first = sets.groupBy("id").agg(F.min(F.struct(*_KEYS)).alias("first"))
-    joined = sets.join(first, "id")
-    node = F.when(F.col("first") == F.struct(*_KEYS), F.col("id")).otherwise(F.xxhash64(*_KEYS, "id"))
-    return stored(joined.select(*_KEYS, "id", node.alias("node")), "named")
-
-
 def linked_nodes(nodes: DataFrame, docs: DataFrame, named: DataFrame) -> DataFrame:
     """(node, root) of the nodes that have a link; equal roots mean one component."""
     index = _index(nodes)
+    drop_stored(nodes)
     stars = index.filter("node <> head").select("token", F.col("node").alias("a"), "n", "place", F.col("head").alias("b"))
     heads = index.filter("node = head").select("token", F.col("n").alias("n_"), F.col("place").alias("place_"))
     stars = stars.join(heads, "token").filter(_possible("n", "place", "n_", "place_"))
@@ -285,17 +280,21 @@ def ngram_links(docs: DataFrame) -> DataFrame:
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     udf = F.arrow_udf(lambda array: sketch(array), returnType=SKETCH)
-    sketched = short_batches(docs).select("doc_id", _id().alias("id"), udf("text").alias("sketch"))
-    sketched = stored(sketched.select("doc_id", "id", "sketch.*"), "sketches")
-    named = _named(sketched)
-    # One row for each set: its tokens are the same in every row that has it.
-    own = sketched.join(named.withColumnRenamed("id", "of"), _KEYS).filter("id = of").dropDuplicates(["node"])
-    roots = linked_nodes(own.select("node", "n", *[f.name for f in SKETCH.fields[3:]]), docs, named)
-    placed = named.join(roots, "node", "left").select(*_KEYS, F.coalesce("root", "node").alias("root"))
-    least = sketched.filter("n > 0").groupBy(*_KEYS).agg(F.min("doc_id").alias("least"))
-    placed = stored(placed.join(least, _KEYS), "placed-sets")
+    row = F.monotonically_increasing_id().alias("row")
+    sketched = short_batches(docs).select("doc_id", _id().alias("id"), row, udf("text").alias("sketch"))
+    sketched = stored(sketched.select("doc_id", "id", "row", "sketch.*"), "sketches")
+    # Every set once, named by the first row that has it.
+    sets = sketched.filter("n > 0").groupBy(*_KEYS).agg(F.min(F.struct("row", "id")).alias("first"), F.min("doc_id").alias("least"))
+    named = stored(sets.select(*_KEYS, F.col("first.row").alias("node"), "first.id", "least"), "named")
+    lists = [f.name for f in SKETCH.fields[3:]]
+    nodes = sketched.join(named.select("node"), F.col("row") == F.col("node"))
+    nodes = stored(nodes.select("node", "n", *lists), "nodes")
+    rows = stored(sketched.select("doc_id", F.col("n").alias("n_shingles"), *_KEYS), "rows")
+    drop_stored(sketched)
+    roots = linked_nodes(nodes, docs, named.drop("least"))
+    placed = named.join(roots, "node", "left").select(*_KEYS, "least", F.coalesce("root", "node").alias("root"))
+    placed = stored(placed, "placed-sets")
     smallest = stored(placed.groupBy("root").agg(F.min("least").alias("component_id")), "components")
     component = stored(placed.join(smallest, "root").select(*_KEYS, "component_id"), "set-components")
-    rows = sketched.select("doc_id", F.col("n").alias("n_shingles"), *_KEYS)
     worded = rows.filter("n_shingles > 0").join(component, _KEYS).select("doc_id", "n_shingles", "component_id")
     return worded.unionByName(rows.filter("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
