@@ -198,20 +198,21 @@ def _keyed(words: DataFrame) -> tuple[DataFrame, DataFrame]:
                 last = sorted(ranks)[PREFIX_GRAMS - 1]
                 prefix = [(at, rank) for at, rank in enumerate(ranks) if rank <= last]
                 left, right = _sides(word)
+                letters = sum(1 << bit for bit in {ord(c) % 63 for c in word})
                 chosen = pivots(prefix, weight) if pivotal else [at for at, _ in prefix]
                 for at in chosen:
                     for other in (size - 1, size, size + 1) if pivotal else (size,):
-                        rows.append((word, n, last, False, other, at + 2, left[at + 1]))
-                        rows.append((word, n, last, True, other, size - at, right[at]))
+                        rows.append((word, n, last, letters, False, other, at + 2, left[at + 1]))
+                        rows.append((word, n, last, letters, True, other, size - at, right[at]))
                 if len(rows) > HELD_WORDS:
                     yield made(rows)
                     rows = []
             if rows:
                 yield made(rows)
 
-    names = ["word", "n", "last", "from_end", "size", "part", "sum"]
-    types = [pa.string(), pa.int64(), pa.int32(), pa.bool_(), pa.int32(), pa.int32(), pa.int64()]
-    schema = "word string, n long, last int, from_end boolean, size int, part int, sum long"
+    names = ["word", "n", "last", "letters", "from_end", "size", "part", "sum"]
+    types = [pa.string(), pa.int64(), pa.int32(), pa.int64(), pa.bool_(), pa.int32(), pa.int32(), pa.int64()]
+    schema = "word string, n long, last int, letters long, from_end boolean, size int, part int, sum long"
 
     def made(rows: list[tuple]) -> pa.RecordBatch:
         columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)]
@@ -224,10 +225,12 @@ def _keyed(words: DataFrame) -> tuple[DataFrame, DataFrame]:
 def near_pairs(words: DataFrame) -> DataFrame:
     """(a, a_n, b, b_n), a before b: all pairs of ``words`` (word, n; of four or more code points) one edit apart."""
     asked, held = _keyed(words.select("word", "n"))
-    asked = asked.withColumnsRenamed({"word": "left", "n": "left_n", "last": "left_last"})
-    held = held.withColumnsRenamed({"word": "right", "n": "right_n", "last": "right_last"})
+    asked = asked.withColumnsRenamed({"word": "left", "n": "left_n", "last": "left_last", "letters": "left_letters"})
+    held = held.withColumnsRenamed({"word": "right", "n": "right_n", "last": "right_last", "letters": "right_letters"})
+    alike = F.bit_count(F.col("left_letters").bitwiseXOR(F.col("right_letters"))) <= 2  # one edit adds and takes a letter
     met = asked.join(held, ["from_end", "size", "part", "sum"]).filter(
         (F.col("left_last") <= F.col("right_last"))
+        & alike
         & (F.col("left") != F.col("right"))
         & (F.levenshtein("left", "right", 1) == 1)
     )
