@@ -13,6 +13,7 @@ import html
 import itertools
 import re
 import zlib
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -44,8 +45,10 @@ PATH_SIZE = 96
 WORD_SIZE = 32
 HIDDEN = 12
 
-# Pages whose blocks are labelled together.
+# Pages whose blocks are labelled together, as long as their blocks, padded to the longest page, are not more than
+# the steps of a window. A longer page is labelled by itself, window by window.
 _TOGETHER = 48
+WINDOW_STEPS = 8192
 
 EXTRACTED = T.StructType([T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())])
 
@@ -230,10 +233,15 @@ class BiLstm:
         self.out = random.normal(0, scale, 2 * HIDDEN + 1).astype(np.float32)
 
     @staticmethod
-    def _run(weight: np.ndarray, inputs: np.ndarray, mask: np.ndarray, keep: bool) -> tuple[np.ndarray, list]:
-        """States of every step of a (steps, pages, INPUT) batch; steps that are masked out pass the state on."""
+    def _run(
+        weight: np.ndarray, inputs: np.ndarray, mask: np.ndarray, keep: bool = False, carry: np.ndarray | None = None
+    ) -> tuple[np.ndarray, list, np.ndarray]:
+        """States of every step of a (steps, pages, INPUT) batch, and what the next batch of the pages carries on.
+
+        Steps that are masked out pass the state on.
+        """
         steps, pages, _ = inputs.shape
-        state, cell = np.zeros((2, pages, HIDDEN), np.float32)
+        state, cell = np.zeros((2, pages, HIDDEN), np.float32) if carry is None else carry
         states, tape = np.empty((steps, pages, HIDDEN), np.float32), []
         driven = inputs.reshape(-1, INPUT) @ weight[:INPUT] + weight[-1]
         driven = driven.reshape(steps, pages, -1)
@@ -251,18 +259,32 @@ class BiLstm:
                 tape.append((state, cell, take, hold, show, new, bent, on))
             state, cell = next_state, next_cell
             states[step] = state
-        return states, tape
+        return states, tape, np.stack([state, cell])
 
-    def _both(self, inputs: np.ndarray, mask: np.ndarray, keep: bool = False):
-        ahead, tape_a = self._run(self.weights[0], inputs, mask, keep)
-        back, tape_b = self._run(self.weights[1], inputs[::-1], mask[::-1], keep)
+    def _both(self, inputs: np.ndarray, mask: np.ndarray):
+        ahead, tape_a, _ = self._run(self.weights[0], inputs, mask, True)
+        back, tape_b, _ = self._run(self.weights[1], inputs[::-1], mask[::-1], True)
         return np.concatenate([ahead, back[::-1]], axis=2), (tape_a, tape_b)
 
-    def scores(self, inputs: np.ndarray, mask: np.ndarray) -> np.ndarray:
-        return self._both(inputs, mask)[0] @ self.out[:-1] + self.out[-1]
+    def scores(self, steps: int, pages: int, part: Callable[[int, int], tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        """Scores of all steps of some pages. ``part(a, b)`` gives inputs and mask of the steps from a to b.
+
+        Each direction goes over windows of steps and carries its state from one to the next.
+        """
+        found = np.full((steps, pages), self.out[-1], np.float32)
+        windows = [(a, min(a + WINDOW_STEPS, steps)) for a in range(0, steps, WINDOW_STEPS)]
+        only = part(0, steps) if len(windows) == 1 else None
+        for side, order in enumerate((windows, windows[::-1])):
+            out, carry = self.out[side * HIDDEN : (side + 1) * HIDDEN], None
+            for a, b in order:
+                turn = slice(None, None, -1 if side else 1)
+                inputs, mask = only or part(a, b)
+                states, _, carry = self._run(self.weights[side], inputs[turn], mask[turn], carry=carry)
+                found[a:b] += (states @ out)[turn]
+        return found
 
     def gradients(self, inputs: np.ndarray, mask: np.ndarray, labels: np.ndarray) -> list[np.ndarray]:
-        states, tapes = self._both(inputs, mask, keep=True)
+        states, tapes = self._both(inputs, mask)
         chance = 1 / (1 + np.exp(-(states @ self.out[:-1] + self.out[-1])))
         error = (chance - labels) * mask / max(mask.sum(), 1)
         out = np.append(np.einsum("sp,sph->h", error, states), error.sum()).astype(np.float32)
@@ -444,18 +466,32 @@ class Extractor:
         """Main text of each page."""
         cut = [self.blocks.cut(page) for page in pages]
         found = [""] * len(pages)
-        filled = sorted((i for i, c in enumerate(cut) if c[0]), key=lambda i: len(cut[i][0]))
-        for start in range(0, len(filled), _TOGETHER):
-            some = filled[start : start + _TOGETHER]
-            whole = _features(*([x for i in some for x in cut[i][k]] for k in range(3)), self.paths)
-            edges = np.cumsum([len(cut[i][0]) for i in some])[:-1]
-            inputs, mask = _padded(np.split(whole, edges))
-            scores = self.model.scores(inputs, mask)
+        for some in _groups([len(c[0]) for c in cut]):
+
+            def part(a: int, b: int, some: list[int] = some) -> tuple[np.ndarray, np.ndarray]:
+                own = [[cut[i][k][a:b] for k in range(3)] for i in some]
+                whole = _features(*([x for o in own for x in o[k]] for k in range(3)), self.paths)
+                edges = np.cumsum([len(o[0]) for o in own])[:-1]
+                return _padded(np.split(whole, edges))
+
+            scores = self.model.scores(len(cut[some[-1]][0]), len(some), part)
             for place, i in enumerate(some):
                 found[i] = " ".join(t for t, s in zip(cut[i][1], scores[:, place].tolist()) if s >= 0)
         return found
 
 
+def _groups(sizes: list[int]) -> Iterator[list[int]]:
+    """Numbers of the pages that have blocks, in groups of like size that are small enough when padded; the longest is last."""
+    group: list[int] = []
+    for i in sorted((i for i, size in enumerate(sizes) if size), key=lambda i: sizes[i]):
+        if group and (len(group) == _TOGETHER or sizes[i] * (len(group) + 1) > WINDOW_STEPS):
+            yield group
+            group = []
+        group.append(i)
+    if group:
+        yield group
+
+
 def main_text(page: Column | str, model: BiLstm | None) -> Column:
     """Struct of text and n_chars; a null page counts as empty."""
     kept: list[Extractor] = []

@@ -7,6 +7,7 @@ import html
 import random
 import re
 import sys
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 from pathlib import Path
@@ -242,7 +243,7 @@ def test_gradients():
     labels = random_.integers(0, 2, mask.shape).astype(np.float32)
 
     def loss():
-        chance = 1 / (1 + np.exp(-model.scores(inputs, mask).astype(float)))
+        chance = 1 / (1 + np.exp(-model.scores(5, 3, lambda a, b: (inputs[a:b], mask[a:b])).astype(float)))
         return -((labels * np.log(chance) + (1 - labels) * np.log(1 - chance)) * mask).sum() / mask.sum()
 
     for value, slope in zip(values, model.gradients(inputs, mask, labels), strict=True):
@@ -256,6 +257,31 @@ def test_gradients():
         assert (up - down) / 2e-2 == pytest.approx(slope[at], rel=0.1)
 
 
+def test_windows_change_no_score(monkeypatch):
+    random_ = np.random.default_rng(1)
+    model = html_text.BiLstm(random_)
+    inputs = random_.normal(size=(50, 1, html_text.INPUT)).astype(np.float32)
+    part = lambda a, b: (inputs[a:b], np.ones((b - a, 1), np.float32))
+    whole = model.scores(50, 1, part)
+    for window in (7, 25, 49):
+        monkeypatch.setattr(html_text, "WINDOW_STEPS", window)
+        assert np.allclose(model.scores(50, 1, part), whole, atol=1e-5)
+
+
+def test_one_long_page_among_small_ones_takes_little_memory():
+    random_ = np.random.default_rng(2)
+    extractor = html_text.Extractor(html_text.BiLstm(random_))
+    small = [f"<p>page {i}<p>more of it" for i in range(47)]
+    apart = [extractor.texts([page])[0] for page in small]
+    long = "".join(f"<p>{i}" for i in range(100_000))
+    tracemalloc.start()
+    found = extractor.texts([*small[:20], long, *small[20:]])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 300e6
+    assert found[:20] + found[21:] == apart and set(found[20].split()) <= set(map(str, range(100_000)))
+
+
 # Near-duplicates
 
 
