@@ -144,40 +144,57 @@ def _vectors(batch: pa.RecordBatch, size: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _packed(table: DataFrame, size: int, rows_each: int) -> DataFrame:
-    """Blocks of rows as (block, ids, vectors) with the numbers as bytes."""
+    """Blocks of rows as (block, ids, vectors) with the numbers as bytes; all but a partition's last hold ``rows_each``."""
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = TaskContext.get().partitionId() << 32
-        for batch in batches:
-            ids, rows = _vectors(batch, size)
-            for start in range(0, len(ids), rows_each):
-                own = slice(start, start + rows_each)
-                values = [[block], [ids[own].tobytes()], [rows[own].tobytes()]]
-                kinds = (pa.int64(), pa.binary(), pa.binary())
-                columns = [pa.array(v, k) for v, k in zip(values, kinds, strict=True)]
-                yield pa.RecordBatch.from_arrays(columns, names=["block", "ids", "vectors"])
-                block += 1
+        ids, rows = np.empty(0, np.int64), np.empty((0, max(size, 1)))
+
+        def made(count: int) -> pa.RecordBatch:
+            values = [[block], [ids[:count].tobytes()], [rows[:count].tobytes()]]
+            kinds = (pa.int64(), pa.binary(), pa.binary())
+            columns = [pa.array(v, k) for v, k in zip(values, kinds, strict=True)]
+            return pa.RecordBatch.from_arrays(columns, names=["block", "ids", "vectors"])
+
+        for batch in batches:  # of whatever length the session has them
+            more_ids, more = _vectors(batch, size)
+            ids, rows = np.concatenate([ids, more_ids]), np.concatenate([rows, more])
+            while len(ids) >= rows_each:
+                yield made(rows_each)
+                ids, rows, block = ids[rows_each:], rows[rows_each:], block + 1
+        if len(ids):
+            yield made(len(ids))
 
     return table.mapInArrow(apply, "block long, ids binary, vectors binary")
 
 
+def _sample(table: DataFrame) -> np.ndarray:
+    """Vectors of the SAMPLE_ROWS ids of least hash, one for each, that take part; of the most frequent length."""
+    whole = F.forall("embedding", lambda x: F.coalesce(F.abs(x) < float("inf"), F.lit(False)))
+    usable = table.filter(F.col("vec_id").isNotNull() & whole & F.exists("embedding", lambda x: x != 0))
+    least = usable.select("vec_id").distinct().orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE_ROWS)
+    least = F.broadcast(stored(least, "sample-ids"))  # SAMPLE_ROWS ids at most
+    chosen = usable.join(least, "vec_id").groupBy("vec_id").agg(F.min("embedding").alias("embedding")).collect()
+    vectors = [r.embedding for r in sorted(chosen, key=lambda r: r.vec_id)]
+    lengths = [len(v) for v in vectors]
+    size = max(sorted(set(lengths)), key=lengths.count) if lengths else 0
+    return np.array([v for v in vectors if len(v) == size], float).reshape(-1, max(size, 1))
+
+
 def nearest_neighbours(table: DataFrame, every: int = QUERY_EVERY) -> DataFrame:
     """The nearest rows of each row of ``table`` (vec_id, embedding) whose id is divisible by ``every``.
 
     Columns query_id, rank (from 1), vec_id, score: the Euclidean distance in double precision, ties to the
     smaller vec_id. Candidates are all rows but those with the query's own id. Rows without an id, and vectors
     that are null, zero, of another length than most of the sample or hold null or non-finite components
-    take no part. A repeated row counts each time it occurs, as a candidate and as a query. Other columns are left
+    take no part, in the sample neither. A repeated row counts each time it occurs, as a candidate and as a query. Other columns are left
     out. No rows give none.
     """
     table = table.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>"))
-    head = table.filter("vec_id is not null and embedding is not null").orderBy(F.xxhash64("vec_id"), "vec_id")
-    head = [r.embedding for r in head.limit(SAMPLE_ROWS).collect()]  # SAMPLE_ROWS at most
-    lengths = [len(v) for v in head if len(v)]
-    size = max(set(lengths), key=lengths.count) if lengths else 0
-    sample = np.array([v for v in head if len(v) == size and None not in v], float).reshape(-1, max(size, 1))
-    sample = sample[np.isfinite(sample).all(axis=1) & (sample != 0).any(axis=1)]
-    forest = Forest(sample) if len(sample) else None
+    sample = _sample(table)
+    if not len(sample):
+        return table.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    size, forest = sample.shape[1], Forest(sample)
 
     queries = table.filter(F.col("vec_id") % every == 0)
     chunks = queries.repartition(max(1, -(-queries.count() // QUERY_ROWS)))

@@ -126,6 +126,31 @@ def test_embeddings(spark):
     assert prefix_forest.nearest_neighbours(table.limit(0)).collect() == []
 
 
+def test_unusable_vectors_are_not_sampled(spark, monkeypatch):
+    monkeypatch.setattr(prefix_forest, "SAMPLE_ROWS", 2)
+    schema = "vec_id long, embedding array<float>"
+    hashed = spark.range(400).select("id", F.xxhash64("id").alias("hash")).orderBy("hash").collect()
+    order = [r.id for r in hashed]
+    bad = [[0.0, 0.0], [float("nan"), 1.0], [None, 1.0], [], None, [float("inf"), 1.0]]
+    rows = [(i, bad[n % 6]) for n, i in enumerate(order[:60])] + [(order[0], [0.0, 0.0])] * 50
+    good = [(i, [float(i), 1.0]) for i in order[60:]] + [(order[60], [float(order[60]), 1.0])] * 9
+    found = prefix_forest.nearest_neighbours(spark.createDataFrame(rows + good, schema)).collect()
+    asked = Counter(r.query_id for r in found)
+    assert asked and set(asked) == {i for i, _ in good if i % 100 == 0} and set(asked.values()) == {10}
+    assert prefix_forest.nearest_neighbours(spark.createDataFrame(rows, schema)).collect() == []
+
+
+def test_neighbours_do_not_follow_the_length_of_batches(spark):
+    table = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet").coalesce(1)
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    old, found = spark.conf.get(setting), []
+    for rows in ("10000", "33"):
+        spark.conf.set(setting, rows)
+        found.append(sorted(map(tuple, prefix_forest.nearest_neighbours(table).collect())))
+    spark.conf.set(setting, old)
+    assert found[0] == found[1]
+
+
 def test_pages(spark):
     schema = "page_id long, url string, html string, text int, host int, label int"
     page = "<article><h1>A title</h1><p>Some text &amp; more of it that goes on.</p></article>"
