@@ -1,7 +1,7 @@
 """Packing of tokenised documents into fixed-length training sequences.
 
-Documents are tokenised where they lie. Only their pieces' lengths travel: they are dealt
-evenly over shards, and each shard is packed best-fit decreasing: the longest piece first, each
+Documents are tokenised where they lie. Only their pieces' lengths travel. Full pieces are sequences; the
+others are dealt evenly over shards, and each shard is packed best-fit decreasing: the longest piece first, each
 into the sequence it leaves the least room in. A segment tree over the remaining capacities
 finds that sequence in as many steps as the capacity has binary digits.
 """
@@ -16,19 +16,19 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from spendlake.llm.batches import short_batches
 from spendlake.llm.texthash import Texts, pieces
+from spendlake.session import stored
 
 SEQUENCE_TOKENS = 2048
 END_ID = 0
 
-# Documents per shard. A shard leaves a few sequences part empty, among thousands.
-SHARD_DOCUMENTS = 32_768
+# Pieces per shard, on average. A shard leaves a few sequences part empty, among thousands.
+SHARD_PIECES = 32_768
 
 # Parts of words kept with their ids in each worker: two generations of so many.
 CACHE_SIZE = 150_000
@@ -39,7 +39,7 @@ BATCH_BYTES = 1 << 20
 # Single words are handed to the tokenizer in lines of so many.
 _LINE = 1000
 
-PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long, shard long"
+PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
 class WordTokenizer:
@@ -146,12 +146,11 @@ def cut(ids: bytes, size: int = SEQUENCE_TOKENS) -> Iterator[tuple[int, bytes]]:
         yield start // 4, ids[start : start + 4 * size]
 
 
-def tokenised_pieces(docs: DataFrame, path: str, shards: int, size: int = SEQUENCE_TOKENS) -> DataFrame:
-    """One row per piece of each document with its length and the checksum of its ids, dealt over shards."""
+def tokenised_pieces(docs: DataFrame, path: str, size: int = SEQUENCE_TOKENS) -> DataFrame:
+    """One row per piece of each document with its length and the checksum of its ids."""
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         end_id = np.array([END_ID], "<u4").tobytes()
-        dealt = TaskContext.get().partitionId() * 7919
         for batch in batches:
             for first, last in pieces(batch.column(1), BATCH_BYTES):
                 names_, texts = (batch.column(i).slice(first, last - first) for i in (0, 1))
@@ -160,9 +159,8 @@ def tokenised_pieces(docs: DataFrame, path: str, shards: int, size: int = SEQUEN
                 for place, doc_id in enumerate(names_.to_pylist()):
                     own = ids[bounds[place] : bounds[place + 1]].tobytes() + end_id
                     for number, (start, part) in enumerate(cut(own, size)):
-                        rows.append((doc_id, number, start, len(part) // 4, zlib.crc32(part), dealt % shards))
-                        dealt += 1
-                kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64())
+                        rows.append((doc_id, number, start, len(part) // 4, zlib.crc32(part)))
+                kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
                 names = [f.split(" ")[0] for f in PIECE_SCHEMA.split(", ")]
                 columns = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
@@ -226,13 +224,21 @@ def pack(docs: DataFrame, path: str, size: int = SEQUENCE_TOKENS) -> DataFrame:
     a null or empty text is END_ID alone. Only documents longer than ``size`` are cut. Repeated rows and
     null ids are packed like any other; other columns are left out. No rows give none. ``path`` is the
     tokenizer file, the same on every machine.
+
+    Pieces are stored once; a full one is a sequence by itself and goes no further. So a document adds one piece at most
+    to the shards, however long it is, and what a shard holds is bounded by SHARD_PIECES.
     """
-    shards = max(1, -(-docs.count() // SHARD_DOCUMENTS))
+    made = stored(tokenised_pieces(docs, path, size), "pieces")
+    row = F.monotonically_increasing_id()
+    full = made.filter(F.col("length") == size).select("*", (-1 - row).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
+    rest = made.filter(F.col("length") < size)
+    shards = max(1, -(-rest.count() // SHARD_PIECES))
 
     def apply(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values(["length", "doc_id", "piece", "ids_crc32"], kind="stable")
         sequence, offset = best_fit_decreasing(frame["length"].to_numpy(), size)
         return frame.assign(sequence_id=frame["shard"] * (1 << 32) + sequence, offset=offset).drop(columns="shard")
 
-    schema = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
-    return tokenised_pieces(docs, path, shards, size).groupBy("shard").applyInPandas(apply, schema)
+    dealt = rest.withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", row), F.lit(shards)))
+    schema = f"{PIECE_SCHEMA}, sequence_id long, offset long"
+    return full.unionByName(dealt.groupBy("shard").applyInPandas(apply, schema))
