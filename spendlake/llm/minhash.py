@@ -325,27 +325,50 @@ def classes(docs: DataFrame) -> DataFrame:
     return stored(found.unionByName(wordless).groupBy("id").agg(F.min("class_id").alias("class_id")), "classes")
 
 
+# Keys that are hashes lie above this, so that they name no class that has a doc_id.
+_HASHED = 1 << 62
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` as rows (row_, key_): the doc_id, or a hash of it and the text where an id is null or has several texts."""
+    text = F.coalesce("text", F.lit(""))
+    hashed = docs.filter("doc_id is not null").select("doc_id", F.xxhash64(text).alias("hash"))
+    several = hashed.groupBy("doc_id").agg(F.min("hash").alias("a"), F.max("hash").alias("b")).filter("a <> b")
+    several = stored(several.select(F.col("doc_id").alias("of")), "ids-of-several-texts")
+    rows = docs.select(F.struct("*").alias("row_"))
+    joined = rows.join(several, F.col("row_.doc_id") == F.col("of"), "left")
+    own = F.pmod(F.xxhash64("row_.doc_id", F.coalesce("row_.text", F.lit(""))), F.lit(_HASHED)) + _HASHED
+    plain = F.col("row_.doc_id").isNotNull() & F.col("of").isNull()
+    return joined.select("row_", F.when(plain, F.col("row_.doc_id")).otherwise(own).alias("key_"))
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, class_id, is_first.
 
     A class holds exact copies (equal words, letters in either case) and whatever chains of
     similarity 0.8 or more reach; class_id is its smallest doc_id, and is_first marks the rows
-    of that document. Texts without a word are in no class but their own. Rows of one doc_id
-    are one document; a row without doc_id goes by a hash of its text. No rows give none.
+    of that document. Texts without a word are in no class but their own. Rows of one doc_id and text
+    are one document; a row without doc_id, or whose doc_id has other texts too, goes by a hash of both. No rows
+    give none.
     """
-    keyed = docs.select("doc_id", document_key().alias("id"))
-    found = keyed.join(classes(docs.select("doc_id", "text")), "id")
-    return found.select("doc_id", "class_id", (F.col("id") == F.col("class_id")).alias("is_first"))
+    keyed = _keyed(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
+    found = classes(keyed.select(F.col("key_").alias("doc_id"), "row_.text"))
+    joined = keyed.select("row_.doc_id", "key_").join(found, F.col("key_") == F.col("id"))
+    return joined.select("doc_id", "class_id", (F.col("id") == F.col("class_id")).alias("is_first"))
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
-    """One row of ``docs`` of each class, with all its columns."""
-    found = classes(docs.select("doc_id", "text"))
+    """One row of ``docs`` of each class, with all its columns.
+
+    Of rows with the same doc_id and text it is the one whose columns have the least hash, whatever order they come in.
+    """
+    keyed = _keyed(docs)
+    found = classes(keyed.select(F.col("key_").alias("doc_id"), "row_.text"))
     gone = found.filter("id <> class_id").select(F.col("id").alias("key_"))
-    keyed = docs.select(F.struct("*").alias("row_"), document_key().alias("key_"))
-    repeated = docs.groupBy(document_key().alias("key_")).count().filter("count > 1").select("key_")
+    repeated = keyed.groupBy("key_").count().filter("count > 1").select("key_")
     repeated = stored(repeated, "repeated")
     kept = keyed.join(stored(gone, "gone"), "key_", "left_anti")
     once = kept.join(repeated, "key_", "left_anti")
-    first = kept.join(repeated, "key_", "left_semi").groupBy("key_").agg(F.first("row_").alias("row_"))
+    least = F.min_by("row_", F.xxhash64(F.to_json("row_")))
+    first = kept.join(repeated, "key_", "left_semi").groupBy("key_").agg(least.alias("row_"))
     return once.select("row_.*").unionByName(first.select("row_.*"))
