@@ -49,7 +49,7 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("best_fit_packing", packed_text),
 ]
 
-# Importance weights, MinHash and packing are beyond SQL; the tests hold the stages against plain Python.
+# Importance weights, MinHash and packing are beyond SQL; the tests hold each stage's operator against plain Python.
 ORACLE_SQL: str | None = None
 
 
