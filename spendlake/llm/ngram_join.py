@@ -13,13 +13,17 @@ leaves candidates that share a prefix token by chance, so several orders are ask
 Sets are compared within classes of size (octaves; a set just above a bound is in the class below, too), each with
 its own order, so that short sets, which passages fill, can have all their tokens counted.
 
-Equal sets are one node. In each list of the index nodes are first compared with one of them, which joins
-large groups of near copies without listing their pairs; then lists that still hold several components are
-searched for pairs of different ones. No link that joins components is lost.
+Equal sets are one node. In each list of the index nodes are first compared with the one that is changed least, which
+joins large groups of near copies without listing their pairs; then lists that still hold several components are
+searched for pairs of different ones, but for those whose parity signatures say that they differ too much. No link
+that joins components is lost.
 """
 
 from __future__ import annotations
 
+import functools
+import operator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -46,6 +50,9 @@ _INDEX_BITS = 56
 # The last digits of a token in the index are its class.
 _CLASS_BITS = 5
 
+# Bits of a set's parity signature: each of its tokens turns one. Two sets differ in as many tokens as bits, at least.
+PARITY_BITS = 1024
+
 _KEYS = ["key_high", "key_low"]
 
 
@@ -110,6 +117,7 @@ SKETCH = T.StructType(
         T.StructField("n", T.LongType()),
         *[T.StructField(f"{name}_counted", T.IntegerType()) for name in ("own", "lower")],
         *[T.StructField(f"{name}_tokens", T.ArrayType(T.LongType())) for name in ("own", "lower")],
+        T.StructField("parity", T.ArrayType(T.LongType())),
     ]
 )
 
@@ -146,7 +154,10 @@ def _sketch(array: pa.Array) -> pa.StructArray:
         marked = marked | (digits.astype(np.uint64)[owners] % np.uint64(1 << _CLASS_BITS))
         counted.append(pa.array(np.bincount(owners[inside], minlength=len(array)).astype(np.int32)))
         tokens.append(_listed(marked[chosen], owners[chosen], len(array)))
-    columns = [pa.array(high), pa.array(low), pa.array(sizes), *counted, *tokens]
+    turned = np.bincount(owners * PARITY_BITS + (values % np.uint64(PARITY_BITS)).astype(np.int64), minlength=len(array) * PARITY_BITS)
+    bits = np.packbits((turned & 1).astype(bool)).view(np.int64)
+    parity = _listed(bits, np.repeat(np.arange(len(array)), PARITY_BITS // 64), len(array))
+    columns = [pa.array(high), pa.array(low), pa.array(sizes), *counted, *tokens, parity]
     return pa.StructArray.from_arrays(columns, names=SKETCH.fieldNames())
 
 
@@ -199,7 +210,9 @@ def _index(nodes: DataFrame) -> DataFrame:
     others = placed.select("node", "n", "counted", F.posexplode(more).alias("nth", "token"))
     others = others.select("token", "node", "n", (F.col("counted") + F.col("nth")).alias("place"))
     postings = stored(counted.unionByName(others), "postings")
-    lists = postings.groupBy("token").agg(F.min("node").alias("head"), F.count(F.lit(1)).alias("nodes")).filter("nodes > 1")
+    # A list's head is the set with the fewest rarer tokens: of a family of copies the one that is changed least.
+    central = F.min_by("node", F.struct("place", "n", "node")).alias("head")
+    lists = postings.groupBy("token").agg(central, F.count(F.lit(1)).alias("nodes")).filter("nodes > 1")
     return stored(postings.join(stored(lists.drop("nodes"), "lists"), "token"), "index")
 
 
@@ -217,6 +230,14 @@ def _possible(n: str, place: str, other_n: str, other_place: str) -> Column:
     return left * (100 + PERCENT) >= PERCENT * (F.col(n) + F.col(other_n))
 
 
+def _differ_little(n: str, parity: str, other_n: str, other_parity: str) -> Column:
+    """Whether two sets' parity signatures differ in no more bits than similar sets of their sizes do in tokens."""
+    words = range(PARITY_BITS // 64)
+    bits = [F.bit_count(F.get(parity, F.lit(i)).bitwiseXOR(F.get(other_parity, F.lit(i)))) for i in words]
+    allowed = (100 - PERCENT) * (F.col(n) + F.col(other_n))  # of 100 + PERCENT
+    return functools.reduce(operator.add, bits) * (100 + PERCENT) <= allowed
+
+
 def _verified(pairs: DataFrame, docs: DataFrame, named: DataFrame) -> DataFrame:
     """The pairs (a, b) of nodes that share prefix tokens in the further orders and are similar on whole sets."""
     pairs = stored(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
@@ -249,21 +270,23 @@ def _id() -> Column:
 def linked_nodes(nodes: DataFrame, docs: DataFrame, named: DataFrame) -> DataFrame:
     """(node, root) of the nodes that have a link; equal roots mean one component."""
     index = _index(nodes)
+    parities = stored(nodes.select("node", "parity"), "parities")
     drop_stored(nodes)
     stars = index.filter("node <> head").select("token", F.col("node").alias("a"), "n", "place", F.col("head").alias("b"))
     heads = index.filter("node = head").select("token", F.col("n").alias("n_"), F.col("place").alias("place_"))
     stars = stars.join(heads, "token").filter(_possible("n", "place", "n_", "place_"))
     links = stored(_verified(stars.select("a", "b"), docs, named), "links")
-    labels = near_labels(links)
+    labels = stored(component_roots(links, near_labels(links)), "labels")
     placed = index.join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
     placed = stored(placed.drop("head"), "placed")
     open_ = placed.groupBy("token").agg(F.min("root").alias("least"), F.max("root").alias("most")).filter("least <> most")
-    open_ = stored(placed.join(stored(open_.select("token"), "open-lists"), "token", "left_semi"), "open")
+    open_ = placed.join(stored(open_.select("token"), "open-lists"), "token", "left_semi")
+    open_ = stored(open_.join(parities, "node"), "open")
     small = open_.filter(F.col("place") < index_length_of("n"))
-    large = open_.withColumnsRenamed({c: f"{c}_" for c in ("node", "n", "place", "root")})
-    upward = F.struct("n", "node") < F.struct("n_", "node_")
+    large = open_.withColumnsRenamed({c: f"{c}_" for c in ("node", "n", "place", "root", "parity")})
+    upward = (F.col("n") < F.col("n_")) | ((F.col("n") == F.col("n_")) & (F.col("node") < F.col("node_")))
     apart = (F.col("root") != F.col("root_")) & upward & _possible("n", "place", "n_", "place_")
-    pairs = small.join(large, "token").filter(apart)
+    pairs = small.join(large, "token").filter(apart & _differ_little("n", "parity", "n_", "parity_"))
     more = _verified(pairs.select(F.col("node").alias("a"), F.col("node_").alias("b")), docs, named)
     return component_roots(links.unionByName(more), labels)
 
