@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from types import SimpleNamespace
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -43,6 +45,18 @@ def stock_payloads(tables) -> DataFrame:
     )
 
 
+def stock_payloads_twice(tables) -> DataFrame:
+    """The same, and for every fifth stock a second one, landed later, one dearer; ``landed_at`` orders them."""
+    later = SimpleNamespace(
+        stock=tables.stock.filter(F.col("stock_seq") % 5 == 0).withColumn(
+            "stock_price", (F.col("stock_price") + 1).cast("decimal(18,4)")
+        ),
+        stock_type=tables.stock_type,
+    )
+    both = stock_payloads(tables).withColumn("landed_at", F.lit(1))
+    return both.unionByName(stock_payloads(later).withColumn("landed_at", F.lit(2)))
+
+
 def crypto_payloads(tables) -> DataFrame:
     price = F.to_json(F.struct((F.col("crypto_price") + F.lit("0.5").cast("decimal(2,1)")).cast("string").alias("price")))
     error = F.to_json(F.struct(F.lit(404).alias("code"), F.lit("unknown symbol").alias("message")))

@@ -280,6 +280,31 @@ ORACLES["keyword_match_analysed"] = statement(
     .replace("select consume_keyword_id as keyword_id, token, count(*)", f"select consume_keyword_id as keyword_id, {_ANALYSED} as token, count(*)")
     .replace("group by consume_keyword_id, token)", "and token <> 'ring' group by 1, 2)"),
 )
+
+
+def _phrased(text: str) -> str:
+    """Words of the text with the user dictionary's phrases replaced; the order here is that of the longest from the left."""
+    made = f"lower({text})"
+    for phrase, words in (("blue ring economy", "luxury ring"), ("blue ring", "bluering"), ("ring economy", "cheap"), ("old bolt", "scrap")):
+        made = rf"regexp_replace({made}, '\b{phrase}\b', '{words}', 'g')"
+    return made
+
+
+ORACLES["phrase_tokens"] = statement(
+    ("prodt_keyword", "keyword_type"),
+    "select consume_keyword_id, " + _phrased("consume_keyword || ' ' || consume_keyword_type") + " as tokens from keywords",
+    KEYWORDS,
+)
+ORACLES["keyword_match_phrases"] = statement(
+    _SEARCH_VIEWS,
+    "select * from hits",
+    KEYWORDS,
+    _SEARCH.replace(
+        "select distinct spent_name from spent_detail", "select distinct spent_name || ' economy' as spent_name from spent_detail"
+    )
+    .replace("lower(spent_name)", _phrased("spent_name"))
+    .replace("lower(consume_keyword)", _phrased("consume_keyword")),
+)
 ORACLES["separated_tokens"] = statement(
     ("keyword_type",),
     "select consume_keyword_type_id, part from (select consume_keyword_type_id, unnest(regexp_split_to_array("
@@ -367,6 +392,13 @@ ORACLES["stock_price_update"] = statement(
     f"{_STOCK_STAMPS} from stock s left join fetched f on f.stock_seq = s.stock_seq",
     _MARKET_STOCK,
 )
+ORACLES["stock_price_refetched"] = statement(
+    ("stock", "stock_type"),
+    "select s.stock_seq, s.market_seq, s.stock_name, s.api_symbol, coalesce(f.new_price + case when f.stock_seq % 5 = 0 "
+    f"then 1 else 0 end, s.stock_price)::decimal(18,4) as stock_price, {_STOCK_STAMPS} "
+    "from stock s left join fetched f on f.stock_seq = s.stock_seq",
+    _MARKET_STOCK,
+)
 _HISTORY = f"{NOW} as recorded_at, date '2024-02-01' as recorded_date"
 ORACLES["stock_price_history"] = statement(
     ("stock", "stock_type"),
@@ -601,6 +633,15 @@ _POSITION = (
 _BETWEEN = (
     f"partition_offset >= coalesce({_POSITION.format(group='catchup')}, 0) and partition_offset < {_POSITION.format(group='ref')}"
 )
+ORACLES["feed_lag"] = statement(
+    ("cdc_event", "group_offset"),
+    "select coalesce(r.partition_id, f.partition_id) as partition_id, coalesce(r.committed_offset, 0) as reference_offset, "
+    "coalesce(f.place, 0) as catchup_offset, greatest(coalesce(r.committed_offset, 0) - coalesce(f.place, 0), 0) as lag "
+    "from (select * from group_offset where group_name = 'ref') r full join "
+    "(select partition_id, max(partition_offset) + 1 as place from cdc_event group by partition_id) f "
+    "on r.partition_id = f.partition_id",
+)
+ORACLES["newest_events"] = statement(("cdc_event",), "select spent_idx, max(reg_at) as reg_at from cdc_event group by spent_idx")
 ORACLES["replay_between_offsets"] = statement(("cdc_event", "group_offset"), f"{_EVENTS} where {_BETWEEN}")
 ORACLES["bounded_catch_up"] = statement(
     _FEED_VIEWS, _APPLIED, INDEX, LATEST.replace("from cdc_event)", f"from cdc_event where {_BETWEEN})")

@@ -22,28 +22,12 @@ from spendlake.sources import feed, payloads
 from spendlake.sources.tables import active_rows, lookup
 from spendlake.sources.views import Domain
 from spendlake.streaming import feed as stream
+from spendlake.streaming import guard
 
 NOW = datetime(2024, 2, 1)
 EARLIER = datetime(2020, 1, 1)
 AS_OF = datetime(2000, 6, 15, 12)
 
-INDEX_MAPPING = {
-    "mappings": {
-        "properties": {
-            "spent_idx": {"type": "long"},
-            "spent_name": {"type": "text"},
-            "spent_money": {"type": "long"},
-            "spent_at": {"type": "date"},
-            "user_seq": {"type": "long"},
-            "consume_keyword_type_id": {"type": "long"},
-            "consume_keyword_type": {"type": "text", "fields": {"keyword": {"type": "keyword"}}},
-            "room_seq": {"type": "long"},
-            "user_id": {"type": "keyword"},
-            "card_alias": {"type": "keyword"},
-        }
-    }
-}
-
 QUERIES: dict[str, Callable[[Domain], DataFrame]] = {}
 
 
@@ -206,7 +190,7 @@ def calendar_upsert(d: Domain) -> DataFrame:
 @query
 def publish_spent_detail(d: Domain) -> DataFrame:
     target = VersionedTable(d.spark, run_dir(d.spark, "publish"), "spent_detail")
-    return spend.publish_full_index(_index(d), target, NOW, schema_from_mapping(INDEX_MAPPING))
+    return spend.publish_full_index(_index(d), target, NOW, schema_from_mapping(fixed.INDEX_MAPPING))
 
 
 @query
@@ -260,6 +244,25 @@ def keyword_match_analysed(d: Domain) -> DataFrame:
     return search.keyword_match(names, _keywords(d), search.SearchOptions(stop_words=("ring",)), synonyms)
 
 
+# Entries of a user dictionary, of two and three words.
+PHRASES = {"blue ring": "bluering", "blue ring economy": "luxury ring", "ring economy": "cheap", "old bolt": "scrap"}
+
+
+@query
+def phrase_tokens(d: Domain) -> DataFrame:
+    """Keywords and their types as the user dictionary reads them."""
+    listed = text.tokens(F.concat("consume_keyword", F.lit(" "), "consume_keyword_type"))
+    joined = F.array_join(text.joined_phrases(listed, PHRASES), " ")
+    return _keywords(d).select("consume_keyword_id", joined.alias("tokens"))
+
+
+@query
+def keyword_match_phrases(d: Domain) -> DataFrame:
+    """With runs of words that count as other words, in names and keywords."""
+    names = d.spent_detail.select(F.concat("spent_name", F.lit(" economy")).alias("spent_name")).distinct()
+    return search.keyword_match(names, _keywords(d), search.SearchOptions(phrases=PHRASES))
+
+
 @query
 def separated_tokens(d: Domain) -> DataFrame:
     """Parts of type names, written with bars and commas."""
@@ -372,6 +375,15 @@ def stock_price_update(d: Domain) -> DataFrame:
     return prices.update_prices(_unstamped(d.stock), _stock_prices(d), "stock_seq", "stock_price", NOW)
 
 
+@query
+def stock_price_refetched(d: Domain) -> DataFrame:
+    """Every fifth stock fetched twice: the price that landed last counts."""
+    stocks = denormalise.stocks_with_market(d.stock, d.stock_type)
+    fetched = landed.stock_payloads_twice(d).select("stock_seq", "payload", "landed_at")
+    found = prices.stock_prices(stocks, fetched, order_by="landed_at")
+    return prices.update_prices(_unstamped(d.stock), found, "stock_seq", "stock_price", NOW, order_by="landed_at")
+
+
 @query
 def crypto_price_update(d: Domain) -> DataFrame:
     return prices.update_prices(_unstamped(d.crypto), _crypto_prices(d), "crypto_seq", "crypto_price", NOW)
@@ -527,6 +539,31 @@ def cdc_store_apply(d: Domain) -> DataFrame:
     return stream.read_current(store, changes, by_event_time=True)
 
 
+@query
+def feed_lag(d: Domain) -> DataFrame:
+    """How far the feed, once it has run, is behind the positions of a group."""
+    folder = run_dir(d.spark, "feed_lag")
+    stream.land_messages(feed.event_messages(d.cdc_event), f"{folder}/landed", files=6)
+    messages = feed.read_feed_files(d.spark, f"{folder}/landed", files_per_batch=3)
+    running = stream.start_feed(
+        messages, lambda: d, f"{folder}/changes", f"{folder}/checkpoint", lambda: NOW, positions=f"{folder}/positions"
+    )
+    running.awaitTermination()
+    both = d.group_offset.unionByName(stream.read_positions(d.spark, f"{folder}/positions"))
+    return cdc.lag_by_partition(both, "ref", "feed")
+
+
+@query
+def newest_events(d: Domain) -> DataFrame:
+    """Each key's newest event time after three micro-batches that the guard let through only what is newer."""
+    folder = run_dir(d.spark, "newest_events")
+    stream.land_messages(feed.event_messages(d.cdc_event), f"{folder}/landed", files=6)
+    messages = feed.read_feed_files(d.spark, f"{folder}/landed", files_per_batch=2)
+    passed = guard.newest_events(feed.decode_events(messages), forget_after="400 days")
+    stream.copy_stream(passed, f"{folder}/passed", f"{folder}/checkpoint")
+    return d.spark.read.schema(passed.schema).parquet(f"{folder}/passed").groupBy("spent_idx").agg(F.max("reg_at").alias("reg_at"))
+
+
 @query
 def replay_between_offsets(d: Domain) -> DataFrame:
     """Exactly the events between the positions of two groups."""

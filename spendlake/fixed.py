@@ -46,3 +46,21 @@ SUMMARY = (
 OVERSEAS_CURRENCY = "USD"
 QUOTE_OK = "0"
 HOLIDAY_OK = "00"
+
+# Column types of the search index.
+INDEX_MAPPING = {
+    "mappings": {
+        "properties": {
+            "spent_idx": {"type": "long"},
+            "spent_name": {"type": "text"},
+            "spent_money": {"type": "long"},
+            "spent_at": {"type": "date"},
+            "user_seq": {"type": "long"},
+            "consume_keyword_type_id": {"type": "long"},
+            "consume_keyword_type": {"type": "text", "fields": {"keyword": {"type": "keyword"}}},
+            "room_seq": {"type": "long"},
+            "user_id": {"type": "keyword"},
+            "card_alias": {"type": "keyword"},
+        }
+    }
+}

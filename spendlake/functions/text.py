@@ -20,6 +20,47 @@ def tokens(text: Column, stop_words: Sequence[str] = ()) -> Column:
     return F.filter(words, lambda word: ~F.array_contains(dropped, word))
 
 
+# Entries of a user dictionary; they are part of the plan.
+MAX_PHRASES = 1000
+
+
+def joined_phrases(listed: Column, phrases: Mapping[str, str]) -> Column:
+    """The tokens with every phrase of the dictionary replaced: from the left on, the longest that begins at each place.
+
+    ``phrases`` maps tokens joined by spaces to what takes their place, one token or several. What a phrase covers
+    begins no other.
+    """
+    if len(phrases) > MAX_PHRASES:
+        raise ValueError(f"at most {MAX_PHRASES} phrases, not {len(phrases)}")
+    if not phrases:
+        return listed
+    known = F.create_map(*[F.lit(text) for entry in sorted(phrases.items()) for text in entry])
+    sizes = sorted({len(phrase.split(" ")) for phrase in phrases}, reverse=True)
+
+    def found(at: Column) -> Column:
+        """(size, text) of the longest phrase at a place, of the token itself where there is none."""
+        one = F.struct(F.lit(1).alias("size"), F.get(listed, at - 1).alias("text"))
+        for size in reversed(sizes):
+            text = F.try_element_at(known, F.array_join(F.slice(listed, at, size), " "))
+            fits = text.isNotNull() & (at + size - 1 <= F.size(listed))
+            one = F.when(fits, F.struct(F.lit(size).alias("size"), text.alias("text"))).otherwise(one)
+        return one
+
+    start = F.struct(F.lit(1).alias("next"), F.array().cast("array<string>").alias("made"))
+
+    def step(state: Column, place: Column) -> Column:
+        made = F.concat(state["made"], F.split(place["text"], " "))
+        taken = F.struct((place["at"] + place["size"]).alias("next"), made.alias("made"))
+        return F.when(place["at"] < state["next"], state).otherwise(taken)
+
+    places = F.transform(
+        F.sequence(F.lit(1), F.size(listed)),
+        lambda at: F.struct(at.alias("at"), found(at)["size"].alias("size"), found(at)["text"].alias("text")),
+    )
+    joined = F.aggregate(places, start, step, lambda state: state["made"])
+    return F.when(F.size(listed) > 0, joined).otherwise(listed)
+
+
 def separated_tokens(text: Column) -> Column:
     """Parts between commas or bars, as they stand."""
     return F.filter(F.split(text, r"[,]|[|]"), lambda part: part != "")

@@ -46,7 +46,8 @@ def _place(name: str, kind: T.DataType, ascending: bool) -> tuple[Column, bool]:
     """The same, ascending with the place of the value in the wanted order: NULL first if ascending, else last."""
     number, exact = _number(name, kind)
     held = F.greatest(F.lit(1 - _END), F.least(F.lit(_END - 1), number))
-    return F.coalesce(held if ascending else -held, F.lit(-_END if ascending else _END)), exact
+    end = F.lit(-_END if ascending else _END)
+    return F.when(number.isNull(), end).otherwise(held if ascending else -held), exact
 
 
 def _narrowed(keyed: DataFrame, key: str, open_: DataFrame, limit: int) -> DataFrame:
@@ -59,9 +60,9 @@ def _narrowed(keyed: DataFrame, key: str, open_: DataFrame, limit: int) -> DataF
         wide = open_.filter((F.col("low") < F.col("high")) & (F.col("n") > limit))
         if wide.isEmpty():
             return open_
-        width = F.floor((F.col("high") - F.col("low")) / CELLS) + 1
+        width = F.call_function("div", F.col("high") - F.col("low"), F.lit(CELLS)) + 1
         met = keyed.join(wide, F.col("group").eqNullSafe(F.col("of_group")) & F.col(key).between(F.col("low"), F.col("high")))
-        cell = F.floor((F.col(key) - F.col("low")) / width).cast("bigint").alias("cell")
+        cell = F.call_function("div", F.col(key) - F.col("low"), width).alias("cell")
         counts = met.groupBy("of_group", "room", "low", "high", cell).agg(F.count(F.lit(1)).alias("n"))
         upto = F.sum("n").over(W.partitionBy("of_group").orderBy("cell"))
         reached = counts.withColumn("upto", upto).filter(F.col("upto") >= F.col("room"))

@@ -26,9 +26,12 @@ def required_key(batch: DataFrame, key: str) -> DataFrame:
 
 
 def last_per_key(batch: DataFrame, key: str, order_by: str) -> DataFrame:
-    """One row per key: the one that sorts last, NULL first. The aggregate combines before the shuffle."""
+    """One row per key: the one that sorts last, NULL first; of equal ones the one whose columns do.
+
+    The aggregate combines before the shuffle.
+    """
     rest = [name for name in batch.columns if name != key]
-    last = batch.groupBy(key).agg(F.max_by(F.struct(*rest), F.struct(order_by)).alias("last"))
+    last = batch.groupBy(key).agg(F.max_by(F.struct(*rest), F.struct(order_by, F.struct(*rest))).alias("last"))
     return last.select(key, "last.*").select(batch.columns)
 
 

@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 # Kafka's word for the first offset that a partition still has.
 EARLIEST = -2
 
+Positions = dict[int, int]
+
 
 def positions_of(offsets: DataFrame, group: str) -> dict[int, int]:
     """The committed positions of a group."""

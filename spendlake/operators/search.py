@@ -21,15 +21,15 @@ the order of their terms and equal scores are exactly equal.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import dataclass
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from spendlake.fixed import BM25_B, BM25_K1, HITS_PER_NAME
-from spendlake.functions.text import tokens
+from spendlake.functions.text import joined_phrases, tokens
 from spendlake.operators.skew import spread_join
 from spendlake.session import stored
 
@@ -41,13 +41,16 @@ class SearchOptions:
     hits: int = HITS_PER_NAME
     stop_words: Sequence[str] = ()
     posting_limit: int = 100
+    # A user dictionary: runs of tokens, joined by spaces, and the tokens that they count as.
+    phrases: Mapping[str, str] = field(default_factory=dict)
 
 
 def _token_counts(
-    frame: DataFrame, key: str, text: str, stop_words: Sequence[str], synonyms: DataFrame | None
+    frame: DataFrame, key: str, text: str, options: SearchOptions, synonyms: DataFrame | None
 ) -> DataFrame:
-    """``(key, length, token, times)``; ``synonyms`` (token, canonical) maps tokens to one spelling."""
-    listed = frame.select(key, tokens(F.col(text), stop_words).alias("listed"))
+    """``(key, length, token, times)``; ``synonyms`` (token, canonical) maps tokens to one spelling, after phrases."""
+    listed = frame.select(key, tokens(F.col(text), options.stop_words).alias("listed"))
+    listed = listed.select(key, joined_phrases(F.col("listed"), options.phrases).alias("listed"))
     rows = listed.select(key, F.size("listed").alias("length"), F.explode("listed").alias("token"))
     if synonyms is not None:
         rows = rows.join(synonyms.select("token", "canonical"), "token", "left").withColumn(
@@ -64,7 +67,7 @@ def keyword_postings(
     Token counts are stored, so the keywords are read once.
     """
     documents = keywords.select(F.col("consume_keyword_id").alias("keyword_id"), "consume_keyword")
-    counts = _token_counts(documents, "keyword_id", "consume_keyword", options.stop_words, synonyms)
+    counts = _token_counts(documents, "keyword_id", "consume_keyword", options, synonyms)
     counts = stored(counts, "token-counts")
     size = F.struct(F.count_distinct("keyword_id").alias("n"), F.sum("times").alias("tokens"))
     corpus = counts.agg(size.alias("corpus")).scalar()
@@ -81,7 +84,7 @@ def name_tokens(
     names: DataFrame, options: SearchOptions = SearchOptions(), synonyms: DataFrame | None = None
 ) -> DataFrame:
     """``(spent_name, token, times)`` of distinct names."""
-    return _token_counts(names, "spent_name", "spent_name", options.stop_words, synonyms).drop("length")
+    return _token_counts(names, "spent_name", "spent_name", options, synonyms).drop("length")
 
 
 def keyword_match(

@@ -95,6 +95,8 @@ TABLES: dict[str, str] = {
 
 INDEX_COLUMNS: list[str] = [column.split()[0] for column in TABLES["spent_detail_indexing"].split(", ")]
 
+GROUP_OFFSET = "group_name string, partition_id int, committed_offset bigint"
+
 CDC_EVENT = "spent_idx bigint, indexing_type string, reg_at timestamp"
 
 # Both stock quote forms: the first line of ``output`` is the domestic one, the second the overseas one.

@@ -60,15 +60,21 @@ _STORED: list[str] = []
 
 
 @contextlib.contextmanager
-def stored_tables(spark: SparkSession) -> Iterator[None]:
-    """Drops what ``stored`` wrote within the block, once the job has written its result."""
-    first = len(_STORED)
+def stored_tables(spark: SparkSession) -> Iterator[list[DataFrame]]:
+    """Drops what ``stored`` wrote within the block, once the job has written its result.
+
+    Stored frames that are put into the list it gives stay.
+    """
+    first, kept = len(_STORED), []
     try:
-        yield
+        yield kept
     finally:
         dropped, _STORED[first:] = _STORED[first:], []
+        stay = {frame.stored_at for frame in kept}
         for folder in dropped:
-            _delete(spark, folder)
+            if folder not in stay:
+                _delete(spark, folder)
+        _STORED.extend(folder for folder in dropped if folder in stay)
 
 
 def _delete(spark: SparkSession, folder: str) -> None:

@@ -9,6 +9,7 @@ cost of a batch so follows the size of the batch, and that of folding the files
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 from datetime import datetime, timezone
 
@@ -18,8 +19,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from spendlake.functions.dates import moment
 from spendlake.operators import cdc
+from spendlake.operators.offsets import Positions, next_positions
 from spendlake.operators.store import Commit, CommitConflict, IndexStore, SharedFolder
-from spendlake.schemas import TABLES
+from spendlake.schemas import GROUP_OFFSET, TABLES
 from spendlake.sources.feed import decode_events
 
 def _utc_now() -> datetime:
@@ -34,20 +36,62 @@ def start_feed(
     now: Callable[[], datetime] = _utc_now,
     strict: bool = False,
     trigger: dict | None = None,
+    positions: str | None = None,
+    group: str = "feed",
 ) -> StreamingQuery:
     """Run the feed into ``change_log``. ``trigger`` defaults to everything available, then stop.
 
-    ``tables`` is called once per micro-batch, so each batch reads the tables as they are then.
+    ``tables`` is called once per micro-batch, so each batch reads the tables as they are then. With ``positions``
+    each batch, once its changes are written, notes in that folder how far ``group`` has come.
     """
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         changes = cdc.change_set(decode_events(batch), tables(), moment(now()), strict)
         changes.write.mode("overwrite").parquet(f"{change_log}/batch_id={batch_id}")
+        if positions:
+            reached = batch.groupBy(F.col("partition").alias("partition_id")).agg(
+                F.lit(group).alias("group_name"), (F.max("offset") + 1).alias("committed_offset")
+            )
+            reached.write.mode("overwrite").parquet(f"{positions}/batch_id={batch_id}")
 
     writer = messages.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"availableNow": True})).start()
 
 
+def read_positions(spark: SparkSession, positions: str) -> DataFrame:
+    """The offsets table of a running feed: each partition's furthest position per group."""
+    rows = spark.read.schema(f"{GROUP_OFFSET}, batch_id bigint").parquet(positions)
+    return rows.groupBy("group_name", "partition_id").agg(F.max("committed_offset").alias("committed_offset"))
+
+
+def pull(
+    store: IndexStore,
+    read: Callable[[Positions, Positions], DataFrame],
+    latest: Callable[[], Positions],
+    apply: Callable[[DataFrame, Positions], None],
+    limit: int,
+    idle_after: float = 5.0,
+    poll: float = 0.5,
+    clock: Callable[[], float] = time.monotonic,
+    sleep: Callable[[float], None] = time.sleep,
+) -> int:
+    """Pulls from the positions in the store's commit on, at most ``limit`` messages a batch, until nothing has come for ``idle_after`` seconds.
+
+    ``latest`` gives the topic's ends, ``read(start, end)`` the messages of a range, and ``apply(messages, end)`` commits
+    what they change together with ``end``. Returns the number of batches.
+    """
+    batches, since = 0, clock()
+    while clock() - since < idle_after:
+        start = {int(partition): place for partition, place in store.latest().positions.items()}
+        step = next_positions(start, latest(), limit)
+        if step == start:
+            sleep(poll)
+            continue
+        apply(read(start, step), step)
+        batches, since = batches + 1, clock()
+    return batches
+
+
 def read_change_log(spark: SparkSession, change_log: str) -> DataFrame:
     """All logged changes; none for a log that has no batch yet."""
     columns = f"{TABLES['spent_detail_indexing']}, event_at timestamp_ntz, op string, batch_id bigint"

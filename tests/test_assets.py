@@ -104,3 +104,29 @@ def test_tables_are_read_with_their_declared_schema(spark, tmp_path):
     )
     found = read_table(spark, str(tmp_path), "currency_code")
     assert rows(found, "currency_code", "country_code", "is_active") == [("KRW", None, True)]
+
+
+def test_of_two_prices_of_one_symbol_the_last_one_counts(spark):
+    stock = spark.createDataFrame(
+        [(1, Decimal("1.0000"), None, None), (2, Decimal("2.0000"), None, None)],
+        "stock_seq bigint, stock_price decimal(18,4), updated_at timestamp_ntz, updated_by string",
+    )
+    fetched = spark.createDataFrame(
+        [(1, Decimal("5"), 2), (1, Decimal("9"), 1), (1, Decimal("4"), 2)],
+        "stock_seq bigint, current_price decimal(18,4), landed_at int",
+    )
+    updated = prices.update_prices(stock, fetched, "stock_seq", "stock_price", "2024-01-01 00:00:00", "landed_at")
+    # Of two that landed together the greater one, whatever their order.
+    assert rows(updated, "stock_seq", "stock_price") == [(1, Decimal("5.0000")), (2, Decimal("2.0000"))]
+    with pytest.raises(Exception, match="repeats without an order"):
+        prices.update_prices(stock, fetched.drop("landed_at"), "stock_seq", "stock_price", "2024-01-01 00:00:00").collect()
+
+
+def test_of_two_rates_of_one_row_the_last_one_counts(spark):
+    rates = spark.createDataFrame(
+        [(1, Decimal("1"), None, None)],
+        "exchange_rate_snapshot_seq bigint, exchange_rate decimal(18,8), updated_at timestamp_ntz, updated_by string",
+    )
+    fetched = spark.createDataFrame([(1, 3.0, 1), (1, 2.0, 2)], "exchange_rate_snapshot_seq bigint, rate double, landed_at int")
+    updated = prices.update_rates(rates, fetched, "2024-01-01 00:00:00", "landed_at")
+    assert rows(updated, "exchange_rate") == [(Decimal("2.00000000"),)]

@@ -5,6 +5,7 @@ from types import SimpleNamespace
 
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
 from spendlake.functions.dates import moment
 from spendlake.operators import cdc
@@ -13,6 +14,7 @@ from spendlake.operators.store import IndexStore
 from spendlake.plans import spend
 from spendlake.sources import feed
 from spendlake.streaming import feed as stream
+from spendlake.streaming import guard
 
 NOW = datetime(2024, 2, 1)
 
@@ -257,3 +259,59 @@ def test_event_times_survive_the_feed_in_any_session_zone(spark, moment_text):
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
     assert found == moment_text
+
+
+def test_a_stale_delete_in_a_later_batch_is_held_back(spark, tmp_path):
+    batches = [events(spark, (1, "U", 5), (2, "I", 1), (2, "U", 2)), events(spark, (1, "D", 4), (2, "D", 3), (3, "I", 9))]
+    checkpoint, landed, passed = (str(tmp_path / name) for name in ("checkpoint", "landed", "passed"))
+    for batch in batches:
+        stream.land_messages(feed.event_messages(batch), landed)
+        frame = guard.newest_events(feed.decode_events(feed.read_feed_files(spark, landed, files_per_batch=100)))
+        query = frame.writeStream.format("parquet").option("path", passed).option("checkpointLocation", checkpoint)
+        query = query.trigger(availableNow=True).start()
+        query.awaitTermination()
+        state = query.lastProgress.stateOperators[0]
+    found = rows(spark.read.schema(frame.schema).parquet(passed), "spent_idx", "indexing_type")
+    assert found == [(1, "U"), (2, "D"), (2, "U"), (3, "I")]
+    assert state.numRowsTotal >= 3  # one newest time for each key
+
+
+def test_a_running_feed_notes_its_positions(spark, tmp_path):
+    tables = spend_tables(spark, [(1, 1, True), (2, 1, True)])
+    folder = str(tmp_path)
+    for batch in (events(spark, (1, "U", 5), (2, "U", 6)), events(spark, (1, "D", 7))):
+        messages = feed.event_messages(batch)
+        if batch.count() == 1:
+            messages = messages.withColumn("offset", F.lit(2).cast("bigint"))
+        stream.land_messages(messages, f"{folder}/landed")
+        source = feed.read_feed_files(spark, f"{folder}/landed")
+        stream.start_feed(
+            source, lambda: tables, f"{folder}/log", f"{folder}/checkpoint", lambda: NOW, positions=f"{folder}/positions", group="own"
+        ).awaitTermination()
+    reached = stream.read_positions(spark, f"{folder}/positions")
+    assert rows(reached, "group_name", "partition_id", "committed_offset") == [("own", 0, 3)]
+    offsets = spark.createDataFrame([("ref", 0, 3)], OFFSETS).unionByName(reached)
+    assert rows(cdc.total_lag(offsets, "ref", "own")) == [(0, 0)]
+
+
+def test_a_pull_takes_bounded_batches_and_stops_when_idle(spark, tmp_path):
+    store = IndexStore(spark, str(tmp_path / "index"), "spent_idx", ["spent_at"])
+    tables = spend_tables(spark, [(1, 1, True)])
+    store.publish(full_index(tables), datetime(2024, 1, 1), positions={0: 0})
+    now, ends, ranges = [0.0], [{0: 5}, {0: 5}, {0: 5}, {0: 5}, {0: 6}], []
+
+    def latest():
+        return ends.pop(0) if len(ends) > 1 else ends[0]
+
+    def apply(messages, end):
+        commit = store.latest()
+        none = store.spark.createDataFrame([], messages.schema)
+        store.apply(none, NOW, positions=end, base=commit)
+
+    def read(start, end):
+        ranges.append((dict(start), dict(end)))
+        return full_index(tables).withColumns({"event_at": moment(NOW), "op": F.lit("upsert")})
+
+    batches = stream.pull(store, read, latest, apply, 2, 5, 1, lambda: now[0], lambda s: now.__setitem__(0, now[0] + s))
+    assert [(a[0], b[0]) for a, b in ranges] == [(0, 2), (2, 4), (4, 5), (5, 6)] and batches == 4
+    assert now[0] >= 5 and store.latest().positions == {"0": 6}

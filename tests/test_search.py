@@ -9,6 +9,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from spendlake.functions.text import joined_phrases, tokens
 from spendlake.operators.classify import classify_names
 from spendlake.operators import search
 from spendlake.operators.search import SCALE, SearchOptions, keyword_match
@@ -163,3 +164,21 @@ def test_union_of_names_is_judged_by_name_only(spark):
     apart = [classify_names(names(spark, n), held) for n in ("red ring", "blue bolt")]
     together = classify_names(names(spark, "red ring", "blue bolt"), held)
     assert rows(reduce(lambda a, b: a.union(b), apart)) == rows(together)
+
+
+def test_the_longest_phrase_from_the_left_counts(spark):
+    phrases = {"a b": "ab", "a b c": "abc x", "b c": "bc", "c d": "cd", "e": "ee"}
+    wanted = {"a b": ["ab"], "a b c": ["abc", "x"], "a b d": ["ab", "d"], "z b c d": ["z", "bc", "d"], "a a b": ["a", "ab"],
+              "e a": ["ee", "a"], "": [], "a": ["a"], "a b c d": ["abc", "x", "d"]}
+    frame = names(spark, *wanted).withColumn("listed", tokens(F.col("spent_name")))
+    found = frame.select("spent_name", joined_phrases(F.col("listed"), phrases).alias("made"))
+    assert {row.spent_name: row.made for row in found.collect()} == wanted
+    with pytest.raises(ValueError, match="at most"):
+        joined_phrases(F.col("listed"), {f"w{i}": "w" for i in range(1001)})
+
+
+def test_phrases_count_in_names_and_keywords(spark):
+    held = keywords(spark, (1, "new york pizza", 1), (2, "york ham", 1))
+    options = SearchOptions(phrases={"new york": "nyc", "big apple": "nyc"})
+    assert rows(keyword_match(names(spark, "big apple"), held, options), "keyword_id") == [(1,)]
+    assert rows(keyword_match(names(spark, "york"), held, options), "keyword_id") == [(2,)]
