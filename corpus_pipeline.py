@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from spendlake.llm import importance, minhash, packing, quality_rules, secrets
-from spendlake.session import stored
+from spendlake.session import drop_stored, stored, stored_tables
 
 
 def good_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,8 +54,17 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The packed pieces of ``documents`` after all stages."""
+    """The packed pieces of ``documents`` after all stages.
+
+    What a stage stored for itself goes when its rows are written, and these when the next stage's are.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    before = None
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        with stored_tables(spark) as kept:
+            docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+            kept.append(docs)
+        if before is not None:
+            drop_stored(before)
+        before = docs
     return STAGES[-1][1](spark, docs, sf_dir)
