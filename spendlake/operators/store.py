@@ -96,7 +96,8 @@ class IndexStore:
     """A table that is unique on the whole-number column ``key``; ``sort_by`` clusters its files.
 
     Rows remember the time of the event that wrote them, deletes included, so a later change with an
-    earlier event does nothing. ``keep`` commits stay readable besides the latest.
+    earlier event does nothing. ``keep`` commits stay readable besides the latest. A sweep lists all data files, so for
+    tables of very many files ``sweep_every`` lets it follow only every so many commits.
     """
 
     def __init__(
@@ -108,9 +109,10 @@ class IndexStore:
         rows_per_file: int = 1_000_000,
         keep: int = 1,
         grace: timedelta = timedelta(days=1),
+        sweep_every: int = 1,
     ) -> None:
         self.spark, self.key, self.sort_by = spark, key, list(sort_by)
-        self.rows_per_file, self.keep, self.grace = rows_per_file, keep, grace
+        self.rows_per_file, self.keep, self.grace, self.sweep_every = rows_per_file, keep, grace, sweep_every
         self.folder = SharedFolder(spark, folder)
 
     # Reading
@@ -201,7 +203,13 @@ class IndexStore:
         files = untouched if files is None else untouched.unionByName(files)
         batch = base.last_batch if last_batch is None else last_batch
         places = base.positions if positions is None else positions
-        return self._committed(base, folder, schema, files, now, batch, places)
+        try:
+            return self._committed(base, folder, schema, files, now, batch, places)
+        except CommitConflict:
+            if folder:
+                self.folder.delete(f"data/{folder}")
+                self.folder.delete(f"started/{folder}")
+            raise
 
     def _touched(self, base: Commit, changes: DataFrame) -> tuple[list[str], int]:
         """The files that hold changed keys, and how many rows these and the changes have together."""
@@ -264,7 +272,8 @@ class IndexStore:
         except CommitConflict:
             self.folder.delete(f"manifests/{manifest}")
             raise
-        self.sweep(now)
+        if version % self.sweep_every == 0:
+            self.sweep(now)
         return commit
 
     def sweep(self, now: datetime) -> list[str]:

@@ -33,6 +33,10 @@ def paths(store):
     return {row.path for row in store.files(store.latest()).collect()}
 
 
+def listed(store, version):
+    return {row.path for row in store.files(store.commit(version)).collect()}
+
+
 def test_ten_changed_keys_leave_all_other_files(spark, store):
     store.publish(table(spark), NOW, size=1000)
     before = paths(store)
@@ -106,6 +110,7 @@ def test_of_two_writers_one_comes_first(spark, store):
     with pytest.raises(CommitConflict):
         store.apply(changes(spark, (2, 0, "second", 1, "upsert")), NOW, base=base)
     assert dict(rows(store.read(), "key", "text"))[2] == "old"
+    assert set(store.folder.names("data")) == {p.split("/")[0] for v in store.versions() for p in listed(store, v)}
     store.publish(table(spark, 3), NOW)  # a whole table replaces whatever is there
     assert store.read().count() == 3 and store.versions() == [2, 3]
 
