@@ -39,7 +39,9 @@ NEAREST = 10
 QUERY_EVERY = 100
 
 SEGMENT_ROWS = 4096
-QUERY_ROWS = 1024
+# A segment is sent to a task once for each block of so many queries.
+_QUERY_BITS = 13
+QUERY_ROWS = 1 << _QUERY_BITS
 
 _BITS = [0, *(FIRST_BITS + NEXT_BITS * level for level in range(DEPTH))]
 
@@ -211,7 +213,7 @@ def nearest_neighbours(table: DataFrame, every: int = QUERY_EVERY) -> DataFrame:
         asked, rows = (np.frombuffer(raw[i], np.float64).reshape(-1, size) for i in (1, 3))
         columns: tuple[list, ...] = ([], [], [], [])
         for number, found, distances in Segment(forest, ids, rows).nearest(forest, query_ids, asked):
-            columns[0].append(np.full(len(found), (chunk << 10) + number))
+            columns[0].append(np.full(len(found), (chunk << _QUERY_BITS) + number))
             columns[1].append(np.full(len(found), query_ids[number]))
             columns[2].append(found)
             columns[3].append(distances)
