@@ -254,7 +254,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, named: DataFrame) -> DataFrame:
     for order in orders:
         pairs_met = F.arrays_overlap(f"{order}_a", f"{order}_b")
         met = pairs_met if order == orders[0] else met & pairs_met
-    filtered = stored(pairs.join(left, "a").join(right, "b").filter(met).select("a", "b"), "candidates")
+    filtered = pairs.join(left, "a").join(right, "b").filter(met).select("a", "b")
     left = held.select(F.col("node").alias("a"), F.col("tokens").alias("left"))
     right = held.select(F.col("node").alias("b"), F.col("tokens").alias("right"))
     shared = F.size(F.array_intersect("left", "right"))
@@ -270,18 +270,17 @@ def _id() -> Column:
 def linked_nodes(nodes: DataFrame, docs: DataFrame, named: DataFrame) -> DataFrame:
     """(node, root) of the nodes that have a link; equal roots mean one component."""
     index = _index(nodes)
-    parities = stored(nodes.select("node", "parity"), "parities")
-    drop_stored(nodes)
     stars = index.filter("node <> head").select("token", F.col("node").alias("a"), "n", "place", F.col("head").alias("b"))
     heads = index.filter("node = head").select("token", F.col("n").alias("n_"), F.col("place").alias("place_"))
     stars = stars.join(heads, "token").filter(_possible("n", "place", "n_", "place_"))
     links = stored(_verified(stars.select("a", "b"), docs, named), "links")
-    labels = stored(component_roots(links, near_labels(links)), "labels")
+    labels = near_labels(links, rounds=3)
     placed = index.join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
     placed = stored(placed.drop("head"), "placed")
     open_ = placed.groupBy("token").agg(F.min("root").alias("least"), F.max("root").alias("most")).filter("least <> most")
     open_ = placed.join(stored(open_.select("token"), "open-lists"), "token", "left_semi")
-    open_ = stored(open_.join(parities, "node"), "open")
+    open_ = stored(open_.join(nodes.select("node", "parity"), "node"), "open")
+    drop_stored(nodes)
     small = open_.filter(F.col("place") < index_length_of("n"))
     large = open_.withColumnsRenamed({c: f"{c}_" for c in ("node", "n", "place", "root", "parity")})
     upward = (F.col("n") < F.col("n_")) | ((F.col("n") == F.col("n_")) & (F.col("node") < F.col("node_")))
