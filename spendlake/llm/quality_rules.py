@@ -126,6 +126,7 @@ def _blended(cells: DataFrame) -> DataFrame:
 
     Counts are multiplied by the size of the language's sketch, so that they stay whole numbers.
     """
+    cells = stored(cells, "quality-cells")  # a few for each source, read three times
     exact = "decimal(18,0)"
     merged = cells.groupBy("lang", "measure", "cell").agg(F.sum("n").alias("n"))
     sizes = merged.groupBy("lang", "measure").agg(F.sum("n").alias("size"))
