@@ -1,11 +1,13 @@
-"""Every query gives its SQL's rows also as the first one of a fresh process.
+"""Queries give their SQL's rows also as the first one of a fresh process.
 
 Ids that Spark hands out in order start anew in each process, so plans that mix them up do so here and
-not behind other queries.
+not behind other queries. A process for each query takes minutes, so only those over many nested views run by
+default; ``FIRST_QUERY=all`` runs every registered query.
 """
 
 from __future__ import annotations
 
+import os
 import subprocess
 import sys
 from concurrent.futures import ThreadPoolExecutor
@@ -18,6 +20,13 @@ from spendlake.catalog.queries import QUERIES
 FOLDER = "/root/testdata/sf0.001"
 PROCESSES = 8
 
+# Queries over views that are built from other views.
+NESTED = {
+    "asset_snapshot", "stock_amount", "crypto_amount", "stock_price_update", "spent_detail_indexing", "category_share",
+    "keyword_match", "bounded_catch_up",
+}
+NAMES = sorted(QUERIES if os.environ.get("FIRST_QUERY") == "all" else NESTED)
+
 
 def _run(name: str) -> tuple[int, str]:
     script = str(Path(__file__).with_name("first_query.py"))
@@ -27,12 +36,11 @@ def _run(name: str) -> tuple[int, str]:
 
 @pytest.fixture(scope="module")
 def outcomes():
-    names = sorted(QUERIES)
     with ThreadPoolExecutor(PROCESSES) as pool:
-        return dict(zip(names, pool.map(_run, names), strict=True))
+        return dict(zip(NAMES, pool.map(_run, NAMES), strict=True))
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", NAMES)
 def test_first_query_of_a_process_equals_sql(outcomes, name):
     code, said = outcomes[name]
     assert code == 0, said
