@@ -19,21 +19,30 @@ def _market_currencies(stock_type: DataFrame) -> Column:
     return stock_type.select("currency_code").distinct().agg(F.array_sort(F.collect_list("currency_code"))).scalar()
 
 
+def _dealt(rows: DataFrame) -> DataFrame:
+    """The rows over all shuffle partitions, however few files hold them.
+
+    A narrow table packs millions of users into one file, and what combines them before the shuffle holds a group
+    for each. All columns deal, so one user's many rows go to many tasks.
+    """
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *rows.columns)
+
+
 def asset_snapshot(tables, now: datetime | str) -> DataFrame:
     """One row per user and currency, zeros included.
 
     The users' rows and all holdings go into one union and one aggregate: a single
-    shuffle on (user, currency), combined before it. Holdings outside the users or
-    currencies of the snapshot fall out with the filter on ``listed``.
+    shuffle on (user, currency), combined before it. Users and cash, with a group for nearly every row, are dealt
+    first. Holdings outside the users or currencies of the snapshot fall out with the filter on ``listed``.
     """
     rows = {
-        "cash": amounts.cash_rows(tables.cash_asset),
+        "cash": _dealt(amounts.cash_rows(tables.cash_asset)),
         "stock": amounts.stock_rows(tables.stock_asset, tables.stock, tables.stock_type),
         "crypto": amounts.crypto_rows(tables.crypto_asset, tables.crypto, tables.currency_code),
         "deposit": amounts.deposit_rows(tables.deposit_asset),
         "saving": amounts.saving_rows(tables.saving_asset),
     }
-    listed = tables.users.select(
+    listed = _dealt(tables.users.select("user_seq")).select(
         "user_seq", F.explode(_market_currencies(tables.stock_type)).alias("currency_code"), F.lit(True).alias("listed")
     )
     everything = listed

@@ -73,6 +73,23 @@ def test_snapshot_has_one_row_per_user_and_market_currency(tables):
     }
 
 
+def test_users_and_cash_of_one_file_are_combined_in_many_tasks(spark, tables, tmp_path):
+    users = spark.range(1, 20_001).selectExpr("id as user_seq").unionByName(spark.createDataFrame([(1,)], "user_seq bigint"))
+    users.coalesce(1).write.parquet(f"{tmp_path}/users")
+    cash = spark.range(20_000).selectExpr(
+        "1 + id % 4000 as user_seq", "cast(id as decimal(18,4)) as cash", "if(id % 2 = 0, 'KRW', 'USD') as currency_code"
+    )
+    cash.coalesce(1).write.parquet(f"{tmp_path}/cash")
+    read = spark.read.parquet
+    large = SimpleNamespace(**vars(tables) | {"users": read(f"{tmp_path}/users"), "cash_asset": read(f"{tmp_path}/cash")})
+    frame = snapshot.asset_snapshot(large, datetime(2024, 1, 1)).select("user_seq", "currency_code", "cash_amount")
+    plan = frame._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RepartitionByExpression") == 2  # below the explode of the users, and below the cash
+    found = rows(frame)
+    assert len(found) == 40_000 and found[0] == (1, "KRW", Decimal(sum(range(0, 20_000, 4000))))
+    assert {row[2] for row in found if row[0] > 4000} == {0}
+
+
 def test_rates_become_decimals_and_unfetched_rows_stay(spark):
     rates = spark.createDataFrame(
         [(1, Decimal("1"), None, None), (2, Decimal("2"), None, None)],
