@@ -3,6 +3,7 @@ from __future__ import annotations
 from datetime import datetime
 from types import SimpleNamespace
 
+import pandas as pd
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
@@ -276,6 +277,87 @@ def test_a_stale_delete_in_a_later_batch_is_held_back(spark, tmp_path):
     assert state.numRowsTotal >= 3  # one newest time for each key
 
 
+def _guarded(spark, folder, batches, forget_after="7 days"):
+    """What the guard lets through of the batches, one run of the stream for each."""
+    for batch in batches:
+        stream.land_messages(feed.event_messages(batch), f"{folder}/landed")
+        frame = guard.newest_events(feed.decode_events(feed.read_feed_files(spark, f"{folder}/landed", files_per_batch=100)), forget_after)
+        stream.copy_stream(frame, f"{folder}/passed", f"{folder}/checkpoint")
+    return spark.read.schema(frame.schema).parquet(f"{folder}/passed")
+
+
+def test_keys_of_one_block_are_guarded_each_by_its_own_time(spark, tmp_path):
+    keys = range(-70, 140)
+    first = [(key, "I", 10 + abs(key) % 7) for key in keys] + [(key, "U", 5) for key in keys]
+    second = [(key, "D", 9 + abs(key) % 7 + key % 3) for key in keys]
+    found = _guarded(spark, str(tmp_path), [events(spark, *first), events(spark, *second)])
+    later = [(key, "D") for key in keys if key % 3 == 2]
+    assert rows(found, "spent_idx", "indexing_type") == sorted([(key, "I") for key in keys] + later, key=repr)
+
+
+def test_silent_keys_of_a_block_are_forgotten_and_their_neighbours_are_not(spark, tmp_path):
+    folder, sizes = str(tmp_path), []
+    for batch in ([(key, "I", 0) for key in range(40)] + [(40, "I", 15)], [(41, "I", 40)], [(42, "I", 41)]):
+        stream.land_messages(feed.event_messages(events(spark, *batch)), f"{folder}/landed")
+        frame = guard.newest_events(feed.decode_events(feed.read_feed_files(spark, f"{folder}/landed", 100)), "20 minutes")
+        writer = frame.writeStream.format("parquet").option("path", f"{folder}/passed")
+        query = writer.option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start()
+        query.awaitTermination()
+        sizes.append(query.lastProgress.stateOperators[0].numRowsTotal)
+    assert sizes[0] >= 41 and 3 <= sizes[-1] < 10
+    handle, processor = _Counted(), guard._NewestEvent(1000)
+    processor.init(handle)
+    handle.known = {1: 5_000_000, 2: 6_000_000, 3: 8_000_000}
+    list(processor.handleExpiredTimer((0,), SimpleNamespace(getCurrentWatermarkInMs=lambda: 7000), None))
+    assert handle.known == {3: 8_000_000} and handle.timers == [9000]
+
+
+class _Counted:
+    """State and timers of one block in memory, with the number of requests."""
+
+    def __init__(self):
+        self.known, self.timers, self.requests = {}, [], 0
+
+    def getMapState(self, name, key, value):  # noqa: N802
+        return self
+
+    def iterator(self):
+        self.requests += 1
+        return iter([((slot,), (at,)) for slot, at in self.known.items()])
+
+    def updateValue(self, slot, at):  # noqa: N802
+        self.requests += 1
+        self.known[slot[0]] = at[0]
+
+    def removeKey(self, slot):  # noqa: N802
+        del self.known[slot[0]]
+
+    def listTimers(self):  # noqa: N802
+        self.requests += 1
+        return iter(self.timers)
+
+    def registerTimer(self, at):  # noqa: N802
+        self.requests += 1
+        self.timers.append(at)
+
+    def deleteTimer(self, at):  # noqa: N802
+        self.timers.remove(at)
+
+
+def test_the_guard_asks_the_state_once_for_a_block_and_once_for_a_newer_key():
+    handle, processor = _Counted(), guard._NewestEvent(1000)
+    processor.init(handle)
+    ats = [5_000_000 + key for key in range(guard.BLOCK)]
+    frame = pd.DataFrame({"spent_idx": range(guard.BLOCK), "partition_id": 0, "msg_offset": range(guard.BLOCK), "indexing_type": "I"})
+    frame = frame.assign(at=ats, slot=frame["spent_idx"])
+    doubled = [frame, frame.assign(msg_offset=-1, at=frame["at"] - 1)]
+    (passed,) = processor.handleInputRows((0,), iter(doubled), None)
+    assert passed["at"].sort_values().tolist() == ats and set(passed["msg_offset"]) == set(range(guard.BLOCK))
+    assert handle.requests <= guard.BLOCK + 4
+    assert list(processor.handleInputRows((0,), iter([frame]), None)) == []
+    assert handle.requests <= guard.BLOCK + 5 and handle.timers == [6000]
+
+
 def test_a_running_feed_notes_its_positions(spark, tmp_path):
     tables = spend_tables(spark, [(1, 1, True), (2, 1, True)])
     folder = str(tmp_path)
