@@ -195,6 +195,28 @@ def test_recipients_are_a_row_each(spark):
     assert [row.row_no for row in found] == [*range(1, 491), *range(1, 11)]
 
 
+def test_every_address_gets_every_part_over_many_routes(spark, monkeypatch):
+    monkeypatch.setattr(reports, "MAILS_PER_ROUTE", 10)
+    given = spark.range(400).selectExpr("if(id < 390, 1, id % 3) as agg_group_seq", "concat('m', id) as email_id")
+    given = given.unionByName(spark.createDataFrame([(1, "m0"), (None, "m1"), (7, "m2"), (1, None)], "agg_group_seq bigint, email_id string"))
+    bodies = spark.createDataFrame(
+        [(g, part, f"s{g}", f"b{g}.{part}") for g in (0, 1, 5) for part in (0, 1)], "agg_group_seq bigint, part int, subject string, body string"
+    )
+    mails = reports.report_mails(bodies, given)
+    assert mails.columns == ["agg_group_seq", "email_id", "part", "subject", "body"]
+    assert rows(mails) == rows(given.join(bodies, "agg_group_seq"))
+    assert mails.groupBy(F.spark_partition_id()).count().count() > 2
+
+
+def test_written_mails_hold_a_long_body_once_for_each_file(spark, tmp_path):
+    given = spark.range(60).selectExpr("cast(1 as bigint) as agg_group_seq", "concat('m', id) as email_id")
+    body = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(20_000)), lambda i: F.sha2(i.cast("string"), 256)), "")
+    bodies = spark.range(1).select(F.lit(1).cast("bigint").alias("agg_group_seq"), F.lit(0).alias("part"), F.lit("s").alias("subject"), body.alias("body"))
+    reports.report_mails(bodies, given).write.parquet(f"{tmp_path}/mails")
+    assert spark.read.parquet(f"{tmp_path}/mails").filter(F.length("body") == 1_280_000).count() == 60
+    assert sum(file.stat().st_size for file in (tmp_path / "mails").glob("*.parquet")) < 4 * 1_280_000
+
+
 def test_rows_in_descending_order_of_a_chosen_field(spark):
     frame = index(spark, *[spend(1, i, "2024-01-02", money) for i, money in enumerate((5, 9, 9, 1))])
     found = reports.group_range_rows(frame, january(), 3, order_by="spent_money", ascending=False)
