@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -22,33 +23,41 @@ def _market_currencies(stock_type: DataFrame) -> Column:
 def _dealt(rows: DataFrame) -> DataFrame:
     """The rows over all shuffle partitions, however few files hold them.
 
-    A narrow table packs millions of users into one file, and what combines them before the shuffle holds a group
-    for each. All columns deal, so one user's many rows go to many tasks.
+    A narrow table packs millions of users into one file, or one row group of it, and what combines them before the
+    shuffle holds a group for each. All columns deal, so one user's many rows go to many tasks.
     """
     return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *rows.columns)
 
 
+def _named(rows: DataFrame, kind: str) -> DataFrame:
+    return rows.withColumnRenamed("amount", f"{kind}_amount")
+
+
+def _union(frames: list[DataFrame]) -> DataFrame:
+    return functools.reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), frames)
+
+
 def asset_snapshot(tables, now: datetime | str) -> DataFrame:
     """One row per user and currency, zeros included.
 
     The users' rows and all holdings go into one union and one aggregate: a single
-    shuffle on (user, currency), combined before it. Users and cash, with a group for nearly every row, are dealt
-    first. Holdings outside the users or currencies of the snapshot fall out with the filter on ``listed``.
+    shuffle on (user, currency), combined before it. Users, cash, deposits and savings, with a group for nearly every
+    row of a file, are dealt first; stock and coins come from joins, which shuffle large ones. Holdings outside the users or
+    currencies of the snapshot fall out with the filter on ``listed``.
     """
-    rows = {
-        "cash": _dealt(amounts.cash_rows(tables.cash_asset)),
-        "stock": amounts.stock_rows(tables.stock_asset, tables.stock, tables.stock_type),
-        "crypto": amounts.crypto_rows(tables.crypto_asset, tables.crypto, tables.currency_code),
-        "deposit": amounts.deposit_rows(tables.deposit_asset),
-        "saving": amounts.saving_rows(tables.saving_asset),
-    }
+    joined = [
+        _named(amounts.stock_rows(tables.stock_asset, tables.stock, tables.stock_type), "stock"),
+        _named(amounts.crypto_rows(tables.crypto_asset, tables.crypto, tables.currency_code), "crypto"),
+    ]
+    read = [
+        _named(amounts.cash_rows(tables.cash_asset), "cash"),
+        _named(amounts.deposit_rows(tables.deposit_asset), "deposit"),
+        _named(amounts.saving_rows(tables.saving_asset), "saving"),
+    ]
     listed = _dealt(tables.users.select("user_seq")).select(
         "user_seq", F.explode(_market_currencies(tables.stock_type)).alias("currency_code"), F.lit(True).alias("listed")
     )
-    everything = listed
-    for kind in KINDS:
-        holding = rows[kind].withColumnRenamed("amount", f"{kind}_amount")
-        everything = everything.unionByName(holding, allowMissingColumns=True)
+    everything = _union([listed, *joined, _dealt(_union(read))])
     sums = [amounts.total(everything, f"{kind}_amount").alias(f"{kind}_amount") for kind in KINDS]
     totals = everything.groupBy("user_seq", "currency_code").agg(F.max("listed").alias("listed"), *sums)
     zeroed = [F.coalesce(F.col(f"{k}_amount"), F.lit(0).cast("decimal(1,0)")).alias(f"{k}_amount") for k in KINDS]

@@ -90,6 +90,42 @@ def test_users_and_cash_of_one_file_are_combined_in_many_tasks(spark, tables, tm
     assert {row[2] for row in found if row[0] > 4000} == {0}
 
 
+def _above(plan: str, column: str) -> list[str]:
+    """The operators above the scan that reads ``column``, nearest first."""
+    lines = plan.splitlines()
+    at = next(i for i, line in enumerate(lines) if "Relation [" in line and f"{column}#" in line)
+    found, depth = [], lines[at].index("Relation")
+    for line in reversed(lines[:at]):
+        start = len(line) - len(line.lstrip(" :+-"))
+        if start < depth:
+            found.append(line[start:])
+            depth = start
+    return found
+
+
+def test_deposits_and_savings_of_one_file_are_combined_in_many_tasks(spark, tables, tmp_path):
+    for kind, amount in (("deposit", "deposit_amount"), ("saving", "accum_saving_amount")):
+        held = spark.range(20_000).selectExpr(
+            "if(id < 100, 7, id) as user_seq", f"cast(if(id = 1, null, id) as decimal(18,4)) as {amount}",
+            "if(id % 2 = 0, 'KRW', 'USD') as currency_code", "id % 3 = 0 as is_terminated",
+        )
+        held.unionByName(held.filter("user_seq >= 19990")).coalesce(1).write.parquet(f"{tmp_path}/{kind}")
+    own = {f"{kind}_asset": spark.read.parquet(f"{tmp_path}/{kind}") for kind in ("deposit", "saving")}
+    users = spark.range(20_000).selectExpr("id as user_seq")
+    large = SimpleNamespace(**vars(tables) | own | {"users": users})
+    frame = snapshot.asset_snapshot(large, datetime(2024, 1, 1)).select(
+        "user_seq", "currency_code", "deposit_amount", "saving_amount"
+    )
+    plan = frame._jdf.queryExecution().optimizedPlan().toString()
+    for column in ("deposit_amount", "accum_saving_amount"):
+        names = [line.split()[0] for line in _above(plan, column)]
+        assert names.index("RepartitionByExpression") < names.index("Aggregate")
+    found = {row[:2]: row[2:] for row in rows(frame)}
+    assert len(found) == 40_000
+    assert found[7, "KRW"] == (sum(range(0, 100, 2)),) * 2 and found[7, "USD"] == (sum(range(3, 100, 2)),) * 2
+    assert found[19_990, "KRW"] == (2 * 19_990,) * 2 and found[19_990, "USD"] == (0, 0) and found[500, "KRW"] == (500, 500)
+
+
 def test_rates_become_decimals_and_unfetched_rows_stay(spark):
     rates = spark.createDataFrame(
         [(1, Decimal("1"), None, None), (2, Decimal("2"), None, None)],
