@@ -1,6 +1,9 @@
 from __future__ import annotations
 
+import subprocess
+import sys
 from datetime import datetime
+from pathlib import Path
 
 import pytest
 from conftest import rows
@@ -217,6 +220,22 @@ def test_written_mails_hold_a_long_body_once_for_each_file(spark, tmp_path):
     assert sum(file.stat().st_size for file in (tmp_path / "mails").glob("*.parquet")) < 4 * 1_280_000
 
 
+def test_parts_that_repeat_or_have_no_number_are_mailed_as_often_as_they_come(spark):
+    given = spark.createDataFrame([(1, "a"), (1, "b"), (1, "b"), (2, "c")], "agg_group_seq bigint, email_id string")
+    bodies = spark.createDataFrame(
+        [(1, 0, "s", "x"), (1, 0, "s", "x"), (1, None, "s", "y"), (1, 3, None, None), (2, None, "s", "z"), (None, 0, "s", "n")],
+        "agg_group_seq bigint, part int, subject string, body string",
+    )
+    assert rows(reports.report_mails(bodies, given)) == rows(given.join(bodies, "agg_group_seq"))
+
+
+def test_copies_of_a_long_body_are_not_held_at_once():
+    # 1,000 routes take a body of 1 MB, 1 GB in all; the process has 640 MB.
+    script = str(Path(__file__).with_name("long_mails.py"))
+    done = subprocess.run([sys.executable, script], capture_output=True, text=True, timeout=300)
+    assert done.stdout.split() == ["1000", "1000000000"], done.stdout[-2000:] + done.stderr[-2000:]
+
+
 def test_rows_in_descending_order_of_a_chosen_field(spark):
     frame = index(spark, *[spend(1, i, "2024-01-02", money) for i, money in enumerate((5, 9, 9, 1))])
     found = reports.group_range_rows(frame, january(), 3, order_by="spent_money", ascending=False)
